@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -34,11 +35,15 @@ def shared_folder(spark: SparkSession) -> str:
     if not folder:
         if not spark.conf.get("spark.master", "").startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="trackloom-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        folder = _local_folder()
     return folder.rstrip("/")
 
 
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="trackloom-")
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A path in the shared folder that no other run uses."""
     return f"{shared_folder(spark)}/trackloom/{label}-{uuid.uuid4().hex}"

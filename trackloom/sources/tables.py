@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from trackloom.session import materialize
+
 CORRUPT_RECORD = "_corrupt_record"
 
 
@@ -39,8 +41,12 @@ def scan_dirty_csv(spark: SparkSession, path: str) -> DataFrame:
 
 
 def scan_csv_rejects(spark: SparkSession, path: str) -> DataFrame:
-    """The raw text of the rows that :func:`scan_dirty_csv` leaves out."""
-    names = _dirty_reader(spark).csv(path).schema
+    """The raw text of the rows that :func:`scan_dirty_csv` leaves out, as a stored relation.
+
+    Stored because Spark does not answer queries on the raw text alone from the file.
+    """
+    parsed = _dirty_reader(spark).csv(path).schema
     reader = _dirty_reader(spark).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT_RECORD)
-    rows = reader.schema(names.add(CORRUPT_RECORD, "string")).csv(path)
-    return rows.filter(rows[CORRUPT_RECORD].isNotNull()).select(CORRUPT_RECORD, names[0].name)
+    rows = reader.schema(parsed.add(CORRUPT_RECORD, "string")).csv(path)
+    rejected = rows.filter(rows[CORRUPT_RECORD].isNotNull())
+    return materialize(repair_header(rejected), "rejects").select(CORRUPT_RECORD)
