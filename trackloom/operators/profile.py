@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, DoubleType, FloatType, StringType
 
 from trackloom.operators.ordering import with_running_total
-from trackloom.session import materialize
 
 # The features that are profiled where a dataset has them.
 PROFILE_FEATURES = [
@@ -108,10 +107,15 @@ def duplicates(df: DataFrame) -> DataFrame:
     return totals.withColumn("pct", pct)
 
 
+def _long(df: DataFrame, features: list[str]) -> DataFrame:
+    """feature, value: one row per present value."""
+    long = df.select(*[_present(f).alias(f) for f in features]).unpivot([], features, "feature", "value")
+    return long.filter(F.col("value").isNotNull())
+
+
 def value_counts(df: DataFrame, features: list[str]) -> DataFrame:
     """feature, value, n over all present values."""
-    long = df.select(*[_present(f).alias(f) for f in features]).unpivot([], features, "feature", "value")
-    return long.filter(F.col("value").isNotNull()).groupBy("feature", "value").agg(F.count("*").alias("n"))
+    return _long(df, features).groupBy("feature", "value").agg(F.count("*").alias("n"))
 
 
 def modes(counts: DataFrame) -> DataFrame:
@@ -120,9 +124,11 @@ def modes(counts: DataFrame) -> DataFrame:
     return counts.groupBy("feature").agg(first["value"].alias("mode"))
 
 
-def medians(counts: DataFrame) -> DataFrame:
-    """feature, median: exact, interpolated between the two middle values."""
-    placed = with_running_total(counts, ["feature", "value"], "n", "reached")
+def medians(placed: DataFrame) -> DataFrame:
+    """feature, median: exact, interpolated between the two middle values.
+
+    ``placed`` holds the value counts with ``reached``, their running total.
+    """
     placed = placed.withColumn("before", F.col("reached") - F.col("n"))
     spans = placed.groupBy("feature").agg(
         F.min("before").alias("start"), (F.max("reached") - F.min("before")).alias("size")
@@ -143,22 +149,26 @@ def medians(counts: DataFrame) -> DataFrame:
 
 def statistics(df: DataFrame, features: list[str]) -> DataFrame:
     """feature, mean, mode, median, std, min, max; missing values are left out."""
-    basics = df.agg(
-        *[
-            F.struct(
-                F.lit(f).alias("feature"),
-                F.avg(_present(f)).alias("mean"),
-                F.stddev_samp(_present(f)).alias("std"),
-                F.min(_present(f)).alias("min"),
-                F.max(_present(f)).alias("max"),
-            ).alias(f)
-            for f in features
-        ]
-    ).select(_rows([F.col(f) for f in features]))
-    counts = materialize(value_counts(df, features), "values")
+    basics = (
+        df.select(*[_present(f).alias(f) for f in features])
+        .agg(
+            *[
+                F.struct(
+                    F.lit(f).alias("feature"),
+                    F.avg(f).alias("mean"),
+                    F.stddev_samp(f).alias("std"),
+                    F.min(f).alias("min"),
+                    F.max(f).alias("max"),
+                ).alias(f)
+                for f in features
+            ]
+        )
+        .select(_rows([F.col(f) for f in features]))
+    )
+    placed = with_running_total(value_counts(df, features), ["feature", "value"], "n", "reached")
     return (
-        basics.join(modes(counts), "feature", "left")
-        .join(medians(counts), "feature", "left")
+        basics.join(modes(placed), "feature", "left")
+        .join(medians(placed), "feature", "left")
         .select("feature", "mean", "mode", "median", "std", "min", "max")
     )
 
@@ -168,66 +178,51 @@ def histogram(df: DataFrame, features: list[str], bins: int = 50) -> DataFrame:
 
     A constant feature is spread over a range of width one around its value.
     """
-    bounds = [F.struct(F.min(_present(f)).alias("low"), F.max(_present(f)).alias("high")).alias(f) for f in features]
-    raw = df.agg(*bounds)
-
-    def widened(name: str) -> Column:
-        low, high = F.col(name)["low"], F.col(name)["high"]
-        pad = F.when(low == high, F.lit(0.5)).otherwise(F.lit(0.0))
-        return F.struct((low - pad).alias("low"), (high + pad).alias("high")).alias(name)
-
-    ranges = raw.select(*[widened(f) for f in features])
-    stats = ranges.select(F.struct(*features).alias("_stats"))
-
-    def edge(low: Column, high: Column, number: Column) -> Column:
-        return low + number * ((high - low) / bins)
-
-    def bin_of(name: str) -> Column:
-        value, low, high = _present(name), F.col("_stats")[name]["low"], F.col("_stats")[name]["high"]
-        guess = F.least(F.floor((value - low) * (F.lit(float(bins)) / (high - low))), F.lit(bins - 1))
-        # The division can land one bin off at an edge; the edges themselves decide.
-        return (
-            F.when(value < edge(low, high, guess), guess - 1)
-            .when((guess < bins - 1) & (value >= edge(low, high, guess + 1)), guess + 1)
-            .otherwise(guess)
-            .cast("int")
-        )
+    bounds = df.select(*[_present(f).alias(f) for f in features]).agg(
+        *[
+            F.struct(F.lit(f).alias("feature"), F.min(f).alias("low"), F.max(f).alias("high")).alias(f)
+            for f in features
+        ]
+    )
+    pad = F.when(F.col("low") == F.col("high"), F.lit(0.5)).otherwise(F.lit(0.0))
+    ranges = (
+        bounds.select(_rows([F.col(f) for f in features]))
+        .filter(F.col("low").isNotNull())
+        .withColumns({"low": F.col("low") - pad, "high": F.col("high") + pad})
+    )
 
-    binned = df.withColumn("_stats", stats.scalar()).select(
-        _rows([F.struct(F.lit(f).alias("feature"), bin_of(f).alias("bin")) for f in features])
+    def edge(number: Column) -> Column:
+        return F.col("low") + number * ((F.col("high") - F.col("low")) / bins)
+
+    # One row per feature. The division can land one bin off at an edge, so the
+    # edges themselves decide.
+    scale = F.lit(float(bins)) / (F.col("high") - F.col("low"))
+    guess = F.least(F.floor((F.col("value") - F.col("low")) * scale), F.lit(bins - 1))
+    counts = (
+        _long(df, features)
+        .join(F.broadcast(ranges), "feature")
+        .withColumn("bin", guess)
+        .withColumn("under", F.col("value") < edge(F.col("bin")))
+        .withColumn("over", (F.col("bin") < bins - 1) & (F.col("value") >= edge(F.col("bin") + 1)))
+        .groupBy("feature", (F.col("bin") - F.col("under").cast("int") + F.col("over").cast("int")).alias("bin"))
+        .agg(F.count("*").alias("n"))
     )
-    counts = binned.filter(F.col("bin").isNotNull()).groupBy("feature", "bin").agg(F.count("*").alias("n"))
-    frame = ranges.select(
-        _rows([F.struct(F.lit(f).alias("feature"), F.col(f).alias("range")) for f in features])
-    ).select("feature", "range", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
-    low, high = F.col("range.low"), F.col("range.high")
-    return (
-        frame.filter(low.isNotNull())
-        .join(counts, ["feature", "bin"], "left")
-        .select(
-            "feature",
-            "bin",
-            edge(low, high, F.col("bin")).alias("lower"),
-            edge(low, high, F.col("bin") + 1).alias("upper"),
-            F.coalesce("n", F.lit(0)).alias("n"),
-        )
+    frame = ranges.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
+    return frame.join(counts.withColumn("bin", F.col("bin").cast("int")), ["feature", "bin"], "left").select(
+        "feature",
+        "bin",
+        edge(F.col("bin")).alias("lower"),
+        edge(F.col("bin") + 1).alias("upper"),
+        F.coalesce("n", F.lit(0)).alias("n"),
     )
 
 
 def correlations(df: DataFrame, features: list[str]) -> DataFrame:
     """feature_a, feature_b, corr for each pair: Pearson, rows missing either value left out. One pass."""
     pairs = list(combinations(features, 2))
-
-    def pearson(a: str, b: str) -> Column:
-        x, y = _present(a), _present(b)
-        both = x.isNotNull() & y.isNotNull()
-        return F.corr(F.when(both, x), F.when(both, y))
-
-    row = df.agg(
+    row = df.select(*[_present(f).alias(f) for f in features]).agg(
         *[
-            F.struct(F.lit(b).alias("feature_a"), F.lit(a).alias("feature_b"), pearson(a, b).alias("corr")).alias(
-                f"_{i}"
-            )
+            F.struct(F.lit(b).alias("feature_a"), F.lit(a).alias("feature_b"), F.corr(a, b).alias("corr")).alias(f"_{i}")
             for i, (a, b) in enumerate(pairs)
         ]
     )

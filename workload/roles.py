@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from trackloom.operators import sampling
 from trackloom.plans.catalogue import Source
+from trackloom.session import materialize
 
 # Catalogue feature -> aggregate over the line items of a part. A mean is cut to six
 # digits in whole numbers, so that the order of a floating-point sum cannot show.
@@ -175,8 +176,8 @@ def factors(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def candidates(spark: SparkSession, folder: str) -> DataFrame:
-    """Held-out pairs, each with 99 negatives."""
-    split = split_plays(spark, folder)
+    """Held-out pairs, each with 99 negatives, from the stored splits."""
+    split = materialize(split_plays(spark, folder), "splits")
     pairs = sampling.eval_pairs(part_of(split, "validation"))
     return sampling.negative_samples(pairs, part_of(split, "train"))
 
