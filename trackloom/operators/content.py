@@ -59,11 +59,12 @@ def same_group_pool(
 def candidate_pool(near: DataFrame, group_pool: DataFrame, excluded: DataFrame) -> DataFrame:
     """Neighbours and same-group rows together, one row per id.
 
-    Only the neighbours (at most k per seed) are grouped; the larger side is
-    filtered against them.
+    Only the neighbours (at most k per seed) are grouped, and stored so that their
+    search runs once; the larger side is filtered against them.
     """
     columns = group_pool.columns
     unique = exclude(near.select(*columns).dropDuplicates(["track_id"]), excluded)
+    unique = materialize(unique, "near")
     return unique.unionByName(exclude(group_pool, unique))
 
 
@@ -133,7 +134,7 @@ def recommend_content(
     ``catalog`` has track_id, track_name, artist_name and ``features`` (an array).
     ``search`` is :func:`nearest` or :func:`nearest_lsh`.
     """
-    listed = normalize_playlist(playlist)
+    listed = materialize(normalize_playlist(playlist), "playlist")
     seeds = materialize(match_seeds(catalog, listed), "seeds")
     columns = ["track_id", "track_name", "artist_name"]
     id_type = catalog.schema["track_id"].dataType
@@ -141,7 +142,7 @@ def recommend_content(
     excluded = seeds.select("track_id").unionByName(given)
     score = mean_cosine(mean_direction(seeds)).alias(SCORE)
     near = search(catalog, seeds, k, keep=("track_name", "artist_name", "features"))
-    near = near.dropDuplicates(["track_id"]).select(*columns, score)
+    near = near.select(*columns, score)
     # The list takes at most ``size`` rows in score order, so no same-group row
     # beyond the best ``size`` can be on it.
     group = same_group_pool(catalog, listed, excluded).select(*columns, score)

@@ -390,13 +390,13 @@ def als_fit(spark: SparkSession, folder: str) -> DataFrame:
 
 def als_grid(spark: SparkSession, folder: str) -> DataFrame:
     split = roles.split_plays(spark, folder)
-    return collaborative.tune_als(roles.part_of(split, "train"), roles.part_of(split, "validation"))
+    return collaborative.tune_als(roles.part_of(split, "train"), roles.part_of(split, "validation"), parallelism=3)
 
 
 def als_final(spark: SparkSession, folder: str) -> DataFrame:
     split = materialize(roles.split_plays(spark, folder), "splits")
-    tuned = collaborative.train_final(*[roles.part_of(split, name) for name in ("train", "validation", "test")])
-    return tuned.test
+    parts = [roles.part_of(split, name) for name in ("train", "validation", "test")]
+    return collaborative.train_final(*parts, parallelism=3).test
 
 
 def recommended(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:

@@ -161,13 +161,14 @@ def vectors(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def vector_playlist(spark: SparkSession, folder: str) -> DataFrame:
-    return sampling.sample_playlist(vectors(spark, folder), PLAYLIST_SIZE)
+    """A stored playlist drawn from the catalogue."""
+    return materialize(sampling.sample_playlist(vectors(spark, folder), PLAYLIST_SIZE), "playlist")
 
 
 def vector_seeds(spark: SparkSession, folder: str) -> DataFrame:
-    """The playlist's rows of the catalogue."""
-    ids = vector_playlist(spark, folder).select("track_id")
-    return vectors(spark, folder).join(ids, "track_id", "left_semi")
+    """The playlist's rows of the catalogue, stored."""
+    ids = sampling.sample_playlist(vectors(spark, folder), PLAYLIST_SIZE).select("track_id")
+    return materialize(vectors(spark, folder).join(ids, "track_id", "left_semi"), "seeds")
 
 
 def factors(spark: SparkSession, folder: str) -> DataFrame:
