@@ -3,14 +3,13 @@
 The catalogue is read once and never shuffled. Each task keeps the ``k`` nearest
 rows it has seen per seed, so what leaves it is at most ``k`` rows per seed; a
 window over those picks the final ``k``. Distances come from one matrix product
-per Arrow batch. Seeds travel to the tasks in blocks of bounded size, one
-catalogue pass per block.
+per Arrow batch. Seeds travel to the tasks in blocks of bounded size; a playlist
+is one block, and more blocks are run and stored one after the other.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 from pyspark.ml.feature import BucketedRandomProjectionLSH
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -19,20 +18,19 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from trackloom.operators.dedupe import top_per_group
+from trackloom.session import scratch_path
 
 SEED_BLOCK = 4096
+# Seeds compared at a time, and (row, seed) pairs decided at a time, in a task.
 _CHUNK = 256
+_PAIRS = 1 << 16
 # Distances are compared at this many digits, so that the order of a
 # floating-point sum cannot decide between two rows; the id does.
 DIGITS = 9
 
 
 def _seed_blocks(seeds: DataFrame, id_column: str, block: int) -> Iterator[list[Row]]:
-    """The seeds in lists of about ``block`` rows; a playlist is one list."""
-    rows = seeds.limit(block + 1).collect()
-    if len(rows) <= block:
-        yield rows
-        return
+    """The seeds in lists of about ``block`` rows."""
     blocks = -(-seeds.count() // block)
     part = F.pmod(F.xxhash64(id_column), F.lit(blocks))
     for number in range(blocks):
@@ -78,11 +76,27 @@ def _local_nearest(seed_ids, seed_type, seed_vectors, seed_buckets, k, id_column
             bound[full] = dist[last[full]] ** 2
             return bound
 
+        def decided(batch, x, ids, row, seed, low):
+            """The plain distances of some pairs, cut to ``k`` per seed before rows are copied."""
+            delta = x[row] - seeds[seed + low]
+            dist = np.round(np.sqrt((delta * delta).sum(axis=1)), DIGITS)
+            pairs = best(
+                pa.table(
+                    [pa.array(seed + low, pa.int64()), pa.array(dist), ids.take(pa.array(row)), pa.array(row)],
+                    names=["_seed", "dist", id_column, "_row"],
+                )
+            )
+            rows = batch.take(pairs.column("_row").combine_chunks()).select(keep)
+            return pa.table(
+                [pairs.column("_seed"), pairs.column("dist"), *rows.columns], names=["_seed", "dist", *keep]
+            )
+
         pool = None
         bound = np.full(len(seeds), np.inf)
         for batch in batches:
             if batch.num_rows == 0:
                 continue
+            ids = batch.column(names.index(id_column))
             x = matrix(batch.column(names.index(vector_column)))
             lengths = (x * x).sum(axis=1)
             hashes = None if buckets is None else matrix(batch.column(names.index("_buckets")))
@@ -94,23 +108,18 @@ def _local_nearest(seed_ids, seed_type, seed_vectors, seed_buckets, k, id_column
                     shared = (hashes[:, None, :] == buckets[None, part, :]).any(axis=2)
                     near = np.where(shared, near, np.inf)
                 limit = bound[part]
-                if len(x) > k:
+                if len(x) > k and not np.isfinite(limit).all():
                     limit = np.minimum(limit, np.partition(near, k - 1, axis=0)[k - 1])
                 # The expanded square loses digits, so rows near the limit stay
                 # in and are decided by the plain distance below.
                 slack = 1e-7 * (1.0 + lengths[:, None] + squares[None, part])
                 row, seed = np.nonzero((near <= limit[None, :] + slack) & np.isfinite(near))
-                delta = x[row] - seeds[part][seed]
-                dist = np.round(np.sqrt((delta * delta).sum(axis=1)), DIGITS)
-                kept = batch.take(pa.array(row)).select(keep)
-                found.append(
-                    pa.table(
-                        [pa.array(seed + low, pa.int64()), pa.array(dist), *kept.columns],
-                        names=["_seed", "dist", *keep],
-                    )
-                )
-            pool = best(pa.concat_tables(found if pool is None else [pool, *found]))
-            bound = limits(pool)
+                for start in range(0, len(row), _PAIRS):
+                    some = slice(start, start + _PAIRS)
+                    found.append(decided(batch, x, ids, row[some], seed[some], low))
+            if found:
+                pool = best(pa.concat_tables(found if pool is None else [pool, *found]))
+                bound = limits(pool)
         if pool is None or pool.num_rows == 0:
             return
         ids = pa.array(seed_ids, type=seed_type).take(pool.column("_seed").combine_chunks())
@@ -147,8 +156,8 @@ def nearest(
         [StructField("seed_id", id_type), StructField("dist", DoubleType()), *[catalog.schema[c] for c in kept]]
     )
     source = catalog.select(*columns)
-    passes = []
-    for rows in _seed_blocks(seeds.select(id_column, vector_column, *extra), id_column, block):
+
+    def one_pass(rows: list[Row]) -> DataFrame:
         task = _local_nearest(
             [r[id_column] for r in rows],
             to_arrow_type(id_type),
@@ -160,10 +169,19 @@ def nearest(
             columns,
             kept,
         )
-        passes.append(source.mapInArrow(task, output))
-    found = reduce(DataFrame.unionByName, passes)
-    order = [F.col("dist").asc(), F.col(id_column).asc()]
-    return top_per_group(found, ["seed_id"], order, k, rank="rk")
+        order = [F.col("dist").asc(), F.col(id_column).asc()]
+        return top_per_group(source.mapInArrow(task, output), ["seed_id"], order, k, rank="rk")
+
+    wanted = seeds.select(id_column, vector_column, *extra)
+    rows = wanted.limit(block + 1).collect()
+    if len(rows) <= block:
+        return one_pass(rows)
+    # One block at a time is on the driver; its result is stored before the next.
+    path = scratch_path(catalog.sparkSession, "nearest")
+    for rows in _seed_blocks(wanted, id_column, block):
+        found = one_pass(rows)
+        found.write.mode("append").parquet(path)
+    return catalog.sparkSession.read.schema(found.schema).parquet(path)
 
 
 def fit_lsh(
