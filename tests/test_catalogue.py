@@ -141,6 +141,19 @@ def test_csv_round_trip(spark, tmp_path):
     assert {tuple(r) for r in back.collect()} == {rows[0], (None, "x", None), rows[2]}
 
 
+def test_csv_types_can_be_inferred(spark, tmp_path):
+    (tmp_path / "in.csv").write_text("a,b,c\n1,x,2.5\n2,,3\n")
+    assert tables.scan_csv(spark, str(tmp_path / "in.csv")).dtypes == [("a", "int"), ("b", "string"), ("c", "double")]
+
+
+def test_playlist_with_and_without_ids(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("track_id,track_name,artist_name\n,n,a\n007,m,b\n")
+    (tmp_path / "b.csv").write_text("track_name,artist_name\nn,a\n")
+    with_ids = tables.scan_playlist(spark, str(tmp_path / "a.csv"))
+    assert {r.track_id for r in with_ids.collect()} == {None, "007"}
+    assert tables.scan_playlist(spark, str(tmp_path / "b.csv")).columns == ["track_name", "artist_name"]
+
+
 DIRTY = '''user_id, "artistname", "trackname", "playlistname"
 u1, "A, B", "T1", "P"
 u2, "A", "T2"

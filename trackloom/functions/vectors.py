@@ -18,7 +18,7 @@ def dot(a: Column, b: Column) -> Column:
 
 
 def norm(a: Column) -> Column:
-    return F.sqrt(_total(F.transform(a, lambda x: x.cast("double") * x.cast("double"))))
+    return F.sqrt(F.aggregate(a, F.lit(0.0), lambda acc, x: acc + x.cast("double") * x.cast("double")))
 
 
 def euclidean(a: Column, b: Column) -> Column:

@@ -10,11 +10,18 @@ from trackloom.session import materialize
 CORRUPT_RECORD = "_corrupt_record"
 
 
-def scan_csv(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
-    """CSV with a header. The schema is given, so no pass is spent on inference."""
+def scan_csv(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
+    """CSV with a header. Give the schema where it is known: inferring the types reads the file once more."""
+    if schema is None:
+        return spark.read.csv(path, header=True, inferSchema=True)
     return spark.read.schema(schema).option("enforceSchema", "false").csv(path, header=True)
 
 
+def scan_playlist(spark: SparkSession, path: str) -> DataFrame:
+    """A seed playlist: track_name, artist_name and, where the file has it, track_id; all text."""
+    return repair_header(spark.read.csv(path, header=True))
+
+
 def scan_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 

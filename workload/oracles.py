@@ -126,6 +126,18 @@ def _shape() -> str:
     )
 
 
+def _schema() -> str:
+    def one(t: str) -> str:
+        return f"""SELECT '{t}' AS dataset, CAST(row_number() OVER () - 1 AS INTEGER) AS position,
+            column_name AS "column",
+            CASE column_type WHEN 'VARCHAR' THEN 'string' WHEN 'INTEGER' THEN 'int'
+                 WHEN 'TIMESTAMP' THEN 'timestamp_ntz' WHEN 'FLOAT[]' THEN 'array<float>'
+                 ELSE lower(column_type) END AS type
+            FROM (DESCRIBE SELECT * FROM {t})"""
+
+    return " UNION ALL ".join(one(t) for t in DATASETS)
+
+
 def _statistics() -> str:
     def one(c: str) -> str:
         return f"""SELECT '{c}' AS feature, round(avg({c}), 6) AS mean,
@@ -264,6 +276,7 @@ CONTENT = [VECTORS, PLAYLIST, NEAR, SCORE, GROUP, POOL, BLEND]
 
 # --- records -------------------------------------------------------------------
 
+# Every thirteenth record was cut short when it was made: it cannot be decoded.
 RECORDS = """good AS (
     SELECT event_id, 'T' || CAST(event_id AS VARCHAR) AS track_id,
            trim(upper(event_type) || ' ' || substr(props, 7, 1)) AS track_name,
@@ -296,6 +309,7 @@ def _records_lane() -> str:
     )
 
 
+# Lines 6 and 7 of an order were written with a field too few or too many.
 LINES = """lines AS (
     SELECT CAST(l_orderkey AS VARCHAR) AS user_id, p_brand || ', ' || p_name AS artistname, p_name AS trackname,
            l_returnflag AS playlistname, l_linenumber
@@ -309,6 +323,15 @@ ORACLES = {
         FROM (SELECT 'similar' AS section, * FROM overall UNION ALL SELECT 'same_group', * FROM slots) b
         JOIN vectors v ON b.track_id = v.track_id""",
     ),
+    "scan_playlist": _with(
+        VECTORS, PLAYLIST,
+        select="SELECT CAST(track_id AS VARCHAR) AS track_id, track_name, artist_name FROM playlist",
+    ),
+    "suggestions_csv": _with(
+        *CONTENT,
+        select="""SELECT v.track_name, v.artist_name, b.mean_cosine AS mean_cosine_score
+        FROM (SELECT * FROM overall UNION ALL SELECT * FROM slots) b JOIN vectors v ON b.track_id = v.track_id""",
+    ),
     "scan_catalog": "SELECT p_partkey, p_name, p_brand, p_retailprice FROM part",
     "tolerant_csv": _with(
         LINES, select="SELECT user_id, artistname, trackname, playlistname FROM lines WHERE l_linenumber NOT IN (6, 7)"
@@ -374,6 +397,7 @@ ORACLES = {
             l_linenumber = 3 AS l_quantity_was_null, l_linenumber = 5 AS l_tax_was_null
         FROM lineitem""",
     "profile_shape": _shape(),
+    "profile_schema": _schema(),
     "profile_missing": _missing(),
     "profile_dups": """SELECT CAST(sum(c) AS BIGINT) AS n_rows, CAST(sum(c - 1) AS BIGINT) AS n_duplicates,
             round(sum(c - 1) * CAST(100.0 AS DOUBLE) / sum(c), 6) AS pct

@@ -52,6 +52,21 @@ def scan_catalog(spark: SparkSession, folder: str) -> DataFrame:
     return table_source.scan_csv(spark, path, parts.schema)
 
 
+def scan_playlist(spark: SparkSession, folder: str) -> DataFrame:
+    """Write the drawn playlist as CSV and load it."""
+    path = scratch_path(spark, "playlist-csv")
+    sinks.write_csv(roles.vector_playlist(spark, folder), path)
+    return table_source.scan_playlist(spark, path)
+
+
+def suggestions_csv(spark: SparkSession, folder: str) -> DataFrame:
+    """Write the suggestion list as CSV and read it back."""
+    path = scratch_path(spark, "suggestions-csv")
+    songs = content_recs(spark, folder).select("track_name", "artist_name", content.SCORE)
+    sinks.write_csv(songs, path)
+    return table_source.scan_csv(spark, path, songs.schema)
+
+
 def tolerant_rows(spark: SparkSession, folder: str) -> str:
     """Write line items as a CSV with a dirty header and malformed rows; return its path.
 
@@ -447,6 +462,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         content_recs,
         scan_catalog,
+        scan_playlist,
+        suggestions_csv,
         tolerant_csv,
         csv_rejects,
         file_manifest,
