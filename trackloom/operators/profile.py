@@ -139,8 +139,9 @@ def medians(placed: DataFrame) -> DataFrame:
     def holds(position: Column) -> Column:
         return (F.col("before") <= position) & (position < F.col("reached"))
 
+    # One row per feature.
     return (
-        placed.join(spans, "feature")
+        placed.join(F.broadcast(spans), "feature")
         .filter(holds(low) | holds(high))
         .groupBy("feature")
         .agg(((F.min("value") + F.max("value")) / 2).alias("median"))

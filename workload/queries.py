@@ -295,7 +295,8 @@ def sample_playlist(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def eval_pairs(spark: SparkSession, folder: str) -> DataFrame:
-    return sampling.eval_pairs(roles.part_of(roles.split_plays(spark, folder), "validation"))
+    split = materialize(roles.split_plays(spark, folder), "splits")
+    return sampling.eval_pairs(roles.part_of(split, "validation"))
 
 
 def negative_samples(spark: SparkSession, folder: str) -> DataFrame:
@@ -404,7 +405,7 @@ def als_fit(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def als_grid(spark: SparkSession, folder: str) -> DataFrame:
-    split = roles.split_plays(spark, folder)
+    split = materialize(roles.split_plays(spark, folder), "splits")
     return collaborative.tune_als(roles.part_of(split, "train"), roles.part_of(split, "validation"), parallelism=3)
 
 
