@@ -294,7 +294,8 @@ def _cut_rows(span: int):
                     keep[b:e] = False
                     gone += e - b
                 kept = body[keep].tobytes() if gone else body.tobytes()
-                rows.append((size, gone, len(spans), hashlib.sha256(kept).hexdigest(), kept.decode("utf-8", "ignore")))
+                text = kept.decode("utf-8", "ignore") if batch.column("text")[i].is_valid else None
+                rows.append((size, gone, len(spans), hashlib.sha256(kept).hexdigest(), text))
             made = list(zip(*rows)) or [[]] * 5
             yield pa.RecordBatch.from_arrays(
                 [
@@ -346,7 +347,8 @@ def remove_repeats(docs: DataFrame, span: int = SPAN, key: int = KEY, limit: int
 
     kept_text is the remaining bytes as text; a character that lost some of its bytes is
     dropped from it (kept_sha256 is over the bytes as they are). Extra columns of
-    ``docs`` come back unchanged; columns of the names above are replaced.
+    ``docs`` come back unchanged; columns of the names above are replaced. The kept text of a
+    null text is null.
     """
     extra = [c for c in docs.columns if c not in (*_OWN, *_MADE)]
     rows = docs.select(*extra, "text").repartition("doc_id")
