@@ -30,8 +30,7 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the passages that a document of smaller id holds too."""
     cut = suffix_dedup.remove_repeats(docs)
-    text = F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("text"))
-    cut = cut.withColumn("text", text)
+    cut = cut.withColumn("text", F.col("kept_text"))
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
         size = F.when(F.col("n_removed") > 0, F.length("kept_text")).otherwise(F.col("n_chars"))
