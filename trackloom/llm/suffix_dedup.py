@@ -21,6 +21,11 @@ order of (anchor, document), in collections of bounded size. When an anchor has
 segments than one collection holds, the distinct windows seen so far are carried over.
 Exact copies of a text are settled by their digest and never reach steps 1 to 3.
 
+Texts are shuffled once, compressed, and that exchange serves all steps. Anchors are
+shuffled as packed arrays; those that a piece of some megabytes holds in two documents are
+known to be shared there and leave it once, so that a passage of a third of all documents
+brings a task one entry per piece, not one per document.
+
 Null text is empty. A null doc_id neither removes nor loses anything. Rows that repeat a
 doc_id do not remove each other's bytes; each is cut against the smaller ids.
 """
@@ -28,11 +33,13 @@ doc_id do not remove each other's bytes; each is cut against the smaller ids.
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trackloom.llm import arrays
@@ -40,6 +47,9 @@ from trackloom.llm import arrays
 SPAN = 50
 KEY = 20
 COLLECTION = 60_000
+RANGE = 1 << 25  # bytes of text whose anchors one task compares
+_PIECE = 1 << 22
+_SINGLE, _KNOWN, _HEAD = 0, 1, 2
 _NONE = np.iinfo(np.int64).max
 
 
@@ -81,24 +91,150 @@ def window_ranges(at: np.ndarray, values: np.ndarray, width: int) -> tuple[np.nd
     return low, high
 
 
-def _anchor_rows(span: int, key: int):
+def _planes(values: np.ndarray, kind) -> bytes:
+    """The bytes of ``values``, the lowest of all first: high bytes are mostly zero and compress."""
+    raw = np.ascontiguousarray(values, kind).view(np.uint8).reshape(len(values), np.dtype(kind).itemsize)
+    return raw.T.tobytes()
+
+
+def _unplaned(data: bytes, kind, width: int | None = None) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    width = width or size
+    raw = np.frombuffer(data, np.uint8).reshape(width, -1)
+    out = np.zeros((raw.shape[1], size), np.uint8)
+    out[:, :width] = raw.T
+    return out.view(kind).ravel()
+
+
+def _texts(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes of the compressed texts of a batch, and where each begins."""
+    bodies = [zlib.decompress(x) for x in batch.column("body").to_pylist()]
+    starts = np.concatenate([[0], np.cumsum([len(x) for x in bodies], dtype=np.int64)]).astype(np.int64)
+    return np.frombuffer(b"".join(bodies), np.uint8), starts
+
+
+def _packed(kind: int, part: int, docs, at, hashes) -> tuple:
+    """One row: anchors of one piece and part, in the order of their documents."""
+    new = np.flatnonzero(np.r_[True, docs[1:] != docs[:-1]]) if len(docs) else np.zeros(0, np.int64)
+    ids, counts = docs[new], np.diff(np.r_[new, len(docs)])
+    return (
+        part,
+        kind,
+        _planes(np.diff(ids, prepend=0), np.int64),
+        _planes(counts, np.int32),
+        _planes(at, np.int32),
+        _planes(hashes, np.uint64)[: 6 * len(hashes)],
+    )
+
+
+def _unpacked(row: dict):
+    ids = np.cumsum(_unplaned(row["docs"], np.int64))
+    docs = np.repeat(ids, _unplaned(row["counts"], np.int32))
+    return docs, _unplaned(row["at"], np.int32), _unplaned(row["hashes"], np.uint64, 6)
+
+
+_PACKED = "part int, kind int, docs binary, counts binary, at binary, hashes binary"
+_PACKED_NAMES = ["part", "kind", "docs", "counts", "at", "hashes"]
+
+
+def _anchor_rows(span: int, key: int, parts: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, starts = arrays.utf8(batch.column("text"))
+            batch = batch.filter(_eligible(batch))
+            if not batch.num_rows:
+                continue
+            data, starts = _texts(batch)
             ids = np.asarray(batch.column("doc_id"))
-            for first, last in arrays.pieces(starts):
-                base = starts[first]
-                own = starts[first : last + 1] - base
-                at, values = anchors(data[base : starts[last]], own, span, key)
-                row = np.searchsorted(own, at, side="right") - 1
+            for first, last in arrays.pieces(starts, _PIECE):
+                found = [(a, b) for a, b in _anchors_of(data, starts, first, last, span, key)]
+                at = np.concatenate([x[1] for x, _ in found])
+                row = np.concatenate([x[0] for x, _ in found])
+                # 48 bits: a chance match costs a comparison later, never a wrong result.
+                values = np.concatenate([v for _, v in found]) >> np.uint64(16)
+                if not len(at):
+                    continue
+                docs = ids[row]
+                order = np.argsort(values, kind="stable")
+                heads = np.flatnonzero(np.r_[True, values[order][1:] != values[order][:-1]])
+                low, high = np.minimum.reduceat(docs[order], heads), np.maximum.reduceat(docs[order], heads)
+                many = np.zeros(len(at), bool)
+                many[order] = np.repeat(low != high, np.diff(np.r_[heads, len(at)]))
+                known = values[order][heads][low != high]
+                rows = [_packed(_KNOWN, int(ids[first] % parts), docs[many], at[many], values[:0])] if many.any() else []
+                part = (values % np.uint64(parts)).astype(np.int64)
+                for which, sel in _by_part(part, ~many):
+                    rows.append(_packed(_SINGLE, which, docs[sel], at[sel], values[sel]))
+                for which, sel in _by_part((known % np.uint64(parts)).astype(np.int64), np.ones(len(known), bool)):
+                    rows.append(_packed(_HEAD, which, docs[:0], at[:0], known[sel]))
+                kinds = [pa.int32(), pa.int32(), *[pa.binary()] * 4]
                 yield pa.RecordBatch.from_arrays(
-                    [values.view(np.int64), ids[first:last][row], (at - own[row]).astype(np.int32)],
-                    names=["anchor", "doc_id", "at"],
+                    [pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=_PACKED_NAMES
                 )
 
     return run
 
 
+def _anchors_of(data, starts, first, last, span, key):
+    """((row, position in the text), hash) of the anchors of the rows, a smaller piece at a time."""
+    for a, b in arrays.pieces(starts[first : last + 1]):
+        a, b = a + first, b + first
+        own = starts[a : b + 1] - starts[a]
+        at, values = anchors(data[starts[a] : starts[b]], own, span, key)
+        row = np.searchsorted(own, at, side="right") - 1
+        yield (row + a, (at - own[row]).astype(np.int32)), values
+
+
+def _by_part(part: np.ndarray, chosen: np.ndarray):
+    rows = np.flatnonzero(chosen)
+    rows = rows[np.argsort(part[rows], kind="stable")]
+    cuts = np.flatnonzero(np.diff(part[rows])) + 1
+    for piece in np.split(rows, cuts):
+        if len(piece):
+            yield int(part[piece[0]]), piece
+
+
+def _shared_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Positions of the anchors that two documents hold, from the packed rows of whole parts."""
+    now, held = None, []
+
+    def out(docs, at):
+        return pa.RecordBatch.from_arrays([pa.array(docs), pa.array(at)], names=["doc_id", "at"])
+
+    def solve():
+        docs, at, values = (np.concatenate(x) for x in zip(*[_unpacked(r) for r in held]))
+        single = np.concatenate([np.full(len(r["hashes"]) // 6, r["kind"] == _SINGLE) for r in held])
+        known = values[~single]
+        values = values[single]
+        order = np.argsort(values, kind="stable")
+        sorted_ = values[order]
+        heads = np.flatnonzero(np.r_[True, sorted_[1:] != sorted_[:-1]]) if len(values) else np.zeros(0, np.int64)
+        if not len(heads):
+            return out(docs, at)
+        ids = docs[order]
+        shared = np.minimum.reduceat(ids, heads) != np.maximum.reduceat(ids, heads)
+        shared |= np.isin(sorted_[heads], known)
+        keep = order[np.repeat(shared, np.diff(np.r_[heads, len(values)]))]
+        return out(docs[keep], at[keep])
+
+    for batch in batches:
+        for row in batch.to_pylist():
+            if row["kind"] == _KNOWN:
+                docs, at, _ = _unpacked(row)
+                yield out(docs, at)
+                continue
+            if held and row["part"] != now:
+                yield solve()
+                held = []
+            now = row["part"]
+            held.append(row)
+    if held:
+        yield solve()
+
+
+def _eligible(batch: pa.RecordBatch) -> pa.Array:
+    return pc.and_(pc.is_valid(batch.column("doc_id")), pc.invert(batch.column("copy")))
+
+
 def _segment_rows(span: int, key: int):
     width = span - key + 1
 
@@ -129,7 +265,10 @@ def _segment_rows(span: int, key: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, starts = arrays.utf8(batch.column("text"))
+            batch = batch.filter(pc.and_(_eligible(batch), pc.is_valid(batch.column("at"))))
+            if not batch.num_rows:
+                continue
+            data, starts = _texts(batch)
             ids = np.asarray(batch.column("doc_id"))
             lists = batch.column("at")
             cuts, flat = np.asarray(lists.offsets), np.asarray(lists.values)
@@ -277,8 +416,9 @@ def merged(begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def _cut_rows(span: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, starts = arrays.utf8(batch.column("text"))
+            data, starts = _texts(batch)
             copies = batch.column("copy").to_pylist()
+            filled = batch.column("filled").to_pylist()
             begins, ends = batch.column("begins"), batch.column("ends")
             rows = []
             for i, copy in enumerate(copies):
@@ -294,45 +434,56 @@ def _cut_rows(span: int):
                     keep[b:e] = False
                     gone += e - b
                 kept = body[keep].tobytes() if gone else body.tobytes()
-                text = kept.decode("utf-8", "ignore") if batch.column("text")[i].is_valid else None
+                text = kept.decode("utf-8", "ignore") if filled[i] else None
                 rows.append((size, gone, len(spans), hashlib.sha256(kept).hexdigest(), text))
             made = list(zip(*rows)) or [[]] * 5
             yield pa.RecordBatch.from_arrays(
                 [
-                    *(batch.column(n) for n in batch.schema.names if n not in _OWN),
+                    *batch.column("extra").flatten(),
                     pa.array(made[0], pa.int64()),
                     pa.array(made[1], pa.int64()),
                     pa.array(made[2], pa.int64()),
                     pa.array(made[3], pa.string()),
                     pa.array(made[4], pa.string()),
                 ],
-                names=[*(n for n in batch.schema.names if n not in _OWN), *_MADE],
+                names=[*(f.name for f in batch.column("extra").type), *_MADE],
             )
 
     return run
 
 
-_OWN = ("text", "copy", "begins", "ends")
 _MADE = ("n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text")
 
 
-def removed_spans(texts: DataFrame, span: int = SPAN, key: int = KEY, limit: int = COLLECTION) -> DataFrame:
-    """Covered byte ranges (doc_id, begin, end) of texts with distinct contents; ranges may overlap.
+def _compress(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        texts = pc.fill_null(batch.column("text").cast(pa.string()), "").cast(pa.binary())
+        yield pa.RecordBatch.from_arrays(
+            [
+                batch.column("doc_id"),
+                batch.column("extra"),
+                pc.is_valid(batch.column("text")),
+                pa.array([zlib.compress(x, 1) for x in texts.to_pylist()], pa.binary()),
+            ],
+            names=["doc_id", "extra", "filled", "body"],
+        )
+
+
+def removed_spans(texts: DataFrame, parts: int, span: int = SPAN, key: int = KEY, limit: int = COLLECTION) -> DataFrame:
+    """Covered byte ranges (doc_id, begin, end) of the rows that are no copies; ranges may overlap.
 
-    ``texts`` has doc_id (not null) and text.
+    ``texts`` has doc_id, extra, filled, body (compressed text) and copy; anchors are
+    compared in ``parts`` parts.
     """
-    found = texts.where(F.octet_length("text") >= span).mapInArrow(
-        _anchor_rows(span, key), "anchor long, doc_id long, at int"
-    )
-    by_anchor = Window.partitionBy("anchor")
+    found = texts.mapInArrow(_anchor_rows(span, key, parts), _PACKED)
     shared = (
-        found.withColumn("lo", F.min("doc_id").over(by_anchor))
-        .withColumn("hi", F.max("doc_id").over(by_anchor))
-        .where("lo < hi")
+        found.repartition(parts, "part")
+        .sortWithinPartitions("part")
+        .mapInArrow(_shared_rows, "doc_id long, at int")
         .groupBy("doc_id")
         .agg(F.collect_list("at").alias("at"))
     )
-    segments = texts.join(shared, "doc_id").mapInArrow(
+    segments = texts.join(shared, "doc_id", "left").mapInArrow(
         _segment_rows(span, key), "anchor long, doc_id long, low int, lead short, bytes binary"
     )
     return (
@@ -342,43 +493,45 @@ def removed_spans(texts: DataFrame, span: int = SPAN, key: int = KEY, limit: int
     )
 
 
-def remove_repeats(docs: DataFrame, span: int = SPAN, key: int = KEY, limit: int = COLLECTION) -> DataFrame:
-    """``docs`` with text, n_bytes, n_removed, n_spans, kept_sha256 and kept_text.
+def remove_repeats(
+    docs: DataFrame, span: int = SPAN, key: int = KEY, limit: int = COLLECTION, range_: int = RANGE
+) -> DataFrame:
+    """``docs`` with n_bytes, n_removed, n_spans, kept_sha256 and kept_text in place of text.
 
     kept_text is the remaining bytes as text; a character that lost some of its bytes is
     dropped from it (kept_sha256 is over the bytes as they are). Extra columns of
     ``docs`` come back unchanged; columns of the names above are replaced. The kept text of a
     null text is null.
     """
-    extra = [c for c in docs.columns if c not in (*_OWN, *_MADE)]
-    rows = docs.select(*extra, "text").repartition("doc_id")
-    digest = F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)
+    extra = [c for c in docs.columns if c not in ("text", *_MADE)]
+    packed = docs.select("doc_id", F.struct(*extra).alias("extra"), "text")
+    kind = packed.schema["extra"].dataType.simpleString()
+    # Left joins only, and no filter on these columns: one exchange of the texts serves all three uses.
+    rows = packed.mapInArrow(_compress, f"doc_id long, extra {kind}, filled boolean, body binary").repartition("doc_id")
+    digests = docs.select("doc_id", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("digest"))
+    sizes = docs.agg(F.sum(F.octet_length("text")).alias("bytes")).first()
+    parts = max(1, -(-(sizes.bytes or 0) // range_))
     copies = (
-        docs.select("doc_id", digest.alias("digest"))
-        .groupBy("digest")
+        digests.groupBy("digest")
         .agg(F.min("doc_id").alias("keeper"), F.count("*").alias("n"))
         .where("n > 1 and keeper is not null")
         .drop("n")
     )
-    # The digest is taken twice, of the same text: cheaper than carrying it with every row.
+    # A doc_id that repeats is a copy only if all its texts are.
     marked = (
-        docs.select("doc_id", digest.alias("digest"))
-        .join(copies, "digest")
-        .where("doc_id > keeper")
-        .select("doc_id", F.col("digest").alias("copy_digest"))
-        .distinct()
+        digests.join(copies, "digest", "left")
+        .groupBy("doc_id")
+        .agg(F.min(F.coalesce(F.col("doc_id") > F.col("keeper"), F.lit(False))).alias("copied"))
+        .where("copied")
     )
-    flagged = rows.join(marked, "doc_id", "left")
-    is_copy = F.coalesce(F.col("copy_digest") == digest, F.lit(False))
-    texts = flagged.where(~is_copy & F.col("doc_id").isNotNull()).select("doc_id", "text")
+    texts = rows.join(marked, "doc_id", "left").withColumn("copy", F.coalesce("copied", F.lit(False))).drop("copied")
     spans = (
-        removed_spans(texts, span, key, limit)
-        .groupBy(F.col("doc_id"))
+        removed_spans(texts, parts, span, key, limit)
+        .groupBy("doc_id")
         .agg(F.collect_list("begin").alias("begins"), F.collect_list("end").alias("ends"))
     )
-    joined = flagged.withColumn("copy", is_copy).drop("copy_digest").join(spans, "doc_id", "left")
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*extra).schema)
-    return joined.select(*extra, *_OWN).mapInArrow(
+    return texts.join(spans, "doc_id", "left").mapInArrow(
         _cut_rows(span),
         f"{schema}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept_text string",
     )
