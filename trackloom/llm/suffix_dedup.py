@@ -46,9 +46,9 @@ from trackloom.llm import arrays
 
 SPAN = 50
 KEY = 20
-COLLECTION = 60_000
-RANGE = 1 << 25  # bytes of text whose anchors one task compares
-_PIECE = 1 << 22
+COLLECTION = 30_000
+RANGE = 1 << 24  # bytes of text whose anchors one task compares
+_PIECE = 1 << 21
 _SINGLE, _KNOWN, _HEAD = 0, 1, 2
 _NONE = np.iinfo(np.int64).max
 
