@@ -282,7 +282,8 @@ def near_duplicates(
     )
     blocks = members.groupBy("component").agg(F.ceil(F.sum("n") / block).cast("int").alias("blocks"))
     # A doc_id that repeats with other texts must bring the text of its class: one row per (rep, text).
-    wanted = members.join(blocks, "component").select("component", "rep", "copies", "blocks")
+    # It grows with the input, so it is never broadcast, however small it is today.
+    wanted = members.join(blocks, "component").select("component", "rep", "copies", "blocks").hint("merge")
     sets = (
         texts.join(wanted, F.col("doc_id") == F.col("rep"))
         .select("component", "rep", "copies", "blocks", "text")
