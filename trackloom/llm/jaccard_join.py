@@ -35,7 +35,7 @@ WORDS = 5
 SIMILARITY = 0.8
 BANDS = 30
 ROWS = 6
-BLOCK = 1 << 20  # shingles of a block
+BLOCK = 1 << 17  # shingles of a block
 _COLUMNS = 1 << 12  # shingles of one matrix product
 
 
