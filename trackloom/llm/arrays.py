@@ -35,6 +35,13 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[starts[0] : starts[-1]], starts - starts[0]
 
 
+def small(batches: Iterator[pa.RecordBatch], rows: int = 1024) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of at most ``rows`` rows."""
+    for batch in batches:
+        for first in range(0, batch.num_rows, rows):
+            yield batch.slice(first, rows)
+
+
 def pieces(starts: np.ndarray, limit: int = PIECE) -> Iterator[tuple[int, int]]:
     """Row ranges whose texts hold about ``limit`` bytes together."""
     first, rows = 0, len(starts) - 1

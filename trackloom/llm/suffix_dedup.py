@@ -139,7 +139,7 @@ _PACKED_NAMES = ["part", "kind", "docs", "counts", "at", "hashes"]
 
 def _anchor_rows(span: int, key: int, parts: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in arrays.small(batches):
             batch = batch.filter(_eligible(batch))
             if not batch.num_rows:
                 continue
@@ -264,7 +264,7 @@ def _segment_rows(span: int, key: int):
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in arrays.small(batches):
             batch = batch.filter(pc.and_(_eligible(batch), pc.is_valid(batch.column("at"))))
             if not batch.num_rows:
                 continue
@@ -415,7 +415,7 @@ def merged(begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _cut_rows(span: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in arrays.small(batches):
             data, starts = _texts(batch)
             copies = batch.column("copy").to_pylist()
             filled = batch.column("filled").to_pylist()
@@ -456,7 +456,7 @@ _MADE = ("n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text")
 
 
 def _compress(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in arrays.small(batches):
         texts = pc.fill_null(batch.column("text").cast(pa.string()), "").cast(pa.binary())
         yield pa.RecordBatch.from_arrays(
             [

@@ -251,8 +251,8 @@ def learn_insults(sample: DataFrame, limit: int = PATTERNS) -> dict[bytes, tuple
         .groupBy("pattern")
         .agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"), F.bit_or("sketch").alias("sketch"))
         .withColumn("contexts", F.bit_count("sketch"))
-        # Copies of one text repeat a word in one context; an insult stands in many.
-        .where("toxic >= 3 and toxic > 25 * clean and contexts >= 0.4 * least(toxic, 40)")
+        # Fewer than six could be chance. Copies of one text repeat a word in one context.
+        .where("toxic >= 6 and toxic > 25 * clean and contexts >= 0.4 * least(toxic, 40)")
         .orderBy(F.desc(F.col("toxic") - 10 * F.col("clean")), "pattern")
         .limit(limit)
     )
