@@ -14,9 +14,14 @@ def normalized(name: Column) -> Column:
     return F.lower(F.trim(name))
 
 
+def stripped(text: Column) -> Column:
+    """Without white space of any kind at either end; the catalogue trims blanks only."""
+    return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
+
+
 def blank_to_null(text: Column) -> Column:
-    """Trimmed text; NULL when nothing is left."""
-    return F.nullif(F.trim(text), F.lit(""))
+    """Stripped text; NULL when nothing is left."""
+    return F.nullif(stripped(text), F.lit(""))
 
 
 def or_unknown(artist: Column) -> Column:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trackloom.functions import names, vectors
+from trackloom.operators.dedupe import top_per_group
 from trackloom.operators.neighbours import DIGITS, nearest
 from trackloom.session import materialize
 
@@ -17,31 +18,28 @@ SCORE = "mean_cosine_score"
 def normalize_playlist(playlist: DataFrame) -> DataFrame:
     """track_id ("" when absent), and names as the catalogue writes them."""
     has_id = "track_id" in playlist.columns
-    track_id = F.coalesce(F.trim(F.col("track_id").cast("string")), F.lit("")) if has_id else F.lit("")
+    track_id = F.coalesce(names.stripped(F.col("track_id").cast("string")), F.lit("")) if has_id else F.lit("")
     return playlist.select(
         track_id.alias("track_id"),
-        names.normalized(F.col("track_name")).alias("track_name"),
-        names.normalized(F.col("artist_name")).alias("artist_name"),
+        F.lower(names.stripped(F.col("track_name"))).alias("track_name"),
+        F.lower(names.stripped(F.col("artist_name"))).alias("artist_name"),
     )
 
 
 def match_seeds(catalog: DataFrame, playlist: DataFrame) -> DataFrame:
     """The catalogue rows a normalised playlist names: by id where it has one, else by names.
 
-    One pass over the catalogue; no match gives an empty relation.
+    Two semi joins with the small playlist; no match gives an empty relation.
     """
     pair = ["track_name", "artist_name"]
     by_id = playlist.filter(F.col("track_id") != "").select(
-        F.col("track_id").cast(catalog.schema["track_id"].dataType), F.lit(True).alias("_by_id")
-    )
-    by_name = playlist.filter(F.col("track_id") == "").select(*pair, F.lit(True).alias("_by_name"))
-    return (
-        catalog.join(by_id.distinct(), "track_id", "left")
-        .join(by_name.distinct(), pair, "left")
-        .filter(F.col("_by_id").isNotNull() | F.col("_by_name").isNotNull())
-        .select(*catalog.columns)
-        .dropDuplicates(["track_id"])
+        F.col("track_id").cast(catalog.schema["track_id"].dataType)
     )
+    by_name = playlist.filter(F.col("track_id") == "").select(*pair)
+    found = catalog.join(by_id, "track_id", "left_semi").select(*catalog.columns)
+    found = found.union(catalog.join(by_name, pair, "left_semi").select(*catalog.columns))
+    # Of rows that share an id the smallest values stay, so that reruns agree.
+    return top_per_group(found, ["track_id"], [F.col(c).asc_nulls_last() for c in catalog.columns], 1)
 
 
 def exclude(df: DataFrame, ids: DataFrame, id_column: str = "track_id") -> DataFrame:

@@ -61,8 +61,9 @@ def sample_playlist(catalog: DataFrame, n: int = 20, seed: int = SEED) -> DataFr
 
 
 def eval_pairs(held_out: DataFrame, n: int = 5000, seed: int = SEED) -> DataFrame:
-    """Up to ``n`` held-out (user, song) pairs to rank."""
-    return hash_sample(held_out.select("user_id", "song_id"), ["user_id", "song_id"], n, seed)
+    """Up to ``n`` held-out (user, song) pairs to rank, spread over all tasks again after the cut."""
+    pairs = hash_sample(held_out.select("user_id", "song_id"), ["user_id", "song_id"], n, seed)
+    return pairs.repartition("user_id", "song_id")
 
 
 def _next_prime(n: int) -> int:

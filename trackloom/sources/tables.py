@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
@@ -28,7 +30,7 @@ def scan_parquet(spark: SparkSession, path: str) -> DataFrame:
 
 def repair_header(df: DataFrame) -> DataFrame:
     """Strip blanks and quotes from the column names."""
-    return df.toDF(*[c.strip().strip('"') for c in df.columns])
+    return df.toDF(*[re.sub(r'^\s*"*|"*\s*$', "", name) for name in df.columns])
 
 
 def _dirty_reader(spark: SparkSession):

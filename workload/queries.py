@@ -136,7 +136,7 @@ def sink_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
 
 def model_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     """Fit, save and load a model; count its factors and their largest difference after the trip."""
-    model = factors.fit_als(roles.plays(spark, folder), iterations=2)
+    model = factors.fit_als(roles.plays(spark, folder))
     path = scratch_path(spark, "model")
     factors.save_model(model, path)
     loaded = factors.load_model(path)
