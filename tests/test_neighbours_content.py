@@ -51,6 +51,20 @@ def test_null_vector_is_an_error(spark):
         neighbours.nearest(bad, df.limit(1), 3).collect()
 
 
+@pytest.mark.parametrize("value", [None, float("nan"), float("inf")])
+def test_bad_element_is_an_error(spark, value):
+    df, _ = catalog(spark, n=5)
+    bad = df.limit(1).withColumn("features", F.array(*[F.lit(value).cast("double")] * 9))
+    with pytest.raises(Exception, match="in a vector column"):
+        neighbours.nearest(df.unionByName(bad), df.limit(1), 3).collect()
+
+
+def test_lsh_filters_before_the_arrow_stage(spark):
+    df, _ = catalog(spark, n=50)
+    plan = neighbours.nearest_lsh(df, df.limit(2), 5, bucket_length=0.25)._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("MapInArrow") < plan.index("_buckets") and "Filter" in plan[plan.index("MapInArrow"):]
+
+
 def test_lsh_finds_what_shares_a_bucket(spark):
     df, _ = catalog(spark, n=600)
     seeds = df.filter(F.col("track_id").isin("t0001", "t0002"))

@@ -10,6 +10,8 @@ is one block, and more blocks are run and stored one after the other.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
+from operator import or_
 
 from pyspark.ml.feature import BucketedRandomProjectionLSH
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -18,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from trackloom.operators.dedupe import top_per_group
-from trackloom.session import scratch_path
+from trackloom.session import materialize, scratch_path
 
 SEED_BLOCK = 4096
 # Seeds compared at a time, and (row, seed) pairs decided at a time, in a task.
@@ -52,9 +54,12 @@ def _local_nearest(seed_ids, seed_type, seed_vectors, seed_buckets, k, id_column
         buckets = None if seed_buckets is None else np.asarray(seed_buckets, dtype="float64")
 
         def matrix(column):
-            if column.null_count:
+            numbers = column.flatten()
+            if column.null_count or numbers.null_count:
                 raise ValueError("NULL in a vector column")
-            flat = column.flatten().to_numpy(zero_copy_only=False).astype("float64")
+            flat = numbers.to_numpy(zero_copy_only=False).astype("float64")
+            if not np.isfinite(flat).all():
+                raise ValueError("NaN or infinity in a vector column")
             return flat.reshape(len(column), -1)
 
         def best(pool):
@@ -100,25 +105,33 @@ def _local_nearest(seed_ids, seed_type, seed_vectors, seed_buckets, k, id_column
             x = matrix(batch.column(names.index(vector_column)))
             lengths = (x * x).sum(axis=1)
             hashes = None if buckets is None else matrix(batch.column(names.index("_buckets")))
-            found = []
             for low in range(0, len(seeds), _CHUNK):
                 part = slice(low, low + _CHUNK)
-                near = lengths[:, None] + squares[None, part] - 2.0 * (x @ seeds[part].T)
+                use = np.arange(len(x))
                 if hashes is not None:
-                    shared = (hashes[:, None, :] == buckets[None, part, :]).any(axis=2)
-                    near = np.where(shared, near, np.inf)
+                    shared = np.zeros((len(x), len(seeds[part])), bool)
+                    for table in range(hashes.shape[1]):
+                        shared |= hashes[:, table, None] == buckets[None, part, table]
+                    use = np.flatnonzero(shared.any(axis=1))  # no other row is measured
+                    if not len(use):
+                        continue
+                near = lengths[use, None] + squares[None, part] - 2.0 * (x[use] @ seeds[part].T)
+                if hashes is not None:
+                    near = np.where(shared[use], near, np.inf)
                 limit = bound[part]
-                if len(x) > k and not np.isfinite(limit).all():
+                if len(use) > k and not np.isfinite(limit).all():
                     limit = np.minimum(limit, np.partition(near, k - 1, axis=0)[k - 1])
                 # The expanded square loses digits, so rows near the limit stay
                 # in and are decided by the plain distance below.
-                slack = 1e-7 * (1.0 + lengths[:, None] + squares[None, part])
+                slack = 1e-7 * (1.0 + lengths[use, None] + squares[None, part])
                 row, seed = np.nonzero((near <= limit[None, :] + slack) & np.isfinite(near))
+                row = use[row]
+                # Folded tile by tile: many equal vectors cannot pile up.
                 for start in range(0, len(row), _PAIRS):
                     some = slice(start, start + _PAIRS)
-                    found.append(decided(batch, x, ids, row[some], seed[some], low))
-            if found:
-                pool = best(pa.concat_tables(found if pool is None else [pool, *found]))
+                    found = decided(batch, x, ids, row[some], seed[some], low)
+                    pool = best(found if pool is None else pa.concat_tables([pool, found]))
+            if pool is not None:
                 bound = limits(pool)
         if pool is None or pool.num_rows == 0:
             return
@@ -143,8 +156,10 @@ def nearest(
 
     Returns seed_id, dist, rk, ``id_column`` and the ``keep`` columns. A seed that is
     in the catalogue is its own nearest row. ``seeds`` has ``id_column`` and
-    ``vector_column``. With ``bucket_columns`` both relations carry ``_buckets``
-    (see :func:`with_buckets`) and only rows that share a bucket are compared.
+    ``vector_column``. NULL, NaN or infinity in a vector is an error. With
+    ``bucket_columns`` both relations carry ``_buckets`` (see :func:`with_buckets`):
+    only rows that share a bucket are compared, and rows that share none with any
+    seed of a block are filtered out before the vectors leave the JVM.
     """
     from pyspark.sql.pandas.types import to_arrow_type
 
@@ -170,13 +185,19 @@ def nearest(
             kept,
         )
         order = [F.col("dist").asc(), F.col(id_column).asc()]
-        return top_per_group(source.mapInArrow(task, output), ["seed_id"], order, k, rank="rk")
+        near = source
+        if bucket_columns and rows:
+            # At most one number per seed of the block and hash table.
+            numbers = [sorted(set(values)) for values in zip(*(r["_buckets"] for r in rows))]
+            near = source.filter(reduce(or_, [F.col("_buckets")[i].isin(x) for i, x in enumerate(numbers)]))
+        return top_per_group(near.mapInArrow(task, output), ["seed_id"], order, k, rank="rk")
 
     wanted = seeds.select(id_column, vector_column, *extra)
     rows = wanted.limit(block + 1).collect()
     if len(rows) <= block:
         return one_pass(rows)
     # One block at a time is on the driver; its result is stored before the next.
+    wanted = materialize(wanted, "seeds")
     path = scratch_path(catalog.sparkSession, "nearest")
     for rows in _seed_blocks(wanted, id_column, block):
         found = one_pass(rows)

@@ -217,13 +217,19 @@ candidates AS (
     SELECT user_id, song_id, CAST(draw AS INTEGER), candidate FROM drawn WHERE draw <= 99)"""
 
 
+def _factors(source: str, key: str, size: int, where: str = "") -> str:
+    return f"""SELECT id, list_transform(range(1, {size + 1}), lambda i:
+        CAST((id % 8191 + 1) * (id % 8191 + 1 + i + {size}) * (i * 2 + 3) % 8191 - 4095 AS DOUBLE) / 4096) AS v
+        FROM (SELECT CAST({key} AS BIGINT) AS id FROM {source} {where})"""
+
+
 def _scored(size: int, name: str = "scored") -> str:
-    return f"""{name} AS (
+    return f"""{name}_u AS MATERIALIZED ({_factors("customer", "c_custkey", size)}),
+{name}_i AS MATERIALIZED ({_factors("part", "p_partkey", size, "WHERE p_partkey % 50 <> 0")}),
+{name} AS (
     SELECT c.candidate, c.user_id, c.song_id, c.draw,
-           coalesce(round(list_dot_product(CAST(u.embedding[1:{size}] AS DOUBLE[]),
-                                           CAST(i.embedding[1:{size}] AS DOUBLE[])), 9),
-                    CAST('-Infinity' AS DOUBLE)) AS score
-    FROM candidates c JOIN embeddings u ON c.user_id = u.vec_id LEFT JOIN embeddings i ON c.candidate = i.vec_id)"""
+           coalesce(round(list_dot_product(u.v, i.v), 9), CAST('-Infinity' AS DOUBLE)) AS score
+    FROM candidates c JOIN {name}_u u ON c.user_id = u.id LEFT JOIN {name}_i i ON c.candidate = i.id)"""
 
 
 def _ranks(scored: str = "scored", name: str = "ranks") -> str:
@@ -315,6 +321,14 @@ LINES = """lines AS (
            l_returnflag AS playlistname, l_linenumber
     FROM lineitem JOIN part ON l_partkey = p_partkey)"""
 
+
+def _list_checks(users: str) -> str:
+    return f"""SELECT {users}, least(10, (SELECT count(*) FROM songs) - count(*)) AS n_songs,
+        least(10, (SELECT count(*) FROM songs) - count(*)) AS n_distinct, CAST(0 AS BIGINT) AS n_played,
+        CAST(0 AS BIGINT) AS n_rises, CAST(0 AS BIGINT) AS n_nameless
+        FROM encoded GROUP BY {users} HAVING (SELECT count(*) FROM songs) > count(*)"""
+
+
 ORACLES = {
     "content_recs": _with(
         *CONTENT,
@@ -426,6 +440,19 @@ ORACLES = {
         VECTORS, PLAYLIST, NEAR,
         select="SELECT seed_id, dist, track_id, CAST(rk AS INTEGER) AS rk FROM near",
     ),
+    "knn_lsh": _with(
+        VECTORS, PLAYLIST, NEAR,
+        select="SELECT seed_id, dist, track_id, CAST(rk AS INTEGER) AS rk FROM near",
+    ),
+    "knn_lsh_checks": _with(
+        VECTORS, PLAYLIST,
+        select="""SELECT track_id AS seed_id, CAST(0 AS BIGINT) AS n_wrong, CAST(0 AS BIGINT) AS n_misplaced,
+            CAST(0 AS BIGINT) AS n_repeated, CAST(1 AS INTEGER) AS finds_itself FROM playlist""",
+    ),
+    "knn_recall": _with(
+        VECTORS, PLAYLIST, NEAR,
+        select="SELECT seed_id, CAST(1 AS DOUBLE) AS recall, count(*) AS neighbours FROM near GROUP BY seed_id",
+    ),
     "mean_cosine": _with(
         VECTORS, PLAYLIST, SCORE, select="SELECT track_id, mean_cosine FROM score"
     ),
@@ -461,11 +488,29 @@ ORACLES = {
             FROM splits WHERE split = 'train'
         UNION ALL SELECT 'item', 10, count(DISTINCT song_id) FROM splits WHERE split = 'train'""",
     ),
-    "recs_coverage": _with(
+    "als_grid": _with(
+        PLAYS, SPLIT, PAIRS,
+        select="""SELECT g.*, (SELECT count(*) FROM pairs WHERE user_id IN
+                (SELECT user_id FROM splits WHERE split = 'train')) AS n, true AS consistent
+        FROM (VALUES (CAST(0 AS INTEGER), CAST(10 AS INTEGER), CAST(0.1 AS DOUBLE), CAST(1 AS DOUBLE)),
+                     (1, 50, 0.1, 1), (2, 50, 0.1, 20)) g(grid_index, rank, "regParam", alpha)""",
+    ),
+    "als_final": _with(
+        PLAYS, SPLIT, PAIRS.replace("'validation'", "'test'"),
+        select="""SELECT count(*) AS n, true AS consistent FROM pairs
+            WHERE user_id IN (SELECT user_id FROM splits WHERE split = 'train')""",
+    ),
+    "recs_coverage": _with(ROWS, COUNTS, ENCODED, select=_list_checks("user_id")),
+    "recs_for_users": _with(
+        ROWS, COUNTS, ENCODED,
+        select=f"""SELECT * FROM ({_list_checks("user_id, user_id_original")})
+            WHERE CAST(user_id_original AS BIGINT) % 7 = 0""",
+    ),
+    "history_for_users": _with(
         ROWS, COUNTS, ENCODED,
-        select="""SELECT user_id, least(10, (SELECT count(*) FROM songs) - count(*)) AS n_songs,
-            CAST(0 AS BIGINT) AS n_played FROM encoded GROUP BY user_id
-            HAVING (SELECT count(*) FROM songs) > count(*)""",
+        select="""SELECT * FROM (SELECT *, CAST(row_number() OVER
+            (PARTITION BY user_id ORDER BY interaction DESC, song_id) AS INTEGER) AS rk FROM encoded)
+            WHERE rk <= 15 AND CAST(user_id_original AS BIGINT) % 7 = 0""",
     ),
     "explode_recs": _with(
         PLAYS, SPLIT, SCORES,

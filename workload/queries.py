@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from trackloom.functions import values
+from trackloom.functions import values, vectors
 from trackloom.operators import (
     clean,
     conform,
@@ -310,17 +310,39 @@ def knn_exact(spark: SparkSession, folder: str) -> DataFrame:
     return neighbours.nearest(roles.vectors(spark, folder), roles.vector_seeds(spark, folder))
 
 
+# Buckets this wide part the vectors by sign only, so that with so many tables no neighbour is missed.
+WIDE = {"bucket_length": 50.0, "tables": 24}
+NARROW = {"bucket_length": 0.1}
+
+
 def knn_lsh(spark: SparkSession, folder: str) -> DataFrame:
-    return neighbours.nearest_lsh(
-        roles.vectors(spark, folder), roles.vector_seeds(spark, folder), bucket_length=0.1
+    return neighbours.nearest_lsh(roles.vectors(spark, folder), roles.vector_seeds(spark, folder), **WIDE)
+
+
+def knn_lsh_checks(spark: SparkSession, folder: str) -> DataFrame:
+    """Narrow buckets: per seed the rows whose distance, place or uniqueness is wrong."""
+    catalog, seeds = roles.vectors(spark, folder), roles.vector_seeds(spark, folder)
+    found = neighbours.nearest_lsh(catalog, seeds, keep=("features",), **NARROW)
+    origin = seeds.select(F.col("track_id").alias("seed_id"), F.col("features").alias("_seed"))
+    order = Window.partitionBy("seed_id").orderBy("dist", "track_id")
+    own = F.round(vectors.euclidean(F.col("features"), F.col("_seed")), 6)
+    return (
+        found.join(origin, "seed_id")
+        .withColumns({"wrong": F.abs(own - F.col("dist")) > 1e-5, "place": F.row_number().over(order)})
+        .groupBy("seed_id")
+        .agg(
+            F.count_if("wrong").alias("n_wrong"),
+            F.count_if(F.col("place") != F.col("rk")).alias("n_misplaced"),
+            (F.count("*") - F.countDistinct("track_id")).alias("n_repeated"),
+            F.max((F.col("track_id") == F.col("seed_id")).cast("int")).alias("finds_itself"),
+        )
     )
 
 
 def knn_recall(spark: SparkSession, folder: str) -> DataFrame:
+    """The recall of wide buckets, which is complete."""
     catalog, seeds = roles.vectors(spark, folder), roles.vector_seeds(spark, folder)
-    return neighbours.recall(
-        neighbours.nearest(catalog, seeds), neighbours.nearest_lsh(catalog, seeds, bucket_length=0.1)
-    )
+    return neighbours.recall(neighbours.nearest(catalog, seeds), neighbours.nearest_lsh(catalog, seeds, **WIDE))
 
 
 def mean_cosine(spark: SparkSession, folder: str) -> DataFrame:
@@ -363,8 +385,7 @@ def content_recs(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def scored(spark: SparkSession, folder: str) -> DataFrame:
-    table_of_factors = roles.factors(spark, folder)
-    return factors.score_candidates(roles.candidates(spark, folder), table_of_factors, table_of_factors)
+    return factors.score_candidates(roles.candidates(spark, folder), *roles.factors(spark, folder))
 
 
 def score_candidates(spark: SparkSession, folder: str) -> DataFrame:
@@ -380,12 +401,12 @@ def rank_metrics(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def rank_results(spark: SparkSession, folder: str) -> DataFrame:
-    """Three factorisations, the embeddings cut to 16, 32 and 64 dimensions, on the same candidates."""
+    """Three factorisations, of 16, 32 and 64 dimensions, on the same candidates."""
     candidates = materialize(roles.candidates(spark, folder), "candidates")
     results = []
     for size in (16, 32, 64):
-        cut = roles.factors(spark, folder).withColumn("features", F.slice("features", 1, size))
-        results.append(({"rank": size}, evaluate.evaluate_factors(cut, cut, candidates)))
+        users, items = roles.factors(spark, folder, size)
+        results.append(({"rank": size}, evaluate.evaluate_factors(users, items, candidates)))
     return evaluate.stack_results(results)
 
 
@@ -404,36 +425,68 @@ def als_fit(spark: SparkSession, folder: str) -> DataFrame:
     return parts[0].unionByName(parts[1])
 
 
+def consistent(metrics: DataFrame, *columns: str) -> DataFrame:
+    """Whether hr and mrr are what they can be, in place of their values: ALS has no SQL."""
+    valid = (F.col("mrr") > 0) & (F.col("mrr") <= F.col("hr")) & (F.col("hr") <= 1)
+    return metrics.select(*columns, "n", valid.alias("consistent"))
+
+
 def als_grid(spark: SparkSession, folder: str) -> DataFrame:
     split = materialize(roles.split_plays(spark, folder), "splits")
-    return collaborative.tune_als(roles.part_of(split, "train"), roles.part_of(split, "validation"), parallelism=3)
+    train, validation = (roles.part_of(split, name) for name in ("train", "validation"))
+    results = collaborative.tune_als(train, validation, parallelism=3)
+    return consistent(results, "grid_index", "rank", "regParam", "alpha")
 
 
 def als_final(spark: SparkSession, folder: str) -> DataFrame:
+    """The test metrics of the refitted winner: their number of pairs and whether they are consistent."""
     split = materialize(roles.split_plays(spark, folder), "splits")
     parts = [roles.part_of(split, name) for name in ("train", "validation", "test")]
-    return collaborative.train_final(*parts, parallelism=3).test
+    return consistent(collaborative.train_final(*parts, parallelism=3).test)
 
 
-def recommended(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+def list_checks(songs: DataFrame, heard: DataFrame, *users: str) -> DataFrame:
+    """What must hold of each user's list: its length, repeats, songs played already, rows out of order."""
+    played = heard.select("user_id", "song_id", F.lit(1).alias("played"))
+    before = F.lag("confidence_score").over(Window.partitionBy("user_id").orderBy("rk"))
+    return (
+        songs.withColumn("rises", F.col("confidence_score") > before)
+        .join(played, ["user_id", "song_id"], "left")
+        .groupBy("user_id", *users)
+        .agg(
+            F.count("*").alias("n_songs"),
+            F.countDistinct("song_id").alias("n_distinct"),
+            F.count("played").alias("n_played"),
+            F.count_if("rises").alias("n_rises"),
+            F.count_if(F.col("track_name").isNull()).alias("n_nameless"),
+        )
+    )
+
+
+def recs_coverage(spark: SparkSession, folder: str) -> DataFrame:
+    """The lists of all users, checked."""
     encoded = materialize(encode_ids(spark, folder), "encoded")
-    model = factors.fit_als(encoded)
-    return factors.recommend_new(model, encoded), encoded
+    return list_checks(factors.recommend_new(factors.fit_als(encoded), encoded), encoded)
+
+
+def requested(encoded: DataFrame) -> DataFrame:
+    """The users a caller asks for, by their original ids: each seventh."""
+    known = encoded.select("user_id", "user_id_original").distinct()
+    return known.filter(F.col("user_id_original").cast("bigint") % 7 == 0)
 
 
 def recs_for_users(spark: SparkSession, folder: str) -> DataFrame:
-    return recommended(spark, folder)[0]
+    """The lists of requested users with their original ids, checked."""
+    encoded = materialize(encode_ids(spark, folder), "encoded")
+    users = requested(encoded)
+    songs = factors.recommend_new(factors.fit_als(encoded), encoded, users=users.select("user_id"))
+    return list_checks(songs.join(users, "user_id"), encoded, "user_id_original")
 
 
-def recs_coverage(spark: SparkSession, folder: str) -> DataFrame:
-    """How long each user's list is and how many of its songs the user had played already."""
-    songs, heard = recommended(spark, folder)
-    played = heard.select("user_id", "song_id", F.lit(1).alias("played"))
-    return (
-        songs.join(played, ["user_id", "song_id"], "left")
-        .groupBy("user_id")
-        .agg(F.count("*").alias("n_songs"), F.count("played").alias("n_played"))
-    )
+def history_for_users(spark: SparkSession, folder: str) -> DataFrame:
+    """The most played songs of requested users, with the original ids and the names."""
+    encoded = materialize(encode_ids(spark, folder), "encoded")
+    return interactions.user_history(encoded, users=requested(encoded))
 
 
 def score_table(spark: SparkSession, folder: str) -> DataFrame:
@@ -502,6 +555,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         negative_samples,
         knn_exact,
         knn_lsh,
+        knn_lsh_checks,
         knn_recall,
         mean_cosine,
         same_group_pool,
@@ -516,6 +570,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         als_final,
         recs_for_users,
         recs_coverage,
+        history_for_users,
         explode_recs,
         anti_heard,
     )

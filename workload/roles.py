@@ -171,9 +171,21 @@ def vector_seeds(spark: SparkSession, folder: str) -> DataFrame:
     return materialize(vectors(spark, folder).join(ids, "track_id", "left_semi"), "seeds")
 
 
-def factors(spark: SparkSession, folder: str) -> DataFrame:
-    """The embeddings as a factor table; most users and items have no row in it."""
-    return table(spark, folder, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("features"))
+def factor_table(ids: DataFrame, rank: int) -> DataFrame:
+    """A factor table of ``rank`` dimensions by a rule on the id: 4,096ths, so that any order of sums is exact."""
+    k = F.col("id") % 8191 + 1
+    parts = F.transform(
+        F.sequence(F.lit(1).cast("bigint"), F.lit(rank).cast("bigint")),
+        lambda i: (k * (k + i + rank) * (i * 2 + 3) % 8191 - 4095) / F.lit(4096.0),
+    )
+    return ids.select("id", parts.alias("features"))
+
+
+def factors(spark: SparkSession, folder: str, rank: int = 64) -> tuple[DataFrame, DataFrame]:
+    """Factors of every user and of every item but each fiftieth, which stands for the unseen items."""
+    users = table(spark, folder, "customer").select(F.col("c_custkey").alias("id"))
+    items = table(spark, folder, "part").select(F.col("p_partkey").alias("id")).filter(~every("id", 50))
+    return factor_table(users, rank), factor_table(items, rank)
 
 
 def candidates(spark: SparkSession, folder: str) -> DataFrame:
