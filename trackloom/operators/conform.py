@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # The audio features and the schema every source is brought to.
@@ -33,11 +33,9 @@ def conform(df: DataFrame, mapping: dict[str, str], target: dict[str, str] = TAR
     A value that does not fit its type becomes NULL, an unmapped column is a typed NULL.
     """
 
-    def one(name: str, kind: str) -> Column:
-        source = F.col(mapping[name]).try_cast(kind) if name in mapping else F.lit(None).cast(kind)
-        return source.alias(name)
-
-    return df.select(*[one(name, kind) for name, kind in target.items()])
+    known = df.select([df[source].alias(name) for name, source in mapping.items() if name in target])
+    absent = {name: F.lit(None) for name in target.keys() - mapping.keys()}
+    return known.withColumns(absent).select([F.col(name).try_cast(kind).alias(name) for name, kind in target.items()])
 
 
 def left_enrich(base: DataFrame, details: DataFrame, base_key: str, details_key: str) -> DataFrame:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -91,31 +89,33 @@ def blend(
 ) -> DataFrame:
     """``size - slots`` rows by score, then up to ``slots`` more of the seeds' groups.
 
-    ``pool`` is a stored relation with track_id, track_name, ``group_column`` and
-    the score. Repeated (name, group) pairs are dropped after the cut, the first
-    stays, so the list can be shorter than ``size``.
+    ``pool`` has unique track_id, track_name, ``group_column`` and the score, and is
+    computed once: the ``size`` best rows of the groups and the ``size`` best of the
+    others hold both parts. Repeated (name, group) pairs are dropped after the cut,
+    the first stays, so the list can be shorter than ``size``.
     """
     best_first = [F.col(SCORE).desc(), F.col("track_id").asc()]
-    overall = pool.orderBy(*best_first).limit(size - slots)
-    grouped = pool.join(groups.select(group_column).distinct(), group_column, "left_semi")
-    same_group = exclude(grouped, overall).orderBy(*best_first).limit(slots)
-    columns = ["track_id", "track_name", group_column, SCORE]
-    listed = reduce(
-        DataFrame.unionByName,
-        [
-            part.select(F.lit(i).alias("section"), *columns)
-            for i, part in enumerate([overall, same_group])
-        ],
-    )
-    # At most ``size`` rows from here on.
-    place = Window.partitionBy("section").orderBy(*best_first)
+    known = groups.select(group_column).distinct().withColumn("_grouped", F.lit(True))
+    marked = pool.join(known, group_column, "left").withColumn("_grouped", F.coalesce("_grouped", F.lit(False)))
+    # At most ``2 * size`` rows from here on.
+    best = top_per_group(marked, ["_grouped"], best_first, size)
+    placed = best.withColumn("_place", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(*best_first)))
+    placed = placed.withColumn("section", F.when(F.col("_place") <= size - slots, 0).when(F.col("_grouped"), 1))
+    order = Window.partitionBy("section").orderBy(*best_first)
     first = Window.partitionBy("track_name", group_column).orderBy("section", "rk")
+    listed = placed.filter("section is not null").withColumn("rk", F.row_number().over(order))
     return (
-        listed.withColumn("rk", F.row_number().over(place))
+        listed.filter((F.col("section") == 0) | (F.col("rk") <= slots))
         .withColumn("_copy", F.row_number().over(first))
         .filter(F.col("_copy") == 1)
-        .withColumn("section", F.when(F.col("section") == 0, "similar").otherwise("same_group"))
-        .drop("_copy")
+        .select(
+            F.when(F.col("section") == 0, "similar").otherwise("same_group").alias("section"),
+            "track_id",
+            "track_name",
+            group_column,
+            SCORE,
+            "rk",
+        )
     )
 
 
@@ -132,7 +132,7 @@ def recommend_content(
     ``catalog`` has track_id, track_name, artist_name and ``features`` (an array).
     ``search`` is :func:`nearest` or :func:`nearest_lsh`.
     """
-    listed = materialize(normalize_playlist(playlist), "playlist")
+    listed = normalize_playlist(playlist)
     seeds = materialize(match_seeds(catalog, listed), "seeds")
     columns = ["track_id", "track_name", "artist_name"]
     id_type = catalog.schema["track_id"].dataType
@@ -140,10 +140,9 @@ def recommend_content(
     excluded = seeds.select("track_id").unionByName(given)
     score = mean_cosine(mean_direction(seeds)).alias(SCORE)
     near = search(catalog, seeds, k, keep=("track_name", "artist_name", "features"))
-    near = near.select(*columns, score)
     # The list takes at most ``size`` rows in score order, so no same-group row
     # beyond the best ``size`` can be on it.
     group = same_group_pool(catalog, listed, excluded).select(*columns, score)
     group = group.orderBy(F.col(SCORE).desc(), F.col("track_id").asc()).limit(size)
-    pool = materialize(candidate_pool(near, group, excluded), "pool")
-    return blend(pool, listed, size, slots)
+    found = near.select(*columns, score).unionByName(group).dropDuplicates(["track_id"])
+    return blend(exclude(found, excluded), listed, size, slots)

@@ -32,9 +32,9 @@ def best_record(
     What is still tied goes to the earlier source and then to the smallest values.
     """
     columns = columns or [c for c in TARGET_TYPES if c != key]
-    named = F.coalesce(F.length(F.trim("artist_name")) > 0, F.lit(False))  # a blank name is none
     order = [
-        named.desc(),
+        # Only an empty name is none here; a blank one counts, as in the catalogues' own merge.
+        F.nullif("artist_name", F.lit("")).isNotNull().desc(),
         values.filled_count(columns).desc(),
         F.col(rank_column).asc(),
         *[F.col(c).asc_nulls_last() for c in columns],

@@ -27,7 +27,6 @@ PROFILE_FEATURES = [
     "valence",
     "tempo",
 ]
-_LONG_TEXT = 64
 
 
 def available_features(df: DataFrame, features: list[str] = PROFILE_FEATURES) -> list[str]:
@@ -85,12 +84,9 @@ def missing(df: DataFrame) -> DataFrame:
 
 
 def _comparable(df: DataFrame, name: str) -> Column:
-    """The value itself, or a SHA-256 in place of a long text: equal exactly when the values are."""
-    kind = df.schema[name].dataType
-    if isinstance(kind, (StringType, BinaryType)):
-        digest = F.concat(F.lit("#"), F.sha2(F.col(name), 256))
-        # A kept text has at most 64 characters, a digest 65: they never meet.
-        return F.when(F.length(name) > _LONG_TEXT, digest).otherwise(F.col(name).cast("string")).alias(name)
+    """The value itself, of texts the SHA-256: no row of the grouping holds a text."""
+    if isinstance(df.schema[name].dataType, (StringType, BinaryType)):
+        return F.unhex(F.sha2(F.col(name).cast("binary"), 256)).alias(name)
     return F.col(name)
 
 
