@@ -5,9 +5,10 @@ import math
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, DoubleType, LongType, StringType, StructField, StructType
 
 from trackloom.functions import names, values
-from trackloom.operators import clean, conform, dedupe, scale
+from trackloom.operators import clean, conform, dedupe, report, scale
 from trackloom.operators.conform import AUDIO_FEATURES, TARGET_TYPES
 from trackloom.plans import catalogue, records
 from trackloom.plans.catalogue import Source
@@ -191,6 +192,32 @@ def test_record_files(spark, tmp_path):
     assert record_source.rejected_records(rows).count() == 2
 
 
+def test_records_have_the_types_of_their_schema(spark):
+    schema = StructType(
+        [StructField("track_id", StringType()), StructField("year", LongType()), StructField("live", BooleanType()), StructField("tempo", DoubleType())]
+    )
+    good = '{"track_id": "\\t A\\n", "year": 1999, "live": true, "tempo": "7.5", "other": {"x": [1]}}'
+    texts = [good, '{"track_id": 5, "year": "soon", "live": "x", "tempo": NaN}', "{}", "", "null", "[{}]", '"a"', "{bad"]
+    files = spark.createDataFrame([(i, t.encode()) for i, t in enumerate(texts)], "path int, content binary")
+    files = files.union(spark.createDataFrame([(8, None), (9, b'{"track_id": "\xff"}')], files.schema))
+    plain = {r.path: r for r in record_source.extract_records(files, schema).collect()}
+    coded = {r.path: r for r in record_source.extract_records(files, schema, decode=lambda b: json.loads(b.decode("utf-8", "replace"))).collect()}
+    for rows in (plain, coded):
+        assert tuple(rows[0])[1:] == ("A", 1999, True, 7.5, None)
+        assert tuple(rows[1])[1:] == ("5", None, None, None, None)
+        assert tuple(rows[2])[1:] == (None,) * 5 and rows[9].track_id == "\ufffd"
+        assert all(rows[i].error and tuple(rows[i])[1:5] == (None,) * 4 for i in range(3, 9))
+    none = record_source.extract_records(files.limit(0), schema, decode=json.loads)
+    assert none.count() == 0 and none.columns == ["path", *schema.fieldNames(), "error"]
+
+
+def test_stage_report_follows(spark):
+    stages = {"a": spark.range(9), "b": spark.range(4), "c": spark.range(3)}
+    found = {r.stage: (r.stage_no, r.n_rows, r.n_removed) for r in report.stage_report(stages, {"c": "a"}).collect()}
+    assert found == {"a": (0, 9, 0), "b": (1, 4, 0), "c": (2, 3, 6)}
+    assert [r.n_removed for r in report.stage_report(stages).orderBy("stage_no").collect()] == [0, 5, 1]
+
+
 def test_records_lane_keeps_one_per_name(spark):
     rows = [(f"T{i}", "Same" if i < 5 else f"n{i}", "a", 100.0 + i, None if i % 2 else 1.0 * i) for i in range(12)]
     df = spark.createDataFrame(rows, "track_id string, track_name string, artist_name string, duration double, tempo double")

@@ -224,3 +224,26 @@ def correlations(df: DataFrame, features: list[str]) -> DataFrame:
         ]
     )
     return row.select(_rows([F.col(f"_{i}") for i in range(len(pairs))]))
+
+
+def profile(datasets: dict[str, DataFrame], features: list[str] = PROFILE_FEATURES) -> DataFrame:
+    """dataset, subject, measure, value: the profile of several datasets in one relation.
+
+    The subject is a column, or empty for the dataset itself. Each dataset gives n_rows,
+    n_columns and n_duplicates, n_missing of the columns that lack values, and the
+    statistics of those ``features`` it has. Its column types are in :func:`schema`.
+    """
+
+    def long(df: DataFrame, name: str, subject: Column, measures: list[str]) -> DataFrame:
+        rows = [F.struct(F.lit(m).alias("measure"), F.col(m).cast("double").alias("value")) for m in measures]
+        return df.select(F.lit(name).alias("dataset"), subject.alias("subject"), _rows(rows))
+
+    parts = []
+    for name, df in datasets.items():
+        parts.append(long(shape({name: df}), name, F.lit(""), ["n_rows", "n_columns"]))
+        parts.append(long(duplicates(df), name, F.lit(""), ["n_duplicates"]))
+        parts.append(long(missing(df), name, F.col("column"), ["n_missing"]))
+        if found := available_features(df, features):
+            measures = ["mean", "mode", "median", "std", "min", "max"]
+            parts.append(long(statistics(df, found), name, F.col("feature"), measures))
+    return reduce(DataFrame.unionByName, parts)

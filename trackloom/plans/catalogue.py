@@ -32,18 +32,23 @@ def merge_sources(sources: list[Source]) -> DataFrame:
     return dedupe.best_record(conform_sources(sources))
 
 
-def clean_catalog(merged: DataFrame, normalize_first: bool = False) -> DataFrame:
-    """Complete rows, one per (name, artist), tidy names, sane durations; not yet scaled.
+def cleaning_steps(merged: DataFrame, normalize_first: bool = False) -> dict[str, DataFrame]:
+    """Complete rows, then one per (name, artist), then tidy names and sane durations, by step.
 
     As ids are unique after the merge, one grouping is left. Names are compared as
     written unless ``normalize_first``.
     """
-    rows = clean.drop_incomplete(merged, AUDIO_FEATURES)
-    if normalize_first:
-        rows = clean.normalize_names(rows)
-    rows = dedupe.dedupe(rows, ["track_name", "artist_name"], ["track_id"])
-    rows = clean.normalize_names(clean.fill_unknown_artist(rows))
-    return clean.in_range(rows, "duration_ms", *DURATION_MS).withColumnRenamed("duration_ms", "duration")
+    complete = clean.drop_incomplete(merged, AUDIO_FEATURES)
+    rows = clean.normalize_names(complete) if normalize_first else complete
+    unique = dedupe.dedupe(rows, ["track_name", "artist_name"], ["track_id"])
+    named = clean.normalize_names(clean.fill_unknown_artist(unique))
+    cleaned = clean.in_range(named, "duration_ms", *DURATION_MS).withColumnRenamed("duration_ms", "duration")
+    return {"complete": complete, "unique_names": unique, "cleaned": cleaned}
+
+
+def clean_catalog(merged: DataFrame, normalize_first: bool = False) -> DataFrame:
+    """The last of :func:`cleaning_steps`; not yet scaled."""
+    return cleaning_steps(merged, normalize_first)["cleaned"]
 
 
 def build_catalog(sources: list[Source]) -> tuple[DataFrame, DataFrame]:
@@ -56,3 +61,12 @@ def build_catalog(sources: list[Source]) -> tuple[DataFrame, DataFrame]:
     cleaned = materialize(clean_catalog(merged), "cleaned")
     counts = report.stage_report({"merged": merged, "cleaned": cleaned})
     return scale.scale_minmax(cleaned, SCALED_COLUMNS), counts
+
+
+def catalog_report(sources: list[Source]) -> DataFrame:
+    """The report of every stage: each source, all of them, merged, and each cleaning step."""
+    merged = materialize(merge_sources(sources), "merged")
+    each = {f"source_{i}": conform.conform(s.rows, s.mapping) for i, s in enumerate(sources, 1)}
+    chain = {"sources": conform_sources(sources), "merged": merged, **cleaning_steps(merged)}
+    follows = dict(zip(list(chain)[1:], chain))
+    return report.stage_report(each | chain, follows)

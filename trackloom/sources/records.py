@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import json
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import DoubleType, StringType, StructField, StructType
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, FloatType, StringType, StructField, StructType
 
 from trackloom.functions import names, values
 
@@ -40,76 +40,74 @@ def file_manifest(spark: SparkSession, folder: str, pattern: str = "*") -> DataF
     )
 
 
-def json_record(content: bytes) -> dict:
-    """Decode one JSON object: the record decoder used when none is given."""
-    record = json.loads(content.decode("utf-8", errors="replace"))
-    if not isinstance(record, dict):
-        raise ValueError("a record must be an object")
-    return record
+def _parsed(files: DataFrame, columns: list[str], id_column: str) -> DataFrame:
+    """JSON objects: one text per column, and what could not be parsed as ``error``."""
+    texts = StructType([StructField(c, StringType()) for c in [*columns, "_bad"]])
+    raw = F.make_valid_utf8(F.col("content").cast("string"))
+    record = F.from_json(raw, texts, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"})
+    rows = files.select(id_column, record.alias("_record"))
+    # Of a record that is not an object nothing is known but that.
+    bad = F.col("_record").isNull() | F.col("_record._bad").isNotNull()
+    error = F.when(bad, F.concat(F.lit("no JSON object: "), F.coalesce(F.substring("_record._bad", 1, 100), F.lit(""))))
+    return rows.select(id_column, *[F.when(~bad, F.col(f"_record.`{c}`")).alias(c) for c in columns], error.alias("error"))
 
 
-def extract_records(
-    files: DataFrame,
-    schema: StructType = RECORD_SCHEMA,
-    decode: Callable[[bytes], dict] = json_record,
-    id_column: str = "path",
-    partitions: int | None = None,
-) -> DataFrame:
-    """One flat row per file; a file that cannot be decoded becomes a row with ``error`` set.
+def _decoded(files: DataFrame, columns: list[str], id_column: str, decode: Callable[[bytes], dict]) -> DataFrame:
+    """As :func:`_parsed`, by a function of the bytes of one file."""
+    key = files.schema[id_column]
+    output = StructType([key, *[StructField(c, StringType()) for c in [*columns, "error"]]])
 
-    ``files`` has ``id_column`` and ``content``. ``decode`` turns the bytes of one
-    file into a dict. Nothing aborts the job and no file is lost: good rows have
-    ``error`` NULL, see :func:`good_records` and :func:`rejected_records`.
-    Set ``partitions`` to spread a few large read tasks before the decoding.
-    """
-    kinds = {f.name: f.dataType.typeName() for f in schema.fields}
-    output = StructType([files.schema[id_column], *schema.fields, StructField("error", StringType())])
-    order = output.fieldNames()
-
-    def as_typed(value, kind):
-        if value is None:
-            return None
-        if kind != "string":
-            try:
-                return float(value)
-            except (TypeError, ValueError):
-                return None
+    def as_text(value):
+        if value is None or isinstance(value, str):
+            return value
         return value.decode("utf-8", errors="replace") if isinstance(value, bytes) else str(value)
 
-    def decoded(batches):
+    def task(batches):
         import pyarrow as pa
 
         for batch in batches:
-            columns = {name: [] for name in order}
-            for key, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                error = None
+            rows = []
+            for content in batch.column(1).to_pylist():
                 try:
                     record = decode(content)
+                    rows.append([*(as_text(record.get(c)) for c in columns), None])
                 except Exception as problem:
-                    record, error = {}, f"{type(problem).__name__}: {problem}"
-                columns[id_column].append(key)
-                for name, kind in kinds.items():
-                    columns[name].append(as_typed(record.get(name), kind))
-                columns["error"].append(error)
-            arrays = [pa.array(columns[id_column], type=batch.schema.field(0).type)]
-            arrays += [
-                pa.array(columns[name], type=pa.string() if kind == "string" else pa.float64())
-                for name, kind in kinds.items()
-            ]
-            arrays.append(pa.array(columns["error"], type=pa.string()))
-            yield pa.RecordBatch.from_arrays(arrays, names=order)
+                    rows.append([None] * len(columns) + [f"{type(problem).__name__}: {problem}"])
+            made = [pa.array(c, pa.string()) for c in zip(*rows)] or [pa.array([], pa.string())] * (len(columns) + 1)
+            yield pa.RecordBatch.from_arrays([batch.column(0), *made], names=output.fieldNames())
+
+    return files.mapInArrow(task, output)
+
+
+def extract_records(
+    files: DataFrame,
+    schema: StructType = RECORD_SCHEMA,
+    decode: Callable[[bytes], dict] | None = None,
+    id_column: str = "path",
+    partitions: int | None = None,
+) -> DataFrame:
+    """One flat row per file; a file that cannot be decoded becomes a row with ``error`` set.
 
+    ``files`` has ``id_column`` and ``content``. Records are JSON objects, parsed in the JVM;
+    for other formats ``decode`` turns the bytes of one file into a dict. A value that
+    does not fit its type becomes NULL, and so do blank text, NaN and infinities. Nothing
+    aborts the job and no file is lost: good rows have ``error`` NULL, see
+    :func:`good_records` and :func:`rejected_records`. Set ``partitions`` to spread a few
+    large read tasks before the decoding.
+    """
+    columns = schema.fieldNames()
     source = files.select(id_column, "content")
     if partitions:
         source = source.repartition(partitions)
-    rows = source.mapInArrow(decoded, output)
-    tidy = [
-        names.blank_to_null(rows[name]).alias(name)
-        if kind == "string"
-        else values.finite_or_null(rows[name]).alias(name)
-        for name, kind in kinds.items()
-    ]
-    return rows.select(id_column, *tidy, "error")
+    rows = _decoded(source, columns, id_column, decode) if decode else _parsed(source, columns, id_column)
+
+    def typed(field: StructField) -> Column:
+        if isinstance(field.dataType, StringType):
+            return names.blank_to_null(F.col(field.name))
+        value = F.col(field.name).try_cast(field.dataType)
+        return values.finite_or_null(value) if isinstance(field.dataType, (DoubleType, FloatType)) else value
+
+    return rows.select(id_column, *[typed(f).alias(f.name) for f in schema.fields], "error")
 
 
 def good_records(extracted: DataFrame, schema: StructType = RECORD_SCHEMA) -> DataFrame:

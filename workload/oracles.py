@@ -77,14 +77,18 @@ CLEANED = f"""cleaned AS (
 CATALOG = [ITEM, BASE, CONFORMED, MERGED, COMPLETE, _first_per_name("complete", "named"), CLEANED]
 
 
-def _scaled(column: str, source: str) -> str:
+def _unit(column: str, source: str) -> str:
     low, high = (f"(SELECT {f}({column}) FROM {source})" for f in ("min", "max"))
     return (
         f"CASE WHEN {low} = {high} THEN CASE WHEN {column} IS NOT NULL THEN CAST(0.5 AS DOUBLE) END "
-        f"ELSE round(({column} - {low}) / ({high} - {low}), 6) END AS {column}"
+        f"ELSE ({column} - {low}) / ({high} - {low}) END"
     )
 
 
+def _scaled(column: str, source: str) -> str:
+    return f"round({_unit(column, source)}, 6) AS {column}"
+
+
 def _catalog_lane() -> str:
     scaled = ", ".join(_scaled(c, "cleaned") for c in ["duration", *FEATURES])
     return _with(*CATALOG, select=f"SELECT track_id, track_name, artist_name, {scaled} FROM cleaned")
@@ -291,11 +295,22 @@ RECORDS = """good AS (
            CASE WHEN event_id % 5 <> 0 THEN value END AS tempo,
            CASE WHEN event_id % 3 <> 0 THEN value END AS loudness,
            CASE WHEN event_id % 4 <> 0 THEN value END AS artist_familiarity,
-           CASE WHEN event_id % 6 <> 0 THEN value END AS artist_hotttnesss
+           CASE WHEN event_id % 6 <> 0 THEN value END AS artist_hotttnesss,
+           CASE WHEN event_id % 3 <> 0 THEN value * 2 END AS song_hotttnesss
     FROM events WHERE event_id % 13 <> 0)"""
-
-
-def _records_lane() -> str:
+FILES = """good AS (
+    SELECT 'S' || CAST(s_suppkey AS VARCHAR) AS track_id, upper(s_name) AS track_name,
+           CASE WHEN s_suppkey % 19 <> 0 THEN 'Nation ' || CAST(s_nationkey AS VARCHAR) END AS artist_name,
+           CAST(s_suppkey % 1000 + 25 AS DOUBLE) AS duration,
+           CASE WHEN s_suppkey % 5 <> 0 THEN s_acctbal END AS tempo,
+           CASE WHEN s_suppkey % 3 <> 0 THEN s_acctbal END AS loudness,
+           CASE WHEN s_suppkey % 4 <> 0 THEN s_acctbal END AS artist_familiarity,
+           CASE WHEN s_suppkey % 6 <> 0 THEN s_acctbal END AS artist_hotttnesss,
+           CAST(s_nationkey AS DOUBLE) AS song_hotttnesss
+    FROM supplier WHERE s_suppkey % 13 <> 0)"""
+
+
+def _records_lane(good: str) -> str:
     numbers = ["duration", "tempo", "loudness", "artist_familiarity", "artist_hotttnesss", "song_hotttnesss"]
     imputed = ", ".join(f"coalesce({c}, (SELECT avg({c}) FROM rows)) AS {c}" for c in numbers)
     flags = ", ".join(f"{c} IS NULL AS {c}_was_null" for c in numbers)
@@ -303,18 +318,111 @@ def _records_lane() -> str:
     kept = ", ".join(f"{c}_was_null" for c in numbers)
     rows = """named AS (
         SELECT *, row_number() OVER (PARTITION BY track_name, artist_name ORDER BY track_id) AS rn
-        FROM (SELECT *, loudness * 2 AS song_hotttnesss FROM good)
+        FROM good
         WHERE track_id IS NOT NULL AND track_name IS NOT NULL AND artist_name IS NOT NULL),
     rows AS (SELECT * REPLACE (lower(trim(track_name)) AS track_name, lower(trim(artist_name)) AS artist_name)
              FROM named WHERE rn = 1 AND duration BETWEEN 30 AND 900)"""
     return _with(
-        RECORDS,
+        good,
         rows,
         f"imputed AS (SELECT track_id, track_name, artist_name, {imputed}, {flags} FROM rows)",
         select=f"SELECT track_id, track_name, artist_name, {scaled}, {kept} FROM imputed",
     )
 
 
+# --- whole lanes ---------------------------------------------------------------
+
+
+def _catalog_recs() -> str:
+    features = ", ".join(_unit(c, "cleaned") for c in ["duration", *FEATURES])
+    songs = f"""vectors AS MATERIALIZED (
+        SELECT track_id, track_name, artist_name, [{features}] AS f FROM cleaned WHERE track_id IS NOT NULL)"""
+    return _with(
+        *CATALOG, songs, PLAYLIST, NEAR, SCORE, GROUP, POOL, BLEND,
+        select="""SELECT * EXCLUDE (copy) FROM (
+            SELECT CASE part WHEN 0 THEN 'similar' ELSE 'same_group' END AS section, b.track_id, v.track_name,
+                   v.artist_name, b.mean_cosine AS mean_cosine_score, CAST(rk AS INTEGER) AS rk,
+                   row_number() OVER (PARTITION BY v.track_name, v.artist_name ORDER BY part, rk) AS copy
+            FROM (SELECT 0 AS part, * FROM overall UNION ALL SELECT 1, * FROM slots) b
+            JOIN vectors v ON b.track_id = v.track_id) WHERE copy = 1""",
+    )
+
+
+def _stages(*rows: tuple[str, str, str]) -> str:
+    """Rows of a stage report: name, relation, number of columns, and the relation before, if any."""
+    return " UNION ALL ".join(
+        f"""SELECT CAST({i} AS INTEGER) AS stage_no, '{name}' AS stage, (SELECT count(*) FROM {source}) AS n_rows,
+            CAST({columns} AS INTEGER) AS n_columns, {
+                f"(SELECT count(*) FROM {before}) - (SELECT count(*) FROM {source})" if before else "CAST(0 AS BIGINT)"
+            } AS n_removed"""
+        for i, (name, source, columns, before) in enumerate(rows)
+    )
+
+
+def _catalog_report() -> str:
+    each = [(f"source_{i + 1}", f"(SELECT * FROM conformed WHERE source_rank = {i})", 12, "") for i in range(5)]
+    return _with(
+        *CATALOG,
+        select=_stages(
+            *each,
+            ("sources", "conformed", 13, ""),
+            ("merged", "merged", 12, "conformed"),
+            ("complete", "complete", 12, "merged"),
+            ("unique_names", "named", 12, "complete"),
+            ("cleaned", "cleaned", 12, "named"),
+        ),
+    )
+
+
+PARTS = f"""parted AS (
+    SELECT * EXCLUDE (h), CASE WHEN h < CAST(round(0.8 * 4294967296) AS BIGINT) THEN 'train'
+        WHEN h < CAST(round(0.9 * 4294967296) AS BIGINT) THEN 'test' ELSE 'validation' END AS split
+    FROM (SELECT *, {_row_hash(["user_id", "song_id"], 42)} AS h FROM encoded))"""
+
+
+def _interaction_report() -> str:
+    complete = "(SELECT * FROM entries WHERE artistname IS NOT NULL AND trackname IS NOT NULL AND user_id IS NOT NULL)"
+    return _with(
+        ROWS, COUNTS, ENCODED, PARTS,
+        select=_stages(
+            ("rows", "entries", 4, ""),
+            ("complete", complete, 3, "entries"),
+            ("interactions", "parted", 7, complete),
+            ("users", "(SELECT DISTINCT user_id FROM parted)", 1, ""),
+            ("songs", "(SELECT DISTINCT song_id FROM parted)", 1, ""),
+            *[(p, f"(SELECT * FROM parted WHERE split = '{p}')", 7, "") for p in ("train", "test", "validation")],
+        ),
+    )
+
+
+def _profile_datasets() -> str:
+    names = ["track_id", "track_name", "artist_name"]
+    numbers = ["duration", "tempo", "loudness", "artist_familiarity", "artist_hotttnesss", "song_hotttnesss"]
+    described = {
+        "merged": ("merged", TARGET.split(", "), FEATURES),
+        "records": ("good", [*names, *numbers], ["loudness", "tempo"]),
+    }
+    rows = []
+    for label, (source, columns, features) in described.items():
+        def one(subject: str, measure: str, value: str) -> str:
+            return f"SELECT '{label}' AS dataset, '{subject}' AS subject, '{measure}' AS measure, CAST(({value}) AS DOUBLE) AS value"
+
+        keys = ", ".join(columns)
+        rows.append(one("", "n_rows", f"SELECT count(*) FROM {source}"))
+        rows.append(one("", "n_columns", str(len(columns))))
+        rows.append(one("", "n_duplicates", f"SELECT sum(c - 1) FROM (SELECT count(*) AS c FROM {source} GROUP BY {keys})"))
+        rows += [
+            f"SELECT * FROM ({one(c, 'n_missing', f'SELECT count(*) FROM {source} WHERE {c} IS NULL')}) WHERE value > 0"
+            for c in columns
+        ]
+        for f in features:
+            for measure, sql in (("mean", "avg"), ("median", "median"), ("std", "stddev_samp"), ("min", "min"), ("max", "max")):
+                rows.append(one(f, measure, f"SELECT round({sql}({f}), 6) FROM {source}"))
+            most = f"SELECT round({f}, 6) FROM {source} WHERE {f} IS NOT NULL GROUP BY {f} ORDER BY count(*) DESC, {f} LIMIT 1"
+            rows.append(one(f, "mode", most))
+    return _with(*CATALOG, RECORDS, select=" UNION ALL ".join(rows))
+
+
 # Lines 6 and 7 of an order were written with a field too few or too many.
 LINES = """lines AS (
     SELECT CAST(l_orderkey AS VARCHAR) AS user_id, p_brand || ', ' || p_name AS artistname, p_name AS trackname,
@@ -359,10 +467,11 @@ ORACLES = {
     "file_manifest": """SELECT event_type, CAST(sum(strlen(props) + 1) AS BIGINT) AS n_bytes
         FROM events GROUP BY event_type""",
     "extract_records": _with(
-        RECORDS, select="SELECT * EXCLUDE (event_id), CAST(NULL AS DOUBLE) AS song_hotttnesss FROM good"
+        RECORDS, select="SELECT * EXCLUDE (event_id) FROM good"
     ),
     "rejected_records": "SELECT event_id AS path FROM events WHERE event_id % 13 = 0",
-    "records_lane": _records_lane(),
+    "records_lane": _records_lane(RECORDS),
+    "records_from_files": _records_lane(FILES),
     "sink_roundtrip": _with(PLAYS, SPLIT, select="SELECT * FROM splits"),
     "model_roundtrip": """SELECT count(DISTINCT l_partkey) AS n_saved, count(DISTINCT l_partkey) AS n_loaded,
         CAST(0 AS DOUBLE) AS max_gap FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
@@ -373,6 +482,7 @@ ORACLES = {
         UNION ALL SELECT 1, 'cleaned', (SELECT count(*) FROM cleaned), 12,
             (SELECT count(*) FROM merged) - (SELECT count(*) FROM cleaned)""",
     ),
+    "catalog_report": _catalog_report(),
     "left_enrich": _with(
         ITEM,
         select=f"SELECT p_partkey, p_name, p_brand, {NUMBERS} FROM part LEFT JOIN item ON p_partkey = l_partkey",
@@ -427,6 +537,13 @@ ORACLES = {
             FROM (SELECT DISTINCT trackname FROM entries)""",
     ),
     "encode_ids": _with(ROWS, COUNTS, ENCODED, select="SELECT * FROM encoded"),
+    "user_lane": _with(
+        LINES, "entries AS (SELECT * FROM lines WHERE l_linenumber NOT IN (6, 7))", COUNTS, ENCODED, PARTS,
+        select="SELECT * FROM parted",
+    ),
+    "interaction_report": _interaction_report(),
+    "catalog_recs": _catalog_recs(),
+    "profile_datasets": _profile_datasets(),
     "user_history": _with(
         PLAYS,
         select="""SELECT * FROM (SELECT *, CAST(row_number() OVER

@@ -122,9 +122,15 @@ def rejected_records(spark: SparkSession, folder: str) -> DataFrame:
 
 def records_lane(spark: SparkSession, folder: str) -> DataFrame:
     good = record_source.good_records(extracted(spark, folder))
-    # One feature is missing in every record, which no mean can fill.
-    filled = good.withColumn("song_hotttnesss", F.col("loudness") * 2.0)
-    return rounded(records.build_records(filled, flags=True), *records.RECORD_NUMBERS)
+    return rounded(records.build_records(good, flags=True), *records.RECORD_NUMBERS)
+
+
+def records_from_files(spark: SparkSession, folder: str) -> DataFrame:
+    """One file per record: listed, spread over the tasks, decoded, cleaned, imputed and scaled."""
+    files = record_source.file_manifest(spark, roles.record_folder(spark, folder), "*.txt")
+    rows = record_source.extract_records(files, partitions=spark.sparkContext.defaultParallelism)
+    lane = records.build_records(record_source.good_records(rows), flags=True)
+    return rounded(lane, *records.RECORD_NUMBERS)
 
 
 def sink_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
@@ -153,6 +159,10 @@ def stage_report(spark: SparkSession, folder: str) -> DataFrame:
     return catalogue.build_catalog(roles.sources(spark, folder))[1]
 
 
+def catalog_report(spark: SparkSession, folder: str) -> DataFrame:
+    return catalogue.catalog_report(roles.sources(spark, folder))
+
+
 # --- catalogue -----------------------------------------------------------------
 
 
@@ -262,6 +272,13 @@ def profile_corr(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(profile.correlations(conform_sources(spark, folder), roles.FEATURES), "corr")
 
 
+def profile_datasets(spark: SparkSession, folder: str) -> DataFrame:
+    """The profile of the merged catalogue and of the records, each with the features it has."""
+    merged = materialize(best_record(spark, folder), "merged")
+    good = materialize(extract_records(spark, folder), "records")
+    return rounded(profile.profile({"merged": merged, "records": good}), "value")
+
+
 # --- interactions --------------------------------------------------------------
 
 
@@ -282,6 +299,22 @@ def encode_ids(spark: SparkSession, folder: str) -> DataFrame:
     return interaction_plan.build_interactions(roles.playlist_rows(spark, folder))
 
 
+def user_lane(spark: SparkSession, folder: str) -> DataFrame:
+    """From the tolerant CSV to encoded interactions, written by part and read back."""
+    raw = table_source.scan_dirty_csv(spark, tolerant_rows(spark, folder))
+    path = scratch_path(spark, "user-lane")
+    encoded = interaction_plan.build_interactions(raw)
+    sinks.write_parquet(interaction_plan.split_interactions(encoded), path, ("split",))
+    return table_source.scan_parquet(spark, path)
+
+
+def interaction_report(spark: SparkSession, folder: str) -> DataFrame:
+    """The row counts of the stages of :func:`user_lane`'s plan over the joined tables."""
+    raw = roles.playlist_rows(spark, folder)
+    split = interaction_plan.split_interactions(interaction_plan.build_interactions(raw))
+    return interaction_plan.interaction_report(raw, materialize(split, "splits"))
+
+
 def user_history(spark: SparkSession, folder: str) -> DataFrame:
     return interactions.user_history(roles.plays(spark, folder))
 
@@ -381,6 +414,16 @@ def content_recs(spark: SparkSession, folder: str) -> DataFrame:
     return content.recommend_content(roles.vectors(spark, folder), roles.vector_playlist(spark, folder))
 
 
+def catalog_recs(spark: SparkSession, folder: str) -> DataFrame:
+    """Recommendations from the scaled catalogue of the five sources: nine columns as one vector."""
+    scaled, _ = catalogue.build_catalog(roles.sources(spark, folder))
+    features = vectors.assembled(catalogue.SCALED_COLUMNS).alias("features")
+    songs = scaled.filter("track_id is not null").select("track_id", "track_name", "artist_name", features)
+    songs = materialize(songs, "songs")
+    playlist = materialize(sampling.sample_playlist(songs, roles.PLAYLIST_SIZE), "playlist")
+    return content.recommend_content(songs, playlist)
+
+
 # --- factor models and evaluation ----------------------------------------------
 
 
@@ -524,9 +567,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         extract_records,
         rejected_records,
         records_lane,
+        records_from_files,
         sink_roundtrip,
         model_roundtrip,
         stage_report,
+        catalog_report,
         left_enrich,
         conform_sources,
         best_record,
@@ -544,10 +589,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         profile_stats,
         profile_hist,
         profile_corr,
+        profile_datasets,
         interaction_counts,
         distinct_ids,
         dense_ids,
         encode_ids,
+        user_lane,
+        interaction_report,
         user_history,
         hash_split,
         sample_playlist,
@@ -561,6 +609,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         same_group_pool,
         candidate_pool,
         match_seeds,
+        catalog_recs,
         score_candidates,
         rank_positive,
         rank_metrics,

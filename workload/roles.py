@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from trackloom.operators import sampling
 from trackloom.plans.catalogue import Source
-from trackloom.session import materialize
+from trackloom.session import materialize, scratch_path
 
 # Catalogue feature -> aggregate over the line items of a part. A mean is cut to six
 # digits in whole numbers, so that the order of a floating-point sum cannot show.
@@ -209,6 +209,28 @@ def record_files(spark: SparkSession, folder: str) -> DataFrame:
         F.lit(', "loudness": '), F.when(every("event_id", 3), F.lit("null")).otherwise(number),
         F.lit(', "artist_familiarity": "'), F.when(every("event_id", 4), F.lit("none")).otherwise(number),
         F.lit('", "artist_hotttnesss": '), F.when(every("event_id", 6), F.lit("-Infinity")).otherwise(number),
+        F.lit(', "song_hotttnesss": '), F.when(every("event_id", 3), F.lit("null")).otherwise((F.col("value") * 2.0).cast("string")),
         F.when(every("event_id", 13), F.lit("")).otherwise(F.lit("}")),
     )
     return events.select(F.col("event_id").alias("path"), F.encode(text, "UTF-8").alias("content"))
+
+
+def record_folder(spark: SparkSession, folder: str) -> str:
+    """Write every supplier as a file of one JSON record, below a folder per nation; return the folder."""
+    path = scratch_path(spark, "records")
+    number = F.col("s_acctbal").cast("string")
+    text = F.concat(
+        F.lit('{"track_id": "S'), F.col("s_suppkey").cast("string"),
+        F.lit('", "track_name": "\\t'), F.upper("s_name"), F.lit(' \\n", "artist_name": "'),
+        F.when(every("s_suppkey", 19), F.lit(" \\t")).otherwise(F.concat(F.lit("Nation "), F.col("s_nationkey").cast("string"))),
+        F.lit('", "duration": '), (F.col("s_suppkey") % 1000 + 25).cast("string"),
+        F.lit(', "tempo": '), F.when(every("s_suppkey", 5), F.lit("NaN")).otherwise(number),
+        F.lit(', "loudness": '), F.when(every("s_suppkey", 3), F.lit("null")).otherwise(number),
+        F.lit(', "artist_familiarity": "'), F.when(every("s_suppkey", 4), F.lit("none")).otherwise(number),
+        F.lit('", "artist_hotttnesss": '), F.when(every("s_suppkey", 6), F.lit("-Infinity")).otherwise(number),
+        F.lit(', "song_hotttnesss": '), F.col("s_nationkey").cast("string"),
+        F.when(every("s_suppkey", 13), F.lit("")).otherwise(F.lit("}")),
+    )
+    rows = table(spark, folder, "supplier").select(F.col("s_nationkey").alias("nation"), text.alias("text"))
+    rows.write.partitionBy("nation").option("maxRecordsPerFile", 1).text(path)
+    return path
