@@ -240,3 +240,24 @@ def test_events_fold():
     events = [("open", "assistant", None, None, None), ("delta", None, None, None, "draft"), ("regenerate", None, None, None, None),
               ("delta", None, None, None, "helo "), ("delta", None, None, None, "world"), ("edit", None, 2, 2, "llo"), ("odd", None, 1, 1, "z")]
     assert chat.fold(events) == ("assistant", "hello world")
+
+
+def test_segments_settled_before_the_shuffle(spark):
+    """A passage of every document, twice in some, in one piece of texts."""
+    draw = np.random.default_rng(5)
+    passage = "".join(chr(97 + c) for c in draw.integers(0, 26, 160))
+
+    def noise(n):
+        return "".join(chr(97 + c) for c in draw.integers(0, 4, n))
+
+    rows = [(i, noise(int(draw.integers(0, 90))) + passage * (1 + i % 3 // 2) + noise(i)) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    got = suffix_dedup.remove_repeats(docs)
+    found = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got.collect()}
+    assert found == brute_removed(rows)
+    # Of the 60 equal segments inside the passage those of the least document alone go on.
+    same = np.frombuffer(passage.encode() * 3, np.uint8)
+    low = np.array([10, 170, 330])
+    held = suffix_dedup.held_earlier(np.full(3, 7, np.uint64), np.full(3, 5), low, np.full(3, 60), np.array([4, 2, 2]), same, 80)
+    assert held.tolist() == [True, False, False]
+    assert not suffix_dedup.held_earlier(np.full(2, 7, np.uint64), np.array([5, 6]), low[:2], np.full(2, 60), np.array([4, 2]), same, 80).any()

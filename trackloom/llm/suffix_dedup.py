@@ -8,6 +8,8 @@ document with a smaller id. Steps:
    anchors found in two documents matter, and the windows whose least hash they are.
 2. *Segments.* Such windows, with the bytes they cover, go to their anchor's hash:
    a segment is a string of at most ``2 * span - key`` bytes, aligned at its anchor.
+   Of equal segments in one piece of texts only those of the smallest document go
+   there: all windows of the others are removed, whatever else the anchor has.
 3. *Columns.* The segments of many anchors are built as one collection. Each round
    inserts one symbol per segment, from the last column to the first: the new order
    of the suffixes is the stable sort of the old one by the inserted symbol (the
@@ -235,10 +237,41 @@ def _eligible(batch: pa.RecordBatch) -> pa.Array:
     return pc.and_(pc.is_valid(batch.column("doc_id")), pc.invert(batch.column("copy")))
 
 
+def held_earlier(values, lead, low, sizes, docs, data: np.ndarray, columns: int) -> np.ndarray:
+    """Whether a smaller document has an equal segment (anchor, lead and bytes) among these."""
+    covered = np.zeros(len(values), bool)
+    order = np.argsort(values, kind="stable")
+    heads = np.flatnonzero(np.r_[True, values[order][1:] != values[order][:-1]]) if len(order) else order
+    counts = np.diff(np.r_[heads, len(order)])
+    some = order[np.repeat(counts > 1, counts)]
+    if not len(some):
+        return covered
+    padded = np.concatenate([data, np.zeros(columns, np.uint8)])
+    body = np.lib.stride_tricks.sliding_window_view(padded, columns)[low[some]]
+    body[np.arange(columns) >= sizes[some, None]] = 0
+    shape = np.column_stack([values[some].view(np.int64), lead[some], sizes[some]]).astype(np.int64)
+    rows = np.hstack([shape.view(np.uint8), body])
+    _, group = np.unique(rows.view(np.dtype((np.void, rows.shape[1]))).ravel(), return_inverse=True)
+    least = np.full(len(some), _NONE)
+    np.minimum.at(least, group, docs[some])
+    covered[some] = docs[some] > least[group]
+    return covered
+
+
 def _segment_rows(span: int, key: int):
     width = span - key + 1
+    names = ["anchor", "doc_id", "low", "lead", "bytes"]
+
+    def removed(docs, begin, end) -> pa.RecordBatch:
+        """Ranges of known result, in order: united, without bytes, their length in place of the lead."""
+        new = np.flatnonzero(np.r_[True, (docs[1:] != docs[:-1]) | (begin[1:] > end[:-1])])
+        last = np.r_[new[1:] - 1, len(docs) - 1]
+        docs, begin, size = docs[new], begin[new], end[last] - begin[new]
+        return pa.RecordBatch.from_arrays(
+            [docs, docs, begin.astype(np.int32), size.astype(np.int32), pa.nulls(len(docs), pa.binary())], names=names
+        )
 
-    def piece(data, own, ids, shared) -> pa.RecordBatch:
+    def piece(data, own, ids, shared) -> Iterator[pa.RecordBatch]:
         at, values = anchors(data, own, span, key)
         row = np.searchsorted(own, at, side="right") - 1
         known = np.isin(at, shared, assume_unique=True)
@@ -247,20 +280,25 @@ def _segment_rows(span: int, key: int):
         keep = known & (low <= high)
         at, row, low, high, values = at[keep], row[keep], low[keep], high[keep], values[keep]
         sizes = high - low + span
+        covered = held_earlier(values, at - low, low, sizes, ids[row], data, 2 * span - key)
+        if covered.any():
+            begin = (low - own[row])[covered]
+            yield removed(ids[row][covered], begin, begin + sizes[covered])
+            at, row, low, values, sizes = (x[~covered] for x in (at, row, low, values, sizes))
         ends = np.concatenate([[0], np.cumsum(sizes)])
         index = np.arange(ends[-1]) - np.repeat(ends[:-1] - low, sizes)
         body = pa.LargeBinaryArray.from_buffers(
             pa.large_binary(), len(at), [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(data[index].tobytes())]
         )
-        return pa.RecordBatch.from_arrays(
+        yield pa.RecordBatch.from_arrays(
             [
                 values.view(np.int64),
                 ids[row],
                 (low - own[row]).astype(np.int32),
-                (at - low).astype(np.int16),
+                (at - low).astype(np.int32),
                 body.cast(pa.binary()),
             ],
-            names=["anchor", "doc_id", "low", "lead", "bytes"],
+            names=names,
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -277,7 +315,7 @@ def _segment_rows(span: int, key: int):
                 own = starts[first : last + 1] - base
                 counts = np.diff(cuts[first : last + 1])
                 shared = flat[cuts[first] : cuts[last]] + np.repeat(own[:-1], counts)
-                yield piece(data[base : starts[last]], own, ids[first:last], np.sort(shared))
+                yield from piece(data[base : starts[last]], own, ids[first:last], np.sort(shared))
 
     return run
 
@@ -385,6 +423,13 @@ def _column_rows(span: int, key: int, limit: int):
 
         for batch in batches:
             batch = batch.select(names)
+            settled = pc.is_null(batch.column("bytes"))
+            if pc.any(settled).as_py():
+                docs, begin, length = (batch.filter(settled).column(n).to_numpy() for n in ("doc_id", "low", "lead"))
+                yield out((docs, begin, begin + length))
+                batch = batch.filter(pc.invert(settled))
+            if not batch.num_rows:
+                continue
             held.append(batch)
             size += batch.num_rows
             if size >= limit:
@@ -484,7 +529,7 @@ def removed_spans(texts: DataFrame, parts: int, span: int = SPAN, key: int = KEY
         .agg(F.collect_list("at").alias("at"))
     )
     segments = texts.join(shared, "doc_id", "left").mapInArrow(
-        _segment_rows(span, key), "anchor long, doc_id long, low int, lead short, bytes binary"
+        _segment_rows(span, key), "anchor long, doc_id long, low int, lead int, bytes binary"
     )
     return (
         segments.repartition("anchor")
