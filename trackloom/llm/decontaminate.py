@@ -13,7 +13,11 @@ of the item's bytes in edit distance.
 3. *Bit sampling.* ``samples`` keys of ``bits`` places from each of ``walks`` walks meet
    those of the items. Two embeddings that differ in a share h of the places share a key
    with probability 1 - (1 - (1 - h) ** bits) ** samples for each walk.
-4. *Verification.* Edit distance of the whole item to the best part around the window.
+4. *Seeds.* Of d + 1 runs of an item that do not overlap, d edits leave one as it is. Where a
+   text holds such a run the item can begin at most d bytes from the place that the run
+   implies, whatever is before it: text without spaces, a quote, a tag, half a word. These
+   places are candidates too, so that no leak is lost for where it begins.
+5. *Verification.* Edit distance of the whole item to the best part around the window.
 
 Items come to the tasks in blocks of ``ITEMS`` items, each at most ``LONGEST`` bytes, so
 that what is broadcast has a bound; a larger benchmark takes more passes. Longer items are
@@ -43,6 +47,7 @@ LONGEST = 2_000
 GRAM = 12
 _SLOTS = 22
 _SPREAD = 1.3  # longest to shortest item of a class
+_PAIRS = 1 << 20  # places and seeds compared at a time
 
 
 def grams(data: np.ndarray) -> np.ndarray:
@@ -131,14 +136,26 @@ class Probe:
                 tables.append((moves, sampled, index, np.take_along_axis(mine, order, 0), order))
             self.classes.append((first, last, short, max(1, need), reach, tables))
             first = last
-
-    def windows(self, data, starts):
+        self.sizes = np.array([len(t) for _, t, _ in self.items], np.int64)
+        self.most = np.array([d for _, _, d in self.items], np.int64)
+        self.seed_item = np.repeat(np.arange(len(self.items)), self.most + 1)
+        self.seed_at = GRAM * np.concatenate([np.arange(d + 1) for d in self.most]).astype(np.int64)
+        self.seed_run = np.concatenate([runs[:: GRAM][: d + 1] for runs, d in zip(self.grams, self.most)])
+        order = np.argsort(self.seed_run, kind="stable")
+        self.seed_item, self.seed_at, self.seed_run = self.seed_item[order], self.seed_at[order], self.seed_run[order]
+        self.seeded = np.zeros(1 << _SLOTS, bool)
+        self.seeded[self.seed_run] = True
+
+    def hits(self, runs, size):
+        """How many runs known from any item begin before each byte."""
+        hit = np.zeros(size + 1, np.int32)
+        if len(runs):
+            np.cumsum(self.known[runs], out=hit[1 : len(runs) + 1], dtype=np.int32)
+            hit[len(runs) + 1 :] = hit[len(runs)]
+        return hit
+
+    def windows(self, data, starts, hit):
         """For each class, words that begin a window with enough known runs."""
-        hit = np.zeros(len(data) + 1, np.int32)
-        if len(data) >= GRAM:
-            inside = self.known[grams(data)]
-            np.cumsum(inside, out=hit[1 : len(inside) + 1], dtype=np.int32)
-            hit[len(inside) + 1 :] = hit[len(inside)]
         begins, _, counts = arrays.words(data, starts)
         ends = np.repeat(starts[1:], counts)
         for group in self.classes:
@@ -148,10 +165,10 @@ class Probe:
             if keep.any():
                 yield group, begins[keep], ends[keep]
 
-    def candidates(self, data, starts):
+    def candidates(self, data, starts, hit):
         """(item index, window start) pairs that share a key, each once, and how often."""
         padded = np.r_[data, np.uint8(0)]
-        for (first, _, short, _, _, tables), begins, ends in self.windows(data, starts):
+        for (first, _, short, _, _, tables), begins, ends in self.windows(data, starts, hit):
             until = np.minimum(begins + short, ends)
             found = []
             for moves, sampled, index, sorted_keys, order in tables:
@@ -168,10 +185,38 @@ class Probe:
                 pairs, votes = np.unique(np.concatenate(found), return_counts=True)
                 yield pairs // (len(data) + 1), pairs % (len(data) + 1), votes
 
+    def seeds(self, data, starts, runs, hit):
+        """(row, item index, first, last): the item may begin between these bytes, by a seed that the row holds."""
+        places = np.flatnonzero(self.seeded[runs])
+        low = np.searchsorted(self.seed_run, runs[places])
+        counts = np.searchsorted(self.seed_run, runs[places], side="right") - low
+        total = np.concatenate([[0], np.cumsum(counts)])
+        held = [np.zeros(0, np.int64)]
+        for begin in range(0, int(total[-1]), _PAIRS):
+            pair = np.arange(begin, min(begin + _PAIRS, int(total[-1])))
+            k = np.searchsorted(total, pair, side="right") - 1
+            seed = low[k] + pair - total[k]
+            item, at = self.seed_item[seed], places[k] - self.seed_at[seed]
+            row = np.searchsorted(starts, places[k], side="right") - 1
+            left, right = starts[row], starts[row + 1]
+            size, most = self.sizes[item], self.most[item]
+            keep = (places[k] + GRAM <= right) & (at >= left - most) & (at + size - most <= right)
+            item, at, left, right, size, most = (x[keep] for x in (item, at, left, right, size, most))
+            stop = np.maximum(np.minimum(at + size + most, right) - GRAM + 1, left)
+            keep = hit[stop] - hit[np.maximum(at - most, left)] >= size - GRAM + 1 - GRAM * most
+            group = left + (at - left + most) // (2 * most + 1)
+            held.append(np.unique(item[keep] * (len(data) + 1) + group[keep]))
+        item, group = np.divmod(np.unique(np.concatenate(held)), len(data) + 1)
+        row = np.searchsorted(starts, group, side="right") - 1
+        first = starts[row] + (group - starts[row]) * (2 * self.most[item] + 1) - 2 * self.most[item]
+        return zip(row.tolist(), item.tolist(), first.tolist(), (first + 4 * self.most[item]).tolist())
+
     def leaks(self, data, starts):
         """(row, item id, distance, byte offset) of verified leaks, the best of each row and item."""
         best: dict[tuple[int, int], tuple[int, int]] = {}
-        for which, at, votes in self.candidates(data, starts):
+        runs = grams(data)
+        hit = self.hits(runs, len(data))
+        for which, at, votes in self.candidates(data, starts, hit):
             row = np.searchsorted(starts, at, side="right") - 1
             order = np.lexsort((at, -votes, row, which))
             tried: list[int] = []
@@ -195,6 +240,19 @@ class Probe:
                 distance, end = fitting_distance(item, around)
                 if distance <= most and distance < best.get((r, name), (most + 1, 0))[0]:
                     best[r, name] = (distance, max(left + end - len(item), low) - low)
+        for r, index, first, final in self.seeds(data, starts, runs, hit):
+            name, item, most = self.items[index]
+            low, high = int(starts[r]), int(starts[r + 1])
+            distance, begin = best.get((r, name), (most + 1, -1))
+            if distance == 0:
+                continue
+            left = max(low, first)
+            around = data[left : min(high, final + len(item))]
+            if np.isin(grams(around), self.grams[index]).sum() < len(item) - GRAM + 1 - GRAM * most:
+                continue
+            found, end = fitting_distance(item, around)
+            if found <= most and found < distance:
+                best[r, name] = (found, max(left + end - len(item), low) - low)
         return [(r, name, *value) for (r, name), value in sorted(best.items())]
 
 

@@ -6,7 +6,8 @@ at random, projected to a few dimensions, shifted at random on a grid and number
 the Hilbert curve. Spark sorts all keys; a vector's position falls into a block of bounded
 size, and a query visits the blocks within ``window`` of all positions around its own. A task
 holds a range of neighbouring blocks, merges each query's best over them, and scores by
-exact inner products in double precision. The best of all curves are merged at the end.
+exact inner products in double precision. Any number of queries may visit a block: they are
+scored in tiles of fixed size, so that no matrix grows with the table. The best of all curves are merged at the end.
 
 The window is a share of the rows, because vectors without low-dimensional structure (those
 of the test tables) need a fixed share to be found again; ``window`` and ``curves`` set
@@ -33,6 +34,8 @@ DIMENSIONS = 8
 BITS = 6
 WINDOW = 0.1
 BLOCK = 2048
+TILE = 1024  # queries scored at a time
+KEPT = 1 << 16  # queries whose lists a task holds
 
 
 def curve_keys(points: np.ndarray, bits: int) -> np.ndarray:
@@ -118,48 +121,71 @@ def _cut(query: np.ndarray, vec: np.ndarray, score: np.ndarray, k: int):
     return query[keep], vec[keep], score[keep]
 
 
-def _search_rows(size: int, k: int):
-    """Stream of blocks in order; what a query has found is kept while its blocks go on."""
+def _search_rows(size: int, k: int, tile: int, kept: int):
+    """Stream of blocks in order, in each the vectors before its queries, by id.
+
+    The vectors of one block are held and ``tile`` queries at a time. What a query has found is
+    kept while its blocks go on, up to ``kept`` queries; beyond that it is handed on, to
+    be merged with the rest at the end.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, held = None, []
+        key, vectors, queries, waiting = None, [], [], 0
         none = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
-        found = none
-
-        def solve():
-            nonlocal found
-            rows = pa.Table.from_batches(held).combine_chunks()
-            is_query = rows.column("query").to_numpy(zero_copy_only=False).astype(bool)
-            ids, x = rows.column("vec_id").to_numpy(), _matrix(rows.column("vector"), size)
-            qid, vid = ids[is_query], ids[~is_query]
-            gone = ~np.isin(found[0], qid)
-            out = tuple(a[gone] for a in found)
-            q, v, s = best(x[is_query], x[~is_query], qid, vid, k)
-            more = qid[q], vid[v], s
-            found = _cut(*(np.concatenate([a[~gone], b]) for a, b in zip(found, more)), k)
-            return out
+        before, found = none, []  # by the queries of earlier blocks, and by those of this one
 
         def packed(rows):
             return pa.RecordBatch.from_arrays(list(map(pa.array, rows)), names=["query_id", "vec_id", "score"])
 
+        def joined(parts):
+            return tuple(map(np.concatenate, zip(*parts))) if parts else none
+
+        def matrix(held):
+            rows = pa.Table.from_batches(held).combine_chunks()
+            return rows.column("vec_id").to_numpy(), _matrix(rows.column("vector"), size)
+
+        def solve():
+            nonlocal before, found, vectors, queries, waiting
+            if queries and vectors:
+                if isinstance(vectors, list):
+                    vectors = matrix(vectors)
+                qid, x = matrix(queries)
+                q, v, s = best(x, vectors[1], qid, vectors[0], k)
+                end = np.searchsorted(before[0], qid[-1], side="right")
+                mine = np.isin(before[0][:end], qid)
+                if not mine.all():
+                    yield packed(a[:end][~mine] for a in before)
+                found.append(_cut(*joined([[a[:end][mine] for a in before], (qid[q], vectors[0][v], s)]), k))
+                before = tuple(a[end:] for a in before)
+                if sum(len(f[0]) for f in found) > kept * k:
+                    yield packed(joined(found))
+                    found = []
+            queries, waiting = [], 0
+
         for batch in batches:
             curve, block = np.asarray(batch.column("curve")), np.asarray(batch.column("block"))
-            cuts = np.flatnonzero((np.diff(curve) != 0) | (np.diff(block) != 0)) + 1
+            query = np.asarray(batch.column("query").cast(pa.int8()))
+            cuts = np.flatnonzero((np.diff(curve) != 0) | (np.diff(block) != 0) | (np.diff(query) != 0)) + 1
             for a, b in zip(np.r_[0, cuts], np.r_[cuts, batch.num_rows]):
                 if a == b:
                     continue
                 now = int(curve[a]), int(block[a])
-                if key is not None and now != key:
-                    yield packed(solve())
-                    held = []
-                    if now[0] != key[0]:
-                        yield packed(found)
-                        found = none
-                key = now
-                held.append(batch.slice(a, b - a).select(["vec_id", "query", "vector"]))
-        if held:
-            yield packed(solve())
-            yield packed(found)
+                if now != key:
+                    yield from solve()
+                    yield packed(before)
+                    before, found, vectors, key = joined(found), [], [], now
+                if not query[a]:
+                    vectors.append(batch.slice(a, b - a).select(["vec_id", "vector"]))
+                    continue
+                while a < b:
+                    taken = min(b - a, tile - waiting)
+                    queries.append(batch.slice(a, taken).select(["vec_id", "vector"]))
+                    a, waiting = a + taken, waiting + taken
+                    if waiting == tile:
+                        yield from solve()
+        yield from solve()
+        yield packed(before)
+        yield packed(joined(found))
 
     return run
 
@@ -210,9 +236,9 @@ def search(
     found = (
         visits.join(rows, ["vec_id", "query"])
         .repartitionByRange("curve", "block")
-        .sortWithinPartitions("curve", "block")
+        .sortWithinPartitions("curve", "block", "query", "vec_id")
         .select("curve", "block", "vec_id", "query", "vector")
-        .mapInArrow(_search_rows(size, k), "query_id long, vec_id long, score double")
+        .mapInArrow(_search_rows(size, k, TILE, KEPT), "query_id long, vec_id long, score double")
     )
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (

@@ -8,7 +8,7 @@
 3. Classes that share a band value are linked to the least class of that value; the
    connected components of these links hold every candidate pair.
 4. Within a component all pairs are verified on the full shingle sets. A component is
-   cut into blocks of bounded size; each pair of blocks is one unit of work, in which
+   cut into blocks of bounded shingles and sets; each pair of blocks is one unit of work, in which
    the sizes of all intersections come from one product of incidence matrices. Only
    counts and one link per text to its group leave the task, never the pairs.
 
@@ -36,6 +36,7 @@ SIMILARITY = 0.8
 BANDS = 30
 ROWS = 6
 BLOCK = 1 << 17  # shingles of a block
+SETS = 1 << 11  # sets of a block, about: the matrices of two blocks have a row and a column for each
 _COLUMNS = 1 << 12  # shingles of one matrix product
 
 
@@ -252,6 +253,7 @@ def near_duplicates(
     bands: int = BANDS,
     rows: int = ROWS,
     block: int = BLOCK,
+    sets_block: int = SETS,
 ) -> DataFrame:
     """One row per document: doc_id, class_id, n_links, copy_id.
 
@@ -280,7 +282,8 @@ def near_duplicates(
     members = materialize(
         classes.select("k1", "k2", "n", "rep", "copies").join(found, F.col("rep") == F.col("node")).drop("node"), "members"
     )
-    blocks = members.groupBy("component").agg(F.ceil(F.sum("n") / block).cast("int").alias("blocks"))
+    most = F.greatest(F.sum("n") / block, F.count("*") / sets_block)
+    blocks = members.groupBy("component").agg(F.ceil(most).cast("int").alias("blocks"))
     # A doc_id that repeats with other texts must bring the text of its class: one row per (rep, text).
     # It grows with the input, so it is never broadcast, however small it is today.
     wanted = members.join(blocks, "component").select("component", "rep", "copies", "blocks").hint("merge")
