@@ -118,9 +118,62 @@ SELECT doc_id, size, source_size, target,
 FROM run
 """
 
+# Links are resolved where they are absolute or begin with a slash, without dot segments.
+URL_ALIASES = r"""
+WITH RECURSIVE rules(verdict, host, path) AS (
+  VALUES ('allow', 'com', '/'), ('block', 'example.com', '/en/'), ('allow', 'www.example.com', '/en/'),
+         ('block', 'net', '/es/'), ('block', 'net', '/fr/')
+), p AS (
+  SELECT row_number() OVER () AS row, page_id, url, html FROM pages
+), links AS (
+  SELECT row, url, unnest(regexp_extract_all(regexp_replace(coalesce(html, ''), '(?is)<!--.*?-->|<script\b.*?</script', ' ', 'g'),
+    '(?is)<(?:link|meta)\s[^>]*>')) AS tag FROM p
+), written AS (
+  SELECT row, url, CASE
+    WHEN tag ilike '<link%' AND regexp_matches(tag, '(?i)\srel\s*=\s*["'']?([^"''>]*\s)?canonical[\s"''>/]')
+      THEN regexp_extract(tag, '(?is)\shref\s*=\s*["'']?([^"''\s>]*)', 1)
+    WHEN tag ilike '<meta%' AND regexp_matches(tag, '(?i)\shttp-equiv\s*=\s*["'']?refresh[\s"''>/]')
+      THEN regexp_extract(tag, '(?is)[;,]\s*url\s*=\s*["'']?([^"''\s>]*)', 1) END AS link FROM links
+), said AS (
+  SELECT row, url, CASE WHEN link LIKE '%://%' THEN link
+    WHEN link LIKE '//%' THEN split_part(url, '://', 1) || ':' || link
+    ELSE regexp_extract(url, '^.*?://[^/?#]*') || link END AS target
+  FROM written WHERE url LIKE '%://%' AND (link LIKE '%://%' OR link LIKE '/%')
+), urls AS (SELECT DISTINCT url FROM (SELECT url FROM p UNION ALL SELECT target FROM said)),
+placed AS (
+  SELECT url, rest, regexp_extract(rest, '^[^/?#]*') AS raw, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path,
+    regexp_extract(regexp_extract(rest, '^[^#]*'), '\?(.*)$', 1) AS query
+  FROM (SELECT url, CASE WHEN position('://' IN url) > 0 THEN substr(url, position('://' IN url) + 3) END AS rest FROM urls)
+), place AS (
+  SELECT url, coalesce(translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+    coalesce(path, '') AS path,
+    CASE WHEN rest IS NOT NULL THEN
+      regexp_replace(translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), ':(80|443)$', '')
+      || rtrim(path, '/') || coalesce('?' || nullif(array_to_string(
+        list_filter(string_split(query, '&'), lambda x: x <> '' AND x NOT LIKE 'utm\_%' ESCAPE '\'), '&'), ''), '') END AS node
+  FROM placed
+), edges AS (
+  SELECT a.node AS u, b.node AS v FROM said JOIN place a ON a.url = said.url JOIN place b ON b.url = said.target
+), both_ways AS (SELECT u, v FROM edges UNION SELECT v, u FROM edges),
+reach(u, v) AS (SELECT u, v FROM both_ways UNION SELECT r.u, b.v FROM reach r JOIN both_ways b ON b.u = r.v),
+judged AS (
+  SELECT p.row, p.page_id, place.host, place.path, place.node,
+    arg_max(r.host || r.path, strlen(r.host || r.path)) AS rule, arg_max(r.verdict, strlen(r.host || r.path)) AS verdict
+  FROM p JOIN place ON place.url IS NOT DISTINCT FROM p.url
+  LEFT JOIN rules r ON ('.' || place.host) LIKE ('%.' || r.host) AND starts_with(place.path, r.path)
+  GROUP BY ALL
+), tainted AS (
+  SELECT node FROM judged WHERE verdict = 'block'
+  UNION SELECT reach.v FROM judged JOIN reach ON reach.u = judged.node WHERE verdict = 'block'
+)
+SELECT page_id, host, path, rule, coalesce(verdict, CASE WHEN node IN (SELECT node FROM tainted) THEN 'block' ELSE 'allow' END) AS verdict
+FROM judged
+"""
+
 ORACLES: dict[str, str] = {
     "op1_ngram_jaccard": JACCARD,
     "op2_warc_fixity": FIXITY,
     "op7_chat_format": CHAT,
     "op10_source_mix": MIX,
+    "op13_url_aliases": URL_ALIASES,
 }

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trackloom.llm import (
+    aliases,
     chat,
     decontaminate,
     fixity,
@@ -25,6 +26,16 @@ from trackloom.llm.tables import held_out, read
 __all__ = ["ORACLES", "QUERIES"]
 
 
+# The rules that op13 judges by.
+URL_RULES = [
+    ("allow", "com", "/"),
+    ("block", "example.com", "/en/"),
+    ("allow", "www.example.com", "/en/"),
+    ("block", "net", "/es/"),
+    ("block", "net", "/fr/"),
+]
+
+
 def near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_join.near_duplicates(read(spark, folder, "documents"))
 
@@ -105,6 +116,11 @@ def source_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(read(spark, folder, "documents"))
 
 
+def url_aliases(spark: SparkSession, folder: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "verdict string, host string, path string")
+    return aliases.judge(read(spark, folder, "pages"), rules)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard": near_duplicates,
     "op2_warc_fixity": warc_fixity,
@@ -116,4 +132,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": language_id,
     "op9_hilbert_ann": nearest_vectors,
     "op10_source_mix": source_mix,
+    "op13_url_aliases": url_aliases,
 }
