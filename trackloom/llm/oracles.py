@@ -118,6 +118,46 @@ SELECT doc_id, size, source_size, target,
 FROM run
 """
 
+CONVERSATION_TRIE = r"""
+WITH RECURSIVE crc AS (
+  SELECT list_transform(range(256), lambda b: list_reduce(list_concat([b], range(8)),
+    lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS codes
+), t AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS i
+  FROM conversations WHERE conv_id IS NOT NULL
+), c AS (
+  SELECT conv_id, conv_id - conv_id % 5 AS base, xor(list_reduce(list_concat([4294967295], list_transform(
+      string_split(conv_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+    lambda a, x: xor(a >> 8, codes[(xor(a, x) & 255) + 1])), 4294967295) % 9 AS h
+  FROM (SELECT DISTINCT conv_id FROM t), crc
+), r AS (
+  SELECT c.conv_id, t.i AS d, role, text FROM c JOIN t ON t.conv_id = c.base AND t.i <= h
+  UNION ALL
+  SELECT c.conv_id, least(h, (SELECT count(*) FROM t b WHERE b.conv_id = c.base)) + t.i - h, role, text
+  FROM c JOIN t ON t.conv_id = c.conv_id AND t.i > h
+), s AS (
+  SELECT conv_id, d, text, sha256(string_agg(sha256(role) || sha256(text), '') OVER (PARTITION BY conv_id ORDER BY d)) AS node FROM r
+), path AS (
+  SELECT conv_id, d, node, text FROM s UNION ALL SELECT conv_id, 0, '', '' FROM c
+), n AS (
+  SELECT node, d, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * any_value(strlen(text)) AS saved FROM path GROUP BY node, d
+), up AS (
+  SELECT n.*, p.node AS parent FROM n LEFT JOIN path p ON p.conv_id = n.conv_id AND p.d = n.d - 1
+), kids AS (SELECT parent, count(*) AS k FROM up GROUP BY parent),
+leafy AS (SELECT up.*, coalesce(k, 0) AS n_children FROM up LEFT JOIN kids ON kids.parent = up.node),
+below AS (
+  SELECT p.node, sum((n_children = 0)::BIGINT) AS n_leaves, sum(saved) AS saved
+  FROM leafy JOIN path p ON p.conv_id = leafy.conv_id AND p.d <= leafy.d GROUP BY p.node
+), ends AS (
+  SELECT node, string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) AS ids
+  FROM (SELECT conv_id, arg_max(node, d) AS node FROM path GROUP BY conv_id) GROUP BY node
+)
+SELECT l.conv_id, l.d AS depth, p.conv_id AS parent_conv_id, l.n_convs, l.n_children, b.n_leaves::BIGINT AS n_leaves,
+  b.saved::BIGINT AS saved_tokens, sha256(coalesce(ids, '')) AS ends_sha256
+FROM leafy l JOIN below b ON b.node = l.node LEFT JOIN n p ON p.node = l.parent LEFT JOIN ends ON ends.node = l.node
+"""
+
 # Links are resolved where they are absolute or begin with a slash, without dot segments.
 URL_ALIASES = r"""
 WITH RECURSIVE rules(verdict, host, path) AS (
@@ -175,5 +215,6 @@ ORACLES: dict[str, str] = {
     "op2_warc_fixity": FIXITY,
     "op7_chat_format": CHAT,
     "op10_source_mix": MIX,
+    "op11_conversation_trie": CONVERSATION_TRIE,
     "op13_url_aliases": URL_ALIASES,
 }

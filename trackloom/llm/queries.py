@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from trackloom.llm import (
     aliases,
+    alignment,
     chat,
     decontaminate,
     fixity,
@@ -16,6 +17,7 @@ from trackloom.llm import (
     jaccard_join,
     language,
     mixing,
+    prefix_tree,
     quality,
     suffix_dedup,
     toxicity,
@@ -36,6 +38,10 @@ URL_RULES = [
 ]
 
 
+# Public tokenizer files, the same on every executor.
+TOKENIZERS = "/opt/tokenizers"
+
+
 def near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_join.near_duplicates(read(spark, folder, "documents"))
 
@@ -116,6 +122,15 @@ def source_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(read(spark, folder, "documents"))
 
 
+def conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_tree.prefix_trie(read(spark, folder, "conversations"))
+
+
+def token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents")
+    return alignment.align(docs, f"{TOKENIZERS}/byte_bpe_50k.json", f"{TOKENIZERS}/piece_bpe_32k.model")
+
+
 def url_aliases(spark: SparkSession, folder: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "verdict string, host string, path string")
     return aliases.judge(read(spark, folder, "pages"), rules)
@@ -132,5 +147,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": language_id,
     "op9_hilbert_ann": nearest_vectors,
     "op10_source_mix": source_mix,
+    "op11_conversation_trie": conversation_trie,
+    "op12_token_alignment": token_alignment,
     "op13_url_aliases": url_aliases,
 }
