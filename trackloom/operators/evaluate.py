@@ -5,7 +5,7 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.ml.recommendation import ALSModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trackloom.operators import factors, sampling
@@ -47,6 +47,34 @@ def evaluate_factors(
     return rank_metrics(rank_positive(factors.score_candidates(candidates, user_factors, item_factors)), k)
 
 
+def write_bundle(path: str, user_factors: DataFrame, item_factors: DataFrame, candidates: DataFrame) -> None:
+    """Everything that the metrics of one factorisation follow from, as three tables below ``path``."""
+    user_factors.write.parquet(f"{path}/users")
+    item_factors.write.parquet(f"{path}/items")
+    candidates.write.parquet(f"{path}/candidates")
+
+
+# Written on its own: it shares no expression with the operators above.
+BUNDLE_SQL = """
+WITH scored AS (
+  SELECT c.user_id, c.song_id, c.draw,
+    coalesce(round(aggregate(zip_with(u.features, i.features, (x, y) -> double(x) * double(y)), 0D, (a, b) -> a + b), 9),
+             double('-Infinity')) AS score
+  FROM {candidates} c JOIN {users} u ON u.id = c.user_id LEFT JOIN {items} i ON i.id = c.candidate
+), placed AS (
+  SELECT draw, row_number() OVER (PARTITION BY user_id, song_id ORDER BY score DESC, draw) AS place FROM scored
+)
+SELECT coalesce(avg(if(place <= {k}, 1D, 0D)), 0D) AS hr, coalesce(avg(if(place <= {k}, 1D / place, 0D)), 0D) AS mrr, count(*) AS n
+FROM placed WHERE draw = 0
+"""
+
+
+def bundle_metrics(spark: SparkSession, path: str, k: int = 10) -> DataFrame:
+    """hr, mrr and n recomputed from a stored bundle by a ranking in SQL."""
+    names = ("candidates", "users", "items")
+    return spark.sql(BUNDLE_SQL.replace("{k}", str(k)), **{n: spark.read.parquet(f"{path}/{n}") for n in names})
+
+
 def evaluate_model(
     model: ALSModel,
     held_out: DataFrame,

@@ -1,145 +1,166 @@
-"""Nearest catalogue rows of each seed, exact or restricted to shared hash buckets.
-
-The catalogue is read once and never shuffled. Each task keeps the ``k`` nearest
-rows it has seen per seed, so what leaves it is at most ``k`` rows per seed; a
-window over those picks the final ``k``. Distances come from one matrix product
-per Arrow batch. Seeds travel to the tasks in blocks of bounded size; a playlist
-is one block, and more blocks are run and stored one after the other.
+"""Nearest catalogue rows of each seed, exact or among hash buckets, for any number of seeds.
+
+The exact search parts the catalogue by pivots: a row belongs to its nearest pivot's cell, and a
+cell is cut into rings by the distance to the pivot. A seed first searches the rings that
+lie nearest to it and hold ``k`` rows, which gives the distance of its ``k``-th row so far. By the
+triangle inequality, a row that is nearer lies in a ring whose distances to the pivot differ
+from the seed's by no more than that; and a row of another cell is at least half the
+difference of the seed's distances to the two pivots away. Only rings that pass both bounds
+are searched, and only the rows of rings that some seed searches are shuffled.
+
+Catalogue and seeds are relations that meet in :func:`trackloom.operators.blocked.best_in_blocks`.
+What the driver and every task hold is up to ``PIVOTS`` vectors and ``PIVOTS * RINGS`` rings.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
-from operator import or_
+from typing import NamedTuple
 
 from pyspark.ml.feature import BucketedRandomProjectionLSH
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StructField, StructType
+from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
+from trackloom.functions import values
+from trackloom.operators.blocked import DIGITS, best_in_blocks, matrix
 from trackloom.operators.dedupe import top_per_group
-from trackloom.session import materialize, scratch_path
+from trackloom.session import materialize
+
+__all__ = ["DIGITS", "fit_lsh", "nearest", "nearest_lsh", "recall", "rows_compared", "with_buckets"]
+
+PIVOTS = 256
+RINGS = 64
+# Rows that a task holds to compare seeds with.
+BLOCK = 1 << 15
+# Distances to pivots come from matrix products; bounds give way by this much of the lengths.
+SLACK = 1e-6
+
+
+class Rings(NamedTuple):
+    """What is known of the parted catalogue: the pivots, and of each ring (cell * RINGS + place) its bounds and size."""
+
+    pivots: list[list[float]]
+    ring: list[int]
+    near: list[float]
+    far: list[float]
+    size: list[int]
+
+
+def _pivots(rows: DataFrame, id_column: str) -> list[list[float]]:
+    """About the square root of the number of rows, spread by a hash of the id; different vectors."""
+    wanted = min(PIVOTS, max(1, round(rows.count() ** 0.5)))
+    first = rows.orderBy(values.row_hash([id_column], 17), id_column).limit(wanted).select("vector").collect()
+    for row in first:
+        if row["vector"] is None or None in row["vector"]:
+            raise ValueError("NULL in a vector column")
+    return [list(v) for v in dict.fromkeys(tuple(r["vector"]) for r in first)]
+
+
+def _to_pivots(x, pivots):
+    import numpy as np
+
+    squares = (x * x).sum(axis=1)[:, None] + (pivots * pivots).sum(axis=1) - 2 * (x @ pivots.T)
+    return np.sqrt(np.maximum(squares, 0))
+
+
+def _assign(pivots: list[list[float]]):
+    """Add the nearest pivot of each row and the distance to it."""
+
+    def run(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
 
-SEED_BLOCK = 4096
-# Seeds compared at a time, and (row, seed) pairs decided at a time, in a task.
-_CHUNK = 256
-_PAIRS = 1 << 16
-# Distances are compared at this many digits, so that the order of a
-# floating-point sum cannot decide between two rows; the id does.
-DIGITS = 9
+        points = np.asarray(pivots, dtype="float64")
+        for batch in batches:
+            x = matrix(batch.column("vector"))
+            cell = np.zeros(len(x), np.int64)
+            for start in range(0, len(x), 1024):
+                s = slice(start, start + 1024)
+                cell[s] = _to_pivots(x[s], points).argmin(axis=1)
+            far = np.sqrt(((x - points[cell]) ** 2).sum(axis=1))
+            names = [*batch.schema.names, "cell", "far"]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cell), pa.array(far)], names=names)
 
+    return run
 
-def _seed_blocks(seeds: DataFrame, id_column: str, block: int) -> Iterator[list[Row]]:
-    """The seeds in lists of about ``block`` rows."""
-    blocks = -(-seeds.count() // block)
-    part = F.pmod(F.xxhash64(id_column), F.lit(blocks))
-    for number in range(blocks):
-        yield seeds.filter(part == number).collect()
 
+def _visits(rings: Rings, k: int, further: bool):
+    """Seeds to the rings they search: key, block.
 
-def _local_nearest(seed_ids, seed_type, seed_vectors, seed_buckets, k, id_column, vector_column, names, keep):
-    """The task side: Arrow batches of catalogue rows in, the best ``k`` per seed out."""
+    First those nearest by the distance to the pivot, of the nearest cells, that hold ``k``
+    rows together; then (``further``) all that may hold a row within the seed's ``floor``.
+    """
 
-    def nearest(batches):
+    def run(batches: Iterator) -> Iterator:
         import numpy as np
         import pyarrow as pa
-        import pyarrow.compute as pc
-
-        if not seed_ids:
-            return
-        seeds = np.asarray(seed_vectors, dtype="float64")
-        squares = (seeds * seeds).sum(axis=1)
-        buckets = None if seed_buckets is None else np.asarray(seed_buckets, dtype="float64")
-
-        def matrix(column):
-            numbers = column.flatten()
-            if column.null_count or numbers.null_count:
-                raise ValueError("NULL in a vector column")
-            flat = numbers.to_numpy(zero_copy_only=False).astype("float64")
-            if not np.isfinite(flat).all():
-                raise ValueError("NaN or infinity in a vector column")
-            return flat.reshape(len(column), -1)
-
-        def best(pool):
-            order = pc.sort_indices(
-                pool, sort_keys=[("_seed", "ascending"), ("dist", "ascending"), (id_column, "ascending")]
-            )
-            pool = pool.take(order)
-            seed = pool.column("_seed").to_numpy()
-            place = np.arange(len(seed)) - np.searchsorted(seed, seed)
-            return pool.filter(pa.array(place < k))
-
-        def limits(pool):
-            """Per seed the k-th best squared distance so far, infinite while fewer are known."""
-            bound = np.full(len(seeds), np.inf)
-            seed = pool.column("_seed").to_numpy()
-            dist = pool.column("dist").to_numpy()
-            last = np.searchsorted(seed, np.arange(len(seeds)), side="right") - 1
-            full = np.bincount(seed, minlength=len(seeds)) >= k
-            bound[full] = dist[last[full]] ** 2
-            return bound
-
-        def decided(batch, x, ids, row, seed, low):
-            """The plain distances of some pairs, cut to ``k`` per seed before rows are copied."""
-            delta = x[row] - seeds[seed + low]
-            dist = np.round(np.sqrt((delta * delta).sum(axis=1)), DIGITS)
-            pairs = best(
-                pa.table(
-                    [pa.array(seed + low, pa.int64()), pa.array(dist), ids.take(pa.array(row)), pa.array(row)],
-                    names=["_seed", "dist", id_column, "_row"],
-                )
-            )
-            rows = batch.take(pairs.column("_row").combine_chunks()).select(keep)
-            return pa.table(
-                [pairs.column("_seed"), pairs.column("dist"), *rows.columns], names=["_seed", "dist", *keep]
-            )
-
-        pool = None
-        bound = np.full(len(seeds), np.inf)
+
+        points = np.asarray(rings.pivots, dtype="float64")
+        ring, size = np.asarray(rings.ring), np.asarray(rings.size)
+        near, far = np.asarray(rings.near), np.asarray(rings.far)
+        cell = ring // RINGS
+        held = np.bincount(cell, size, minlength=len(points))
+        longest = np.sqrt((points * points).sum(axis=1).max())
         for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            ids = batch.column(names.index(id_column))
-            x = matrix(batch.column(names.index(vector_column)))
-            lengths = (x * x).sum(axis=1)
-            hashes = None if buckets is None else matrix(batch.column(names.index("_buckets")))
-            for low in range(0, len(seeds), _CHUNK):
-                part = slice(low, low + _CHUNK)
-                use = np.arange(len(x))
-                if hashes is not None:
-                    shared = np.zeros((len(x), len(seeds[part])), bool)
-                    for table in range(hashes.shape[1]):
-                        shared |= hashes[:, table, None] == buckets[None, part, table]
-                    use = np.flatnonzero(shared.any(axis=1))  # no other row is measured
-                    if not len(use):
+            keys, x = np.asarray(batch.column("key")), matrix(batch.column("vector"))
+            out = []
+            slack = SLACK * (1 + longest + np.sqrt((x * x).sum(axis=1)))
+            if further:
+                floor = batch.column("floor").to_numpy(zero_copy_only=False).astype("float64")
+                limits = np.where(np.isnan(floor), np.inf, floor) + slack
+            for start in range(0, len(x), 1024):
+                for i, dist in enumerate(_to_pivots(x[start : start + 1024], points), start):
+                    own = dist[cell]
+                    if further:
+                        passes = (near <= own + limits[i]) & (far >= own - limits[i]) & ((own - dist.min()) / 2 <= limits[i])
+                        out.append(np.flatnonzero(passes))
                         continue
-                near = lengths[use, None] + squares[None, part] - 2.0 * (x[use] @ seeds[part].T)
-                if hashes is not None:
-                    near = np.where(shared[use], near, np.inf)
-                limit = bound[part]
-                if len(use) > k and not np.isfinite(limit).all():
-                    limit = np.minimum(limit, np.partition(near, k - 1, axis=0)[k - 1])
-                # The expanded square loses digits, so rows near the limit stay
-                # in and are decided by the plain distance below.
-                slack = 1e-7 * (1.0 + lengths[use, None] + squares[None, part])
-                row, seed = np.nonzero((near <= limit[None, :] + slack) & np.isfinite(near))
-                row = use[row]
-                # Folded tile by tile: many equal vectors cannot pile up.
-                for start in range(0, len(row), _PAIRS):
-                    some = slice(start, start + _PAIRS)
-                    found = decided(batch, x, ids, row[some], seed[some], low)
-                    pool = best(found if pool is None else pa.concat_tables([pool, found]))
-            if pool is not None:
-                bound = limits(pool)
-        if pool is None or pool.num_rows == 0:
-            return
-        ids = pa.array(seed_ids, type=seed_type).take(pool.column("_seed").combine_chunks())
-        out = pa.table([ids, *pool.columns[1:]], names=["seed_id", "dist", *keep])
-        yield from out.to_batches()
-
-    return nearest
+                    order = np.argsort(dist, kind="stable")
+                    last = np.searchsorted(np.cumsum(held[order]), k)
+                    inside = np.flatnonzero(np.isin(cell, order[: last + 1]))
+                    off = np.maximum(np.maximum(near[inside] - own[inside], own[inside] - far[inside]), 0)
+                    chosen = inside[np.argsort(off, kind="stable")]
+                    out.append(chosen[: np.searchsorted(np.cumsum(size[chosen]), k) + 1])
+            if out:
+                key = np.repeat(keys, [len(o) for o in out])
+                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(ring[np.concatenate(out)])], names=["key", "block"])
+
+    return run
+
+
+def _asking(seeds: DataFrame, id_column: str, vector_column: str) -> DataFrame:
+    """seed_id, vector and a number for each different seed."""
+    vector = F.transform(vector_column, lambda x: x.cast("double")).alias("vector")
+    rows = seeds.select(F.col(id_column).alias("seed_id"), vector).distinct()
+    return materialize(rows.withColumn("key", F.monotonically_increasing_id()), "seeds")
+
+
+def _final(found: DataFrame, asking: DataFrame, rows: DataFrame, k: int, id_column: str, kept: list[str]) -> DataFrame:
+    """seed_id, dist, rk and the kept columns of the ``k`` best rows found."""
+    # Rows at the limit stay until their ids decide: no more than k of a block.
+    near = found.withColumn("_rank", F.rank().over(Window.partitionBy("key").orderBy("value"))).where(F.col("_rank") <= k)
+    listed = near.join(rows.select("member", *kept), "member").join(asking.select("key", "seed_id"), "key")
+    order = [F.col("value").asc(), F.col(id_column).asc(), F.col("member").asc()]
+    best = top_per_group(listed, ["key"], order, k, rank="rk")
+    return best.select("seed_id", F.col("value").alias("dist"), *kept, "rk")
+
+
+def _parted(rows: DataFrame, pivots: list[list[float]]) -> tuple[DataFrame, Rings]:
+    """The rows, stored with member (a number) and block (their ring), and all rings."""
+    schema = StructType([*rows.schema.fields, StructField("cell", LongType()), StructField("far", DoubleType())])
+    near = rows.mapInArrow(_assign(pivots), schema).withColumn("member", F.monotonically_increasing_id())
+    near = materialize(near, "cells")
+    # Rings of about equal size, at quantiles of the distances; one row per pivot.
+    shares = F.lit([i / RINGS for i in range(1, RINGS)])
+    cuts = near.groupBy("cell").agg(F.array_distinct(F.percentile_approx("far", shares, 1000)).alias("_cuts"))
+    cuts = near.sparkSession.createDataFrame(cuts.collect(), cuts.schema)
+    ring = F.size(F.filter("_cuts", lambda cut: cut < F.col("far")))
+    placed = near.join(F.broadcast(cuts), "cell").withColumn("block", F.col("cell") * RINGS + ring).drop("_cuts", "cell")
+    found = placed.groupBy("block").agg(F.min("far").alias("near"), F.max("far").alias("far"), F.count("*").alias("size"))
+    columns = zip(*found.orderBy("block").collect()) if pivots else ()
+    return placed.drop("far"), Rings(pivots, *(list(c) for c in columns))
 
 
 def nearest(
@@ -149,60 +170,51 @@ def nearest(
     id_column: str = "track_id",
     vector_column: str = "features",
     keep: tuple[str, ...] = (),
-    bucket_columns: bool = False,
-    block: int = SEED_BLOCK,
+    block: int = BLOCK,
 ) -> DataFrame:
-    """The ``k`` catalogue rows with the smallest Euclidean distance to each seed.
+    """The ``k`` catalogue rows with the smallest Euclidean distance to each seed, exactly.
 
     Returns seed_id, dist, rk, ``id_column`` and the ``keep`` columns. A seed that is
     in the catalogue is its own nearest row. ``seeds`` has ``id_column`` and
-    ``vector_column``. NULL, NaN or infinity in a vector is an error. With
-    ``bucket_columns`` both relations carry ``_buckets`` (see :func:`with_buckets`):
-    only rows that share a bucket are compared, and rows that share none with any
-    seed of a block are filtered out before the vectors leave the JVM.
+    ``vector_column``; repeated seeds count once. NULL, NaN or infinity in a vector is an error.
     """
-    from pyspark.sql.pandas.types import to_arrow_type
+    return _searched(catalog, seeds, k, id_column, vector_column, keep, block)[0]
+
+
+def rows_compared(
+    catalog: DataFrame, seeds: DataFrame, k: int = 50, id_column: str = "track_id", vector_column: str = "features"
+) -> DataFrame:
+    """seed_id and n_compared, the number of catalogue rows that the exact search compares with the seed."""
+    _, visits, rows, asking = _searched(catalog, seeds, k, id_column, vector_column, (), BLOCK)
+    sizes = rows.groupBy("block").agg(F.count("*").alias("n"))
+    compared = visits.join(sizes, "block").groupBy("key").agg(F.sum("n").alias("n_compared"))
+    return compared.join(asking, "key").select("seed_id", "n_compared")
+
 
+def _searched(catalog, seeds, k, id_column, vector_column, keep, block):
     kept = list(dict.fromkeys([id_column, *keep]))
-    extra = ["_buckets"] if bucket_columns else []
-    columns = list(dict.fromkeys([*kept, vector_column, *extra]))
-    id_type = seeds.schema[id_column].dataType
-    output = StructType(
-        [StructField("seed_id", id_type), StructField("dist", DoubleType()), *[catalog.schema[c] for c in kept]]
-    )
-    source = catalog.select(*columns)
-
-    def one_pass(rows: list[Row]) -> DataFrame:
-        task = _local_nearest(
-            [r[id_column] for r in rows],
-            to_arrow_type(id_type),
-            [r[vector_column] for r in rows],
-            [r["_buckets"] for r in rows] if bucket_columns else None,
-            k,
-            id_column,
-            vector_column,
-            columns,
-            kept,
-        )
-        order = [F.col("dist").asc(), F.col(id_column).asc()]
-        near = source
-        if bucket_columns and rows:
-            # At most one number per seed of the block and hash table.
-            numbers = [sorted(set(values)) for values in zip(*(r["_buckets"] for r in rows))]
-            near = source.filter(reduce(or_, [F.col("_buckets")[i].isin(x) for i, x in enumerate(numbers)]))
-        return top_per_group(near.mapInArrow(task, output), ["seed_id"], order, k, rank="rk")
-
-    wanted = seeds.select(id_column, vector_column, *extra)
-    rows = wanted.limit(block + 1).collect()
-    if len(rows) <= block:
-        return one_pass(rows)
-    # One block at a time is on the driver; its result is stored before the next.
-    wanted = materialize(wanted, "seeds")
-    path = scratch_path(catalog.sparkSession, "nearest")
-    for rows in _seed_blocks(wanted, id_column, block):
-        found = one_pass(rows)
-        found.write.mode("append").parquet(path)
-    return catalog.sparkSession.read.schema(found.schema).parquet(path)
+    vector = F.transform(vector_column, lambda x: x.cast("double")).alias("vector")
+    rows, asking = catalog.select(*kept, vector), _asking(seeds, id_column, vector_column)
+    pivots = _pivots(rows, id_column)
+    if not pivots:
+        asking = asking.limit(0)
+    placed, rings = _parted(rows, pivots) if pivots else (rows.selectExpr("*", "0L AS member", "0L AS block"), Rings([[0.0]], [0], [0.0], [0.0], [0]))
+    members = placed.select("block", "member", F.col(id_column).alias("order"), "vector")
+
+    def search(seeds: DataFrame, visits: DataFrame) -> DataFrame:
+        return best_in_blocks(members, visits.join(seeds, "key"), k, distances=True, size=block)
+
+    plain = asking.select("key", "vector")
+    first = materialize(plain.mapInArrow(_visits(rings, k, False), "key long, block long"), "visits")
+    found = materialize(search(plain, first), "found")
+    # The distance of the k-th row so far; none for seeds that have found fewer.
+    kth = top_per_group(found, ["key"], [F.col("value").asc()], k).groupBy("key")
+    floors = kth.agg(F.when(F.count("*") >= k, F.max("value")).alias("floor"))
+    known = materialize(plain.join(floors, "key", "left"), "floors")
+    passing = known.mapInArrow(_visits(rings, k, True), "key long, block long")
+    further = materialize(passing.join(first, ["key", "block"], "left_anti"), "visits")
+    found = found.unionByName(search(known, further))
+    return _final(found, asking, placed, k, id_column, kept), first.unionByName(further), placed, asking
 
 
 def fit_lsh(
@@ -237,18 +249,30 @@ def nearest_lsh(
     bucket_length: float = 2.0,
     tables: int = 3,
     seed: int = 42,
+    block: int = BLOCK,
 ) -> DataFrame:
-    """As :func:`nearest`, but only among rows that share a hash bucket with the seed."""
+    """As :func:`nearest`, but only among rows that share a hash bucket with the seed.
+
+    The rows of buckets that no seed is in leave the plan at a join, before their vectors leave the JVM.
+    """
+    kept = list(dict.fromkeys([id_column, *keep]))
     model = fit_lsh(catalog, vector_column, bucket_length, tables, seed)
-    return nearest(
-        with_buckets(catalog, model, vector_column),
-        with_buckets(seeds, model, vector_column),
-        k,
-        id_column,
-        vector_column,
-        keep,
-        bucket_columns=True,
-    )
+    vector = F.transform(vector_column, lambda x: x.cast("double")).alias("vector")
+    rows = with_buckets(catalog.select(*kept, vector), model, "vector").withColumn("member", F.monotonically_increasing_id())
+    rows = materialize(rows, "hashed")
+    asking = _asking(seeds, id_column, vector_column)
+
+    def bucketed(df: DataFrame, *columns) -> DataFrame:
+        """One row per table; a bucket's number and its table's are one long."""
+        buckets = df.select(*columns, "vector", F.posexplode("_buckets").alias("_table", "_bucket"))
+        number = F.col("_bucket").cast("long") * tables + F.col("_table")
+        return buckets.withColumn("block", number).drop("_table", "_bucket")
+
+    members = bucketed(rows, "member", F.col(id_column).alias("order"))
+    visits = bucketed(with_buckets(asking, model, "vector"), "key")
+    found = best_in_blocks(members, visits, k, distances=True, size=block)
+    found = found.groupBy("key", "member").agg(F.min("value").alias("value"))
+    return _final(found, asking, rows, k, id_column, kept)
 
 
 def recall(exact: DataFrame, approximate: DataFrame, id_column: str = "track_id") -> DataFrame:

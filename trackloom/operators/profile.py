@@ -1,7 +1,8 @@
 """Dataset profiles as relations, each computed by distributed aggregates.
 
-Mode and median come from distributed value counts: the built-in exact
-aggregates keep every distinct value of a column in one task.
+The mode comes from distributed value counts and the median from a selection between
+two quantiles of a sketch: the built-in exact aggregates keep every distinct value of a
+column in one task.
 """
 
 from __future__ import annotations
@@ -28,6 +29,9 @@ PROFILE_FEATURES = [
     "tempo",
 ]
 
+# The sketch's ranks are off by less than this part of the rows.
+SKETCH = 10_000
+
 
 def available_features(df: DataFrame, features: list[str] = PROFILE_FEATURES) -> list[str]:
     return [f for f in features if f in df.columns]
@@ -109,65 +113,96 @@ def _long(df: DataFrame, features: list[str]) -> DataFrame:
     return long.filter(F.col("value").isNotNull())
 
 
-def value_counts(df: DataFrame, features: list[str]) -> DataFrame:
-    """feature, value, n over all present values."""
-    return _long(df, features).groupBy("feature", "value").agg(F.count("*").alias("n"))
-
+def _bracket(share: float) -> Column:
+    """The shares between which a quantile sketch brackets the middle ranks."""
+    return F.lit([0.5 - share, 0.5 + share])
 
-def modes(counts: DataFrame) -> DataFrame:
-    """feature, mode: the most frequent value, the smallest on a tie."""
-    first = F.min(F.struct((-F.col("n")).alias("rarity"), "value"))
-    return counts.groupBy("feature").agg(first["value"].alias("mode"))
 
+def _middle(df: DataFrame, open_: dict[str, tuple[float, float, int, int]]) -> dict[str, float]:
+    """Exact medians by selection: ``open_`` has for each feature the bracket, the values below it and all values.
 
-def medians(placed: DataFrame) -> DataFrame:
-    """feature, median: exact, interpolated between the two middle values.
-
-    ``placed`` holds the value counts with ``reached``, their running total.
+    Only values inside the brackets are counted and sorted.
     """
-    placed = placed.withColumn("before", F.col("reached") - F.col("n"))
-    spans = placed.groupBy("feature").agg(
-        F.min("before").alias("start"), (F.max("reached") - F.min("before")).alias("size")
+    inside = [
+        F.struct(F.lit(f).alias("feature"), F.when(_present(f).between(low, high), _present(f)).alias("value"))
+        for f, (low, high, _, _) in open_.items()
+    ]
+    counts = df.select(_rows(inside)).filter(F.col("value").isNotNull()).groupBy("feature", "value").agg(F.count("*").alias("n"))
+    placed = with_running_total(counts, ["feature", "value"], "n", "reached")
+    start = placed.groupBy("feature").agg(F.min(F.col("reached") - F.col("n")).alias("start"))
+    # One row per feature.
+    wanted = df.sparkSession.createDataFrame(
+        [(f, (n - 1) // 2 - below, n // 2 - below) for f, (_, _, below, n) in open_.items()], "feature string, low bigint, high bigint"
     )
-    low = F.col("start") + F.floor((F.col("size") - 1) / 2)
-    high = F.col("start") + F.floor(F.col("size") / 2)
+    before = F.col("reached") - F.col("n") - F.col("start")
 
-    def holds(position: Column) -> Column:
-        return (F.col("before") <= position) & (position < F.col("reached"))
+    def holds(position: str) -> Column:
+        return (before <= F.col(position)) & (F.col(position) < before + F.col("n"))
 
-    # One row per feature.
-    return (
-        placed.join(F.broadcast(spans), "feature")
-        .filter(holds(low) | holds(high))
+    found = (
+        placed.join(F.broadcast(start.join(wanted, "feature")), "feature")
         .groupBy("feature")
-        .agg(((F.min("value") + F.max("value")) / 2).alias("median"))
+        .agg(F.min(F.when(holds("low"), F.col("value"))).alias("a"), F.min(F.when(holds("high"), F.col("value"))).alias("b"))
     )
+    return {row["feature"]: (row["a"] + row["b"]) / 2 for row in found.collect()}
 
 
 def statistics(df: DataFrame, features: list[str]) -> DataFrame:
-    """feature, mean, mode, median, std, min, max; missing values are left out."""
-    basics = (
-        df.select(*[_present(f).alias(f) for f in features])
-        .agg(
-            *[
-                F.struct(
-                    F.lit(f).alias("feature"),
-                    F.avg(f).alias("mean"),
-                    F.stddev_samp(f).alias("std"),
-                    F.min(f).alias("min"),
-                    F.max(f).alias("max"),
-                ).alias(f)
-                for f in features
-            ]
-        )
-        .select(_rows([F.col(f) for f in features]))
-    )
-    placed = with_running_total(value_counts(df, features), ["feature", "value"], "n", "reached")
-    return (
-        basics.join(modes(placed), "feature", "left")
-        .join(medians(placed), "feature", "left")
-        .select("feature", "mean", "mode", "median", "std", "min", "max")
+    """feature, mean, mode, median, std, min, max; missing values are left out.
+
+    Two passes and, for the medians, a selection: the first pass takes moments and a quantile sketch
+    that brackets the middle ranks, the second counts values for the mode and how many lie
+    below and inside the bracket; only those inside are sorted. A bracket that turns out to miss
+    the middle is widened. The driver sees a few numbers per feature.
+    """
+    present = df.select(*[_present(f).alias(f) for f in features])
+    basics = present.agg(
+        *[
+            F.struct(
+                F.count(f).alias("n"),
+                F.avg(f).alias("mean"),
+                F.stddev_samp(f).alias("std"),
+                F.min(f).alias("min"),
+                F.max(f).alias("max"),
+                F.percentile_approx(f, _bracket(2 / SKETCH), SKETCH).alias("bracket"),
+            ).alias(f)
+            for f in features
+        ]
+    ).first()
+    brackets = {f: tuple(basics[f]["bracket"]) for f in features if basics[f]["n"]}
+    columns = "feature string, mean double, mode double, median double, std double, min double, max double"
+    if not brackets:
+        return df.sparkSession.createDataFrame([(f, *[None] * 6) for f in features], columns)
+
+    def sided(f: str) -> Column:
+        low, high = brackets[f]
+        side = F.when(F.col(f) < low, -1).when(F.col(f) > high, 1).otherwise(0)
+        return F.struct(F.lit(f).alias("feature"), F.col(f).alias("value"), side.alias("side"))
+
+    counts = present.select(_rows([sided(f) for f in brackets])).filter(F.col("value").isNotNull())
+    counts = counts.groupBy("feature", "value", "side").agg(F.count("*").alias("n"))
+    rarest = F.min(F.struct((-F.col("n")).alias("rarity"), "value"))
+    held = counts.groupBy("feature").agg(
+        rarest["value"].alias("mode"),
+        F.sum(F.when(F.col("side") < 0, F.col("n")).otherwise(0)).alias("below"),
+        F.sum(F.when(F.col("side") == 0, F.col("n")).otherwise(0)).alias("inside"),
     )
+    seen = {row["feature"]: row for row in held.collect()}
+    medians, open_ = {}, {}
+    for f, (low, high) in brackets.items():
+        n, below = basics[f]["n"], seen[f]["below"]
+        if not below <= (n - 1) // 2 <= n // 2 < below + seen[f]["inside"]:
+            low, high, below = basics[f]["min"], basics[f]["max"], 0
+        if low == high:
+            medians[f] = low
+        else:
+            open_[f] = (low, high, below, n)
+    medians |= _middle(df, open_) if open_ else {}
+    rows = []
+    for f in features:
+        b = basics[f]
+        rows.append((f, b["mean"], seen[f]["mode"] if f in seen else None, medians.get(f), b["std"], b["min"], b["max"]))
+    return df.sparkSession.createDataFrame(rows, columns)
 
 
 def histogram(df: DataFrame, features: list[str], bins: int = 50) -> DataFrame:

@@ -7,6 +7,7 @@ one pass.
 
 from __future__ import annotations
 
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import Imputer, ImputerModel, MinMaxScaler, MinMaxScalerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
@@ -71,3 +72,47 @@ def apply_scaler(model: MinMaxScalerModel, df: DataFrame, columns: list[str]) ->
     array = vector_to_array(F.col(model.getOutputCol()))
     unpacked = scaled.withColumns({c: array[i] for i, c in enumerate(columns)})
     return unpacked.drop(model.getInputCol(), model.getOutputCol())
+
+
+def fit_preparation(df: DataFrame, columns: list[str]) -> PipelineModel:
+    """Mean imputation and min-max scaling of ``columns`` as one fitted, storable model.
+
+    NULL and NaN take no part in the fit; a column without any value is an error.
+    """
+    numbers = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    filled = [f"_filled_{c}" for c in columns]
+    stages = [
+        Imputer(strategy="mean", inputCols=columns, outputCols=filled),
+        VectorAssembler(inputCols=filled, outputCol="_vector"),
+        MinMaxScaler(inputCol="_vector", outputCol="_scaled"),
+    ]
+    return Pipeline(stages=stages).fit(numbers)
+
+
+def save_preparation(model: PipelineModel, path: str) -> None:
+    model.write().overwrite().save(path)
+
+
+def load_preparation(path: str) -> PipelineModel:
+    return PipelineModel.load(path)
+
+
+def apply_preparation(model: PipelineModel, df: DataFrame, columns: list[str], outside: str = "clip") -> DataFrame:
+    """``df`` with ``columns`` imputed and scaled by a model fitted on other rows.
+
+    Values beyond the fitted range are moved to its ends (``clip``), become NULL (``null``) or
+    go beyond 0 and 1 (``keep``).
+    """
+    if outside not in ("clip", "null", "keep"):
+        raise ValueError(f"unknown policy {outside!r}")
+    numbers = df.withColumns({c: F.col(c).cast("double") for c in columns})
+    scaled = model.transform(numbers).withColumn("_unit", vector_to_array(F.col("_scaled")))
+
+    def unit(i: int) -> Column:
+        value = F.col("_unit")[i]
+        if outside == "clip":
+            return F.least(F.greatest(value, F.lit(0.0)), F.lit(1.0))
+        return F.when(value.between(0.0, 1.0), value) if outside == "null" else value
+
+    done = scaled.withColumns({c: unit(i) for i, c in enumerate(columns)})
+    return done.drop("_vector", "_scaled", "_unit", *[f"_filled_{c}" for c in columns])

@@ -45,7 +45,8 @@ def _parsed(files: DataFrame, columns: list[str], id_column: str) -> DataFrame:
     texts = StructType([StructField(c, StringType()) for c in [*columns, "_bad"]])
     raw = F.make_valid_utf8(F.col("content").cast("string"))
     record = F.from_json(raw, texts, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"})
-    rows = files.select(id_column, record.alias("_record"))
+    # A generator's rows are made once; the plan would else repeat the parse for every use of its result.
+    rows = files.select(id_column, F.explode(F.array(record)).alias("_record"))
     # Of a record that is not an object nothing is known but that.
     bad = F.col("_record").isNull() | F.col("_record._bad").isNotNull()
     error = F.when(bad, F.concat(F.lit("no JSON object: "), F.coalesce(F.substring("_record._bad", 1, 100), F.lit(""))))
@@ -79,6 +80,21 @@ def _decoded(files: DataFrame, columns: list[str], id_column: str, decode: Calla
     return files.mapInArrow(task, output)
 
 
+def typed_records(rows: DataFrame, schema: StructType = RECORD_SCHEMA, id_column: str = "path") -> DataFrame:
+    """Texts of decoded fields in their types, beside ``id_column`` and ``error``.
+
+    A value that does not fit its type becomes NULL, and so do blank text, NaN and infinities.
+    """
+
+    def typed(field: StructField) -> Column:
+        if isinstance(field.dataType, StringType):
+            return names.blank_to_null(F.col(field.name))
+        value = F.col(field.name).try_cast(field.dataType)
+        return values.finite_or_null(value) if isinstance(field.dataType, (DoubleType, FloatType)) else value
+
+    return rows.select(id_column, *[typed(f).alias(f.name) for f in schema.fields], "error")
+
+
 def extract_records(
     files: DataFrame,
     schema: StructType = RECORD_SCHEMA,
@@ -89,25 +105,18 @@ def extract_records(
     """One flat row per file; a file that cannot be decoded becomes a row with ``error`` set.
 
     ``files`` has ``id_column`` and ``content``. Records are JSON objects, parsed in the JVM;
-    for other formats ``decode`` turns the bytes of one file into a dict. A value that
-    does not fit its type becomes NULL, and so do blank text, NaN and infinities. Nothing
+    for other formats ``decode`` turns the bytes of one file into a dict. Nothing
     aborts the job and no file is lost: good rows have ``error`` NULL, see
-    :func:`good_records` and :func:`rejected_records`. Set ``partitions`` to spread a few
-    large read tasks before the decoding.
+    :func:`good_records` and :func:`rejected_records`. ``partitions`` spreads contents that
+    few tasks hold, at the cost of moving them; files are better opened where they are
+    decoded, see :mod:`trackloom.sources.packed`.
     """
     columns = schema.fieldNames()
     source = files.select(id_column, "content")
     if partitions:
         source = source.repartition(partitions)
     rows = _decoded(source, columns, id_column, decode) if decode else _parsed(source, columns, id_column)
-
-    def typed(field: StructField) -> Column:
-        if isinstance(field.dataType, StringType):
-            return names.blank_to_null(F.col(field.name))
-        value = F.col(field.name).try_cast(field.dataType)
-        return values.finite_or_null(value) if isinstance(field.dataType, (DoubleType, FloatType)) else value
-
-    return rows.select(id_column, *[typed(f).alias(f.name) for f in schema.fields], "error")
+    return typed_records(rows, schema, id_column)
 
 
 def good_records(extracted: DataFrame, schema: StructType = RECORD_SCHEMA) -> DataFrame:

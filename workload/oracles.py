@@ -94,6 +94,19 @@ def _catalog_lane() -> str:
     return _with(*CATALOG, select=f"SELECT track_id, track_name, artist_name, {scaled} FROM cleaned")
 
 
+def _fitted_scale() -> str:
+    """Bounds and means of the third source; of its missing values the mean lies within the bounds."""
+
+    def scaled(column: str) -> str:
+        fit = "(SELECT {}(%s) FROM conformed WHERE source_rank = 2)" % column
+        low, high, mean = (fit.format(f) for f in ("min", "max", "avg"))
+        unit = f"(coalesce({column}, {mean}) - {low}) / nullif({high} - {low}, 0)"
+        return f"round(coalesce(least(greatest({unit}, 0), 1), 0.5), 6) AS {column}"
+
+    columns = ", ".join(scaled(c) for c in ["duration_ms", *FEATURES])
+    return _with(ITEM, BASE, CONFORMED, select=f"SELECT track_id, track_name, {columns} FROM conformed WHERE source_rank = 4")
+
+
 def _missing() -> str:
     columns = [*TARGET.split(", "), "source_rank"]
     union = " UNION ALL ".join(
@@ -251,6 +264,28 @@ SCORES = f"""scores AS (
     SELECT user_id, song_id, split,
            CAST({_row_hash(["user_id", "song_id"], 7)} AS DOUBLE) / 4294967296 AS confidence_score FROM splits)"""
 
+LONG_TAIL = f"""tail_u AS MATERIALIZED ({_factors("customer", "c_custkey", 16)}),
+tail_i AS MATERIALIZED (
+    SELECT id, list_transform(v, lambda x: x * pow(2.0, least(length(regexp_extract(bin(id), '0*$')), 5) - 5)) AS v
+    FROM ({_factors("part", "p_partkey", 16)})),
+products AS MATERIALIZED (
+    SELECT u.id AS user_id, i.id AS song_id, round(list_dot_product(u.v, i.v), 9) AS score
+    FROM tail_u u CROSS JOIN tail_i i
+    WHERE NOT EXISTS (SELECT 1 FROM plays p WHERE p.user_id = u.id AND p.song_id = i.id))"""
+# Round r of the search takes blocks 2^r - 1 to 2^(r+1) - 2; a user goes on to those whose
+# longest item can reach the tenth best product of the blocks before the round.
+BLOCKS_READ = """sized_u AS (SELECT id, sqrt(list_dot_product(v, v)) AS norm FROM tail_u),
+sized_i AS (
+    SELECT id, sqrt(list_dot_product(v, v)) AS norm,
+        (row_number() OVER (ORDER BY sqrt(list_dot_product(v, v)) DESC, id) - 1) // 40 AS block FROM tail_i),
+tops AS (SELECT block, max(norm) AS top, CAST(2 ** floor(log2(block + 1)) - 1 AS BIGINT) AS low FROM sized_i GROUP BY block),
+starts AS (SELECT DISTINCT low FROM tops),
+floors AS (
+    SELECT user_id, low, min(score) AS floor FROM (
+        SELECT user_id, low, score, row_number() OVER (PARTITION BY user_id, low ORDER BY score DESC, song_id) AS rk
+        FROM products p JOIN sized_i i ON i.id = p.song_id JOIN starts s ON i.block < s.low)
+    WHERE rk <= 10 GROUP BY user_id, low HAVING count(*) = 10)"""
+
 # --- neighbours and content ----------------------------------------------------
 
 VECTORS = """vectors AS (
@@ -472,6 +507,17 @@ ORACLES = {
     "rejected_records": "SELECT event_id AS path FROM events WHERE event_id % 13 = 0",
     "records_lane": _records_lane(RECORDS),
     "records_from_files": _records_lane(FILES),
+    "binary_records": """SELECT 'C' || CAST(c_custkey AS VARCHAR) AS track_id, c_name AS track_name,
+            CASE WHEN c_custkey % 19 <> 0 THEN 'Nation ' || CAST(c_nationkey AS VARCHAR) END AS artist_name,
+            c_acctbal AS duration, CASE WHEN c_custkey % 5 <> 0 THEN c_acctbal END AS tempo,
+            CASE WHEN c_custkey % 3 <> 0 THEN c_acctbal END AS loudness,
+            CAST(c_nationkey AS DOUBLE) AS artist_familiarity, CAST(NULL AS DOUBLE) AS artist_hotttnesss,
+            c_acctbal * 2 AS song_hotttnesss
+        FROM customer WHERE c_custkey % 13 <> 0 AND c_custkey % 17 <> 0""",
+    "binary_rejects": """SELECT CAST(c_custkey AS VARCHAR) || '.trk' AS name,
+            CASE WHEN c_custkey % 13 = 0 THEN 'ValueError: cut short in track_id'
+                 ELSE 'ValueError: numbers are cut short or too many' END AS error
+        FROM customer WHERE c_custkey % 13 = 0 OR c_custkey % 17 = 0""",
     "sink_roundtrip": _with(PLAYS, SPLIT, select="SELECT * FROM splits"),
     "model_roundtrip": """SELECT count(DISTINCT l_partkey) AS n_saved, count(DISTINCT l_partkey) AS n_loaded,
         CAST(0 AS DOUBLE) AS max_gap FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
@@ -513,6 +559,7 @@ ORACLES = {
             round((l_tax - min(l_tax) OVER ()) / (max(l_tax) OVER () - min(l_tax) OVER ()), 6) AS l_tax,
             CAST(0.5 AS DOUBLE) AS constant
         FROM lineitem""",
+    "fitted_scale": _fitted_scale(),
     "mean_impute": """SELECT l_orderkey, l_linenumber, l_partkey,
             round(CASE WHEN l_linenumber = 3 THEN (SELECT avg(l_quantity) FROM lineitem WHERE l_linenumber <> 3)
                 ELSE l_quantity END, 6) AS l_quantity,
@@ -557,6 +604,13 @@ ORACLES = {
         VECTORS, PLAYLIST, NEAR,
         select="SELECT seed_id, dist, track_id, CAST(rk AS INTEGER) AS rk FROM near",
     ),
+    "knn_all": _with(
+        VECTORS,
+        select="""SELECT seed_id, dist, track_id, CAST(rk AS INTEGER) AS rk FROM (
+            SELECT *, row_number() OVER (PARTITION BY seed_id ORDER BY dist, track_id) AS rk
+            FROM (SELECT s.track_id AS seed_id, v.track_id, round(list_distance(v.f, s.f), 9) AS dist
+                  FROM vectors s CROSS JOIN vectors v)) WHERE rk <= 10""",
+    ),
     "knn_lsh": _with(
         VECTORS, PLAYLIST, NEAR,
         select="SELECT seed_id, dist, track_id, CAST(rk AS INTEGER) AS rk FROM near",
@@ -601,22 +655,36 @@ ORACLES = {
     ),
     "als_fit": _with(
         PLAYS, SPLIT,
-        select="""SELECT 'user' AS side, CAST(10 AS INTEGER) AS rank, count(DISTINCT user_id) AS n_ids
-            FROM splits WHERE split = 'train'
-        UNION ALL SELECT 'item', 10, count(DISTINCT song_id) FROM splits WHERE split = 'train'""",
+        select="""SELECT 'user' AS side, CAST(10 AS INTEGER) AS rank, count(DISTINCT user_id) AS n_ids,
+            CAST(0 AS BIGINT) AS n_unsolved, count(DISTINCT user_id) AS n_checked FROM splits WHERE split = 'train'
+        UNION ALL SELECT 'item', 10, count(DISTINCT song_id), NULL, NULL FROM splits WHERE split = 'train'""",
     ),
     "als_grid": _with(
         PLAYS, SPLIT, PAIRS,
         select="""SELECT g.*, (SELECT count(*) FROM pairs WHERE user_id IN
-                (SELECT user_id FROM splits WHERE split = 'train')) AS n, true AS consistent
+                (SELECT user_id FROM splits WHERE split = 'train')) AS n,
+            CAST(0 AS BIGINT) AS n_gap, CAST(0 AS DOUBLE) AS hr_gap, CAST(0 AS DOUBLE) AS mrr_gap
         FROM (VALUES (CAST(0 AS INTEGER), CAST(10 AS INTEGER), CAST(0.1 AS DOUBLE), CAST(1 AS DOUBLE)),
                      (1, 50, 0.1, 1), (2, 50, 0.1, 20)) g(grid_index, rank, "regParam", alpha)""",
     ),
     "als_final": _with(
         PLAYS, SPLIT, PAIRS.replace("'validation'", "'test'"),
-        select="""SELECT count(*) AS n, true AS consistent FROM pairs
+        select="""SELECT count(*) AS n, CAST(0 AS BIGINT) AS n_gap, CAST(0 AS DOUBLE) AS hr_gap, CAST(0 AS DOUBLE) AS mrr_gap
+            FROM pairs
             WHERE user_id IN (SELECT user_id FROM splits WHERE split = 'train')""",
     ),
+    "top_new_songs": _with(
+        PLAYS, LONG_TAIL,
+        select="""SELECT user_id, song_id, score AS confidence_score, CAST(rk AS INTEGER) AS rk FROM (
+            SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY score DESC, song_id) AS rk FROM products)
+            WHERE rk <= 10""",
+    ),
+    "top_new_blocks": _with(
+        PLAYS, LONG_TAIL, BLOCKS_READ,
+        select="""SELECT u.id AS user_id, count(*) AS n_blocks FROM sized_u u CROSS JOIN tops t
+            LEFT JOIN floors f ON f.user_id = u.id AND f.low = t.low
+            WHERE f.floor IS NULL OR u.norm * t.top * (1 + 1e-9) + 1e-9 >= f.floor GROUP BY u.id""",
+    ),
     "recs_coverage": _with(ROWS, COUNTS, ENCODED, select=_list_checks("user_id")),
     "recs_for_users": _with(
         ROWS, COUNTS, ENCODED,

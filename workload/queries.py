@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -27,6 +28,7 @@ from trackloom.plans import catalogue, collaborative, records
 from trackloom.plans import interactions as interaction_plan
 from trackloom.session import materialize, scratch_path
 from trackloom.sinks import tables as sinks
+from trackloom.sources import packed
 from trackloom.sources import records as record_source
 from trackloom.sources import tables as table_source
 from workload import roles
@@ -126,13 +128,30 @@ def records_lane(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def records_from_files(spark: SparkSession, folder: str) -> DataFrame:
-    """One file per record: listed, spread over the tasks, decoded, cleaned, imputed and scaled."""
-    files = record_source.file_manifest(spark, roles.record_folder(spark, folder), "*.txt")
-    rows = record_source.extract_records(files, partitions=spark.sparkContext.defaultParallelism)
-    lane = records.build_records(record_source.good_records(rows), flags=True)
+    """One file per record: packed by size, read, parsed, cleaned, imputed and scaled."""
+    files = packed.read_texts(spark, roles.record_folder(spark, folder), "*.txt")
+    lane = records.build_records(record_source.good_records(record_source.extract_records(files)), flags=True)
     return rounded(lane, *records.RECORD_NUMBERS)
 
 
+def binary_extracted(spark: SparkSession, folder: str) -> DataFrame:
+    rows = packed.read_records(
+        spark, roles.binary_folder(spark, folder), packed.decode_track, record_source.RECORD_SCHEMA.fieldNames(), "*.trk"
+    )
+    return record_source.typed_records(rows)
+
+
+def binary_records(spark: SparkSession, folder: str) -> DataFrame:
+    """Every customer as a file of a binary layout, some cut short: written, read and decoded in the tasks."""
+    return record_source.good_records(binary_extracted(spark, folder))
+
+
+def binary_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    """The files that could not be decoded, and why."""
+    name = F.regexp_extract("path", "([^/]+)$", 1).alias("name")
+    return record_source.rejected_records(binary_extracted(spark, folder)).select(name, "error")
+
+
 def sink_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     """Write the split interactions partitioned by split and read them back."""
     path = scratch_path(spark, "splits")
@@ -458,34 +477,58 @@ def select_best(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def als_fit(spark: SparkSession, folder: str) -> DataFrame:
-    """The factor tables of a fit on the training split: how many ids, how long the vectors."""
-    model = factors.fit_als(roles.part_of(roles.split_plays(spark, folder), "train"))
+    """The factor tables of a fit on the training split: how many ids, how long the vectors.
+
+    Of the users, whose factors a fit solves last, also how many do not solve their equations.
+    """
+    train = materialize(roles.part_of(roles.split_plays(spark, folder), "train"), "train")
+    model = factors.fit_als(train)
     sides = {"user": model.userFactors, "item": model.itemFactors}
     parts = [
         df.groupBy(F.lit(side).alias("side"), F.size("features").alias("rank")).agg(F.count("*").alias("n_ids"))
         for side, df in sides.items()
     ]
-    return parts[0].unionByName(parts[1])
+    residuals = factors.user_residuals(model.userFactors, model.itemFactors, train)
+    unsolved = residuals.agg(F.count_if(~(F.col("residual") <= RESIDUAL)).alias("n_unsolved"), F.count("*").alias("n_checked"))
+    none = [F.lit(None).cast("bigint").alias(c) for c in ("n_unsolved", "n_checked")]
+    return parts[0].crossJoin(unsolved).unionByName(parts[1].select("*", *none))
+
+
+# What single precision leaves of a solved system is far below, and an unsolved one far above.
+RESIDUAL = 1e-3
 
 
-def consistent(metrics: DataFrame, *columns: str) -> DataFrame:
-    """Whether hr and mrr are what they can be, in place of their values: ALS has no SQL."""
-    valid = (F.col("mrr") > 0) & (F.col("mrr") <= F.col("hr")) & (F.col("hr") <= 1)
-    return metrics.select(*columns, "n", valid.alias("consistent"))
+def rechecked(metrics: DataFrame, again: DataFrame, *columns: str) -> DataFrame:
+    """How far hr and mrr are from those that SQL finds in the stored factors and candidates."""
+    both = metrics.join(again.select(*[F.col(c).alias(f"_{c}") for c in again.columns]), metrics["grid_index"] == F.col("_grid_index"))
+    gaps = [F.round(F.abs(F.col(c) - F.col(f"_{c}")), ROUNDED).alias(f"{c}_gap") for c in ("hr", "mrr")]
+    return both.select(*columns, "n", (F.col("n") - F.col("_n")).alias("n_gap"), *gaps)
+
+
+def bundle_results(spark: SparkSession, folder: str, count: int) -> DataFrame:
+    parts = [
+        evaluate.bundle_metrics(spark, f"{folder}/{i}").withColumn("grid_index", F.lit(i)) for i in range(count)
+    ]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def als_grid(spark: SparkSession, folder: str) -> DataFrame:
+    """The tuned points; their metrics against those of the stored bundles."""
     split = materialize(roles.split_plays(spark, folder), "splits")
     train, validation = (roles.part_of(split, name) for name in ("train", "validation"))
-    results = collaborative.tune_als(train, validation, parallelism=3)
-    return consistent(results, "grid_index", "rank", "regParam", "alpha")
+    path = scratch_path(spark, "bundles")
+    results = collaborative.tune_als(train, validation, parallelism=3, bundles=path)
+    again = bundle_results(spark, path, len(factors.GRID))
+    return rechecked(results, again, "grid_index", "rank", "regParam", "alpha")
 
 
 def als_final(spark: SparkSession, folder: str) -> DataFrame:
-    """The test metrics of the refitted winner: their number of pairs and whether they are consistent."""
+    """The test metrics of the refitted winner against those of its stored bundle."""
     split = materialize(roles.split_plays(spark, folder), "splits")
     parts = [roles.part_of(split, name) for name in ("train", "validation", "test")]
-    return consistent(collaborative.train_final(*parts, parallelism=3).test)
+    path = scratch_path(spark, "bundles")
+    final = collaborative.train_final(*parts, parallelism=3, bundle=f"{path}/0")
+    return rechecked(final.test.withColumn("grid_index", F.lit(0)), bundle_results(spark, path, 1))
 
 
 def list_checks(songs: DataFrame, heard: DataFrame, *users: str) -> DataFrame:
@@ -538,6 +581,43 @@ def score_table(spark: SparkSession, folder: str) -> DataFrame:
     return roles.split_plays(spark, folder).select("user_id", "song_id", "split", score)
 
 
+# Items that are compared at a time: few enough that the small tables have many blocks.
+ITEMS_AT_A_TIME = 40
+
+
+def long_tail_search(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """The ten songs of largest product for every user among those not played, from factors by a rule."""
+    users, items = roles.long_tail_factors(spark, folder)
+    return factors.search_products(users, items, 10, roles.plays(spark, folder), block=ITEMS_AT_A_TIME)
+
+
+def top_new_songs(spark: SparkSession, folder: str) -> DataFrame:
+    """The lists of all users."""
+    return factors.best_per_user(long_tail_search(spark, folder)[0], 10)
+
+
+def top_new_blocks(spark: SparkSession, folder: str) -> DataFrame:
+    """How many blocks of items each user was compared with."""
+    return long_tail_search(spark, folder)[1]
+
+
+def fitted_scale(spark: SparkSession, folder: str) -> DataFrame:
+    """Imputer and scaler fitted on one source, stored, loaded and applied to another, whose durations reach beyond."""
+    sources = conform_sources(spark, folder)
+    columns = ["duration_ms", *roles.FEATURES]
+    model = scale.fit_preparation(sources.filter("source_rank = 2"), columns)
+    path = scratch_path(spark, "preparation")
+    scale.save_preparation(model, path)
+    prepared = scale.apply_preparation(scale.load_preparation(path), sources.filter("source_rank = 4"), columns)
+    return rounded(prepared.select("track_id", "track_name", *columns), *columns)
+
+
+def knn_all(spark: SparkSession, folder: str) -> DataFrame:
+    """The ten nearest vectors of every vector: as many seeds as catalogue rows."""
+    catalog = roles.vectors(spark, folder)
+    return neighbours.nearest(catalog, catalog, 10)
+
+
 def explode_recs(spark: SparkSession, folder: str) -> DataFrame:
     """Each user's 50 best as an array of structs, taken apart again."""
     best = factors.best_per_user(score_table(spark, folder).drop("split"), 50)
@@ -568,6 +648,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         rejected_records,
         records_lane,
         records_from_files,
+        binary_records,
+        binary_rejects,
         sink_roundtrip,
         model_roundtrip,
         stage_report,
@@ -582,6 +664,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         sanitize_values,
         minmax_scale,
         mean_impute,
+        fitted_scale,
         profile_shape,
         profile_schema,
         profile_missing,
@@ -602,6 +685,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         eval_pairs,
         negative_samples,
         knn_exact,
+        knn_all,
         knn_lsh,
         knn_lsh_checks,
         knn_recall,
@@ -617,6 +701,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         als_fit,
         als_grid,
         als_final,
+        top_new_songs,
+        top_new_blocks,
         recs_for_users,
         recs_coverage,
         history_for_users,

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from trackloom.operators import sampling
 from trackloom.plans.catalogue import Source
 from trackloom.session import materialize, scratch_path
+from trackloom.sources import packed
 
 # Catalogue feature -> aggregate over the line items of a part. A mean is cut to six
 # digits in whole numbers, so that the order of a floating-point sum cannot show.
@@ -188,6 +189,18 @@ def factors(spark: SparkSession, folder: str, rank: int = 64) -> tuple[DataFrame
     return factor_table(users, rank), factor_table(items, rank)
 
 
+def long_tail_factors(spark: SparkSession, folder: str, rank: int = 16) -> tuple[DataFrame, DataFrame]:
+    """Factors of every user and item, where the items' lengths fall by halves: few are heard much.
+
+    One item in two has a 32nd of the length, one in four a 16th, and so on; halves keep sums exact.
+    """
+    users = factor_table(table(spark, folder, "customer").select(F.col("c_custkey").alias("id")), rank)
+    items = factor_table(table(spark, folder, "part").select(F.col("p_partkey").alias("id")), rank)
+    rare = F.least(F.length(F.regexp_extract(F.bin("id"), "0*$", 0)), F.lit(5))
+    scale = F.pow(F.lit(2.0), rare - 5)
+    return users, items.withColumn("features", F.transform("features", lambda x: x * scale))
+
+
 def candidates(spark: SparkSession, folder: str) -> DataFrame:
     """Held-out pairs, each with 99 negatives, from the stored splits."""
     split = materialize(split_plays(spark, folder), "splits")
@@ -215,6 +228,35 @@ def record_files(spark: SparkSession, folder: str) -> DataFrame:
     return events.select(F.col("event_id").alias("path"), F.encode(text, "UTF-8").alias("content"))
 
 
+def binary_folder(spark: SparkSession, folder: str) -> str:
+    """Write every customer as a file in the binary layout of track records; return the folder."""
+    path = scratch_path(spark, "binary")
+    rows = table(spark, folder, "customer").select(
+        F.concat(F.pmod("c_custkey", F.lit(16)).cast("string"), F.lit("/"), F.col("c_custkey").cast("string"), F.lit(".trk")).alias("name"),
+        F.when(every("c_custkey", 13), F.lit(7)).when(every("c_custkey", 17), F.lit(-3)).alias("cut"),
+        F.concat(F.lit("C"), F.col("c_custkey").cast("string")).alias("track_id"),
+        F.col("c_name").alias("track_name"),
+        F.when(~every("c_custkey", 19), F.concat(F.lit("Nation "), F.col("c_nationkey").cast("string"))).alias("artist_name"),
+        F.col("c_acctbal").alias("duration"),
+        F.when(~every("c_custkey", 5), F.col("c_acctbal")).alias("tempo"),
+        F.when(every("c_custkey", 3), F.lit(float("inf"))).otherwise(F.col("c_acctbal")).alias("loudness"),
+        F.col("c_nationkey").cast("double").alias("artist_familiarity"),
+        F.lit(None).cast("double").alias("artist_hotttnesss"),
+        (F.col("c_acctbal") * 2.0).alias("song_hotttnesss"),
+    )
+
+    def encoded(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            made = batch.to_pylist()
+            contents = [packed.encode_track(r)[: r["cut"]] for r in made]
+            yield pa.RecordBatch.from_arrays([batch.column("name"), pa.array(contents, pa.binary())], names=["name", "content"])
+
+    packed.write_records(rows.mapInArrow(encoded, "name string, content binary"), path)
+    return path
+
+
 def record_folder(spark: SparkSession, folder: str) -> str:
     """Write every supplier as a file of one JSON record, below a folder per nation; return the folder."""
     path = scratch_path(spark, "records")
