@@ -3,33 +3,35 @@
 An item leaks into a document when some part of the document is within ``1 - similarity``
 of the item's bytes in edit distance.
 
-1. *Windows* begin at words and are as long as the items of a length class. A window with at
-   most d edits keeps at least n - 11 - 12 d of an item's n - 11 runs of twelve bytes; windows
-   with fewer runs known from any item cannot leak and are left out. This loses nothing
-   that begins at a word.
+1. *Windows* are as long as the items of a length class. A window with at most d edits keeps at
+   least n - 11 - 12 d of an item's n - 11 runs of twelve bytes; places that are followed by
+   fewer runs known from any item cannot begin a leak. All other places can, whatever is
+   before them, and windows begin at every few of them: so close that the nearest is fewer
+   bytes off than the item may have edits.
 2. *Embedding.* A random walk reads the window: each step writes the byte under the
    pointer and moves on if a random bit for this step and byte says so (Chakraborty,
    Goldenberg, Koucky). Few edits become few differing places.
 3. *Bit sampling.* ``samples`` keys of ``bits`` places from each of ``walks`` walks meet
    those of the items. Two embeddings that differ in a share h of the places share a key
    with probability 1 - (1 - (1 - h) ** bits) ** samples for each walk.
-4. *Seeds.* Of d + 1 runs of an item that do not overlap, d edits leave one as it is. Where a
-   text holds such a run the item can begin at most d bytes from the place that the run
-   implies, whatever is before it: text without spaces, a quote, a tag, half a word. These
-   places are candidates too, so that no leak is lost for where it begins.
-5. *Verification.* Edit distance of the whole item to the best part around the window.
-
-Items come to the tasks in blocks of ``ITEMS`` items, each at most ``LONGEST`` bytes, so
-that what is broadcast has a bound; a larger benchmark takes more passes. Longer items are
-searched by pieces of that length and count as leaked when one piece is.
-
-Null or empty texts and items of fewer than twelve bytes take no part; rows with a null
-doc_id or item_id neither. Repeated ids are searched each and reported once.
+4. *Verification.* Edit distance of the whole item to the best part around the window.
+
+Items of more than ``LONGEST`` bytes are looked for by all pieces of that length, of which one
+has no more than its share of the edits, and verified whole. Items of fewer than twelve
+bytes have no runs and no edits; they are matched as they are.
+
+Items come to the tasks in blocks of ``ITEMS`` pieces, so that what is broadcast has a bound: a
+task draws the walks again from their seed. A larger benchmark takes more passes over the
+documents, one after the other, whose finds are stored.
+
+Null or empty texts and items take no part; rows with a null doc_id or item_id neither.
+Repeated ids are searched each and reported once. Further columns are not read.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -37,17 +39,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trackloom.llm import arrays
+from trackloom.session import materialize
 
 SIMILARITY = 0.95
 WALKS = 3
-SAMPLES = 16
+SAMPLES = 32
 BITS = 5
 ITEMS = 2_000
 LONGEST = 2_000
 GRAM = 12
 _SLOTS = 22
 _SPREAD = 1.3  # longest to shortest item of a class
-_PAIRS = 1 << 20  # places and seeds compared at a time
+_APART = 4  # bytes between windows, for items that may have so many edits
 
 
 def grams(data: np.ndarray) -> np.ndarray:
@@ -69,6 +72,11 @@ def edits(size: int, similarity: float) -> int:
     return max(0, min(int(size * (1 - similarity) + 1e-9), (size - GRAM) // GRAM))
 
 
+def piece_places(size: int) -> list[int]:
+    """Where the pieces of an item begin: all are LONGEST bytes, or the whole of a shorter item."""
+    return [0] if size <= LONGEST else [*range(0, size - LONGEST, LONGEST), size - LONGEST]
+
+
 def walk_places(data: np.ndarray, begins: np.ndarray, ends: np.ndarray, bits: np.ndarray, sampled: np.ndarray) -> np.ndarray:
     """The bytes that the walk with ``bits`` (step, byte) writes at the sampled steps, one row per window.
 
@@ -101,74 +109,111 @@ def fitting_distance(item: np.ndarray, text: np.ndarray) -> tuple[int, int]:
 
 
 class Probe:
-    """The items of one block: filter, classes and keys."""
+    """The pieces of one block of items: filter, classes and keys.
 
-    def __init__(self, items, similarity, walks, samples, bits, seed=5):
-        self.items = [(i, np.frombuffer(t, np.uint8), edits(len(t), similarity)) for i, t in items]
-        self.items.sort(key=lambda x: (len(x[1]), x[0]))
-        self.grams = [grams(text) for _, text, _ in self.items]
-        self.known = np.zeros(1 << _SLOTS, bool)
+    ``pieces`` has (item id, whole item, where the piece begins in it); what is derived of them is
+    made once in each worker.
+    """
+
+    def __init__(self, pieces, similarity, walks, samples, bits, seed=5):
+        self.pieces = sorted(pieces, key=lambda p: (min(len(p[1]) - p[2], LONGEST), p[0], p[2], p[1]))
+        self.similarity, self.walks, self.samples, self.bits, self.seed = similarity, walks, samples, bits, seed
+
+    def __reduce__(self):
+        return Probe, (self.pieces, self.similarity, self.walks, self.samples, self.bits, self.seed)
+
+    @cached_property
+    def items(self):
+        """(id, whole item, place of the piece, the piece, edits of the piece, edits of the item) of at least twelve bytes."""
+        out = []
+        for name, text, place in self.pieces:
+            if len(text) >= GRAM:
+                whole = np.frombuffer(text, np.uint8)
+                piece = whole[place : place + LONGEST]
+                out.append((name, whole, place, piece, edits(len(piece), self.similarity), edits(len(whole), self.similarity)))
+        return out
+
+    @cached_property
+    def short(self):
+        return [(name, text) for name, text, _ in self.pieces if len(text) < GRAM]
+
+    @cached_property
+    def grams(self):
+        return [grams(piece) for _, _, _, piece, _, _ in self.items]
+
+    @cached_property
+    def known(self):
+        known = np.zeros(1 << _SLOTS, bool)
         for runs in self.grams:
-            self.known[runs] = True
-        self.classes = []
-        first = 0
-        draw = np.random.default_rng(seed)
-        while first < len(self.items):
-            short = len(self.items[first][1])
+            known[runs] = True
+        return known
+
+    @cached_property
+    def classes(self):
+        """(first and last item, window, known runs it needs, its reach, bytes between windows, tables)."""
+        out, first = [], 0
+        draw = np.random.default_rng(self.seed)
+        pieces = [(piece, d) for _, _, _, piece, d, _ in self.items]
+        while first < len(pieces):
+            short = len(pieces[first][0])
             last = first
-            while last < len(self.items) and len(self.items[last][1]) <= short * _SPREAD:
+            while last < len(pieces) and len(pieces[last][0]) <= short * _SPREAD:
                 last += 1
-            members = self.items[first:last]
-            need = min(len(t) - GRAM + 1 - GRAM * d for _, t, d in members)
-            reach = max(len(t) + d for _, t, d in members)
+            members = pieces[first:last]
+            need = min(len(t) - GRAM + 1 - GRAM * d for t, d in members)
+            reach = max(len(t) + d for t, d in members)
+            apart = max(1, min(_APART, min(d for _, d in members)))
             tables = []
             # In two steps a byte the walk has read about the whole window.
             steps = 2 * short
-            data = np.concatenate([*(t for _, t, _ in members), np.zeros(1, np.uint8)])
-            begins = np.concatenate([[0], np.cumsum([len(t) for _, t, _ in members])])[:-1]
-            for _ in range(walks):
-                moves = draw.integers(0, 2, (steps, 256), dtype=np.int64)
-                places = np.sort(draw.integers(0, steps, (samples, bits)), axis=1)
+            data = np.concatenate([*(t for t, _ in members), np.zeros(1, np.uint8)])
+            begins = np.concatenate([[0], np.cumsum([len(t) for t, _ in members])])[:-1]
+            for _ in range(self.walks):
+                moves = draw.integers(0, 2, (steps, 256), dtype=np.uint8)
+                places = np.sort(draw.integers(0, steps, (self.samples, self.bits)), axis=1)
                 sampled, index = np.unique(places, return_inverse=True)
                 index = index.reshape(places.shape)
                 mine = _keys(walk_places(data, begins, begins + short, moves, sampled), index)
                 order = np.argsort(mine, axis=0, kind="stable")
                 tables.append((moves, sampled, index, np.take_along_axis(mine, order, 0), order))
-            self.classes.append((first, last, short, max(1, need), reach, tables))
+            out.append((first, last, short, max(1, need), reach, apart, tables))
             first = last
-        self.sizes = np.array([len(t) for _, t, _ in self.items], np.int64)
-        self.most = np.array([d for _, _, d in self.items], np.int64)
-        self.seed_item = np.repeat(np.arange(len(self.items)), self.most + 1)
-        self.seed_at = GRAM * np.concatenate([np.arange(d + 1) for d in self.most]).astype(np.int64)
-        self.seed_run = np.concatenate([runs[:: GRAM][: d + 1] for runs, d in zip(self.grams, self.most)])
-        order = np.argsort(self.seed_run, kind="stable")
-        self.seed_item, self.seed_at, self.seed_run = self.seed_item[order], self.seed_at[order], self.seed_run[order]
-        self.seeded = np.zeros(1 << _SLOTS, bool)
-        self.seeded[self.seed_run] = True
-
-    def hits(self, runs, size):
-        """How many runs known from any item begin before each byte."""
-        hit = np.zeros(size + 1, np.int32)
-        if len(runs):
-            np.cumsum(self.known[runs], out=hit[1 : len(runs) + 1], dtype=np.int32)
-            hit[len(runs) + 1 :] = hit[len(runs)]
-        return hit
-
-    def windows(self, data, starts, hit):
-        """For each class, words that begin a window with enough known runs."""
-        begins, _, counts = arrays.words(data, starts)
-        ends = np.repeat(starts[1:], counts)
-        for group in self.classes:
-            _, _, _, need, reach, _ = group
-            stop = np.maximum(begins, np.minimum(begins + reach, ends) - GRAM + 1)
-            keep = hit[stop] - hit[begins] >= need
-            if keep.any():
-                yield group, begins[keep], ends[keep]
+        return out
 
-    def candidates(self, data, starts, hit):
+    def windows(self, data, starts):
+        """For each class, begins and row ends of the windows with enough known runs."""
+        runs = grams(data)
+        hit = np.zeros(len(data) + 1, np.int32)
+        if not len(runs) or not self.classes:
+            return
+        np.cumsum(self.known[runs], out=hit[1 : len(runs) + 1], dtype=np.int32)
+        hit[len(runs) + 1 :] = hit[len(runs)]
+        # One pass for all classes: hardly any place is followed by known runs.
+        reach, need = max(c[4] for c in self.classes), min(c[3] for c in self.classes)
+        ahead = max(reach - GRAM + 1, 1)
+        padded = np.concatenate([hit, np.full(ahead, hit[-1], np.int32)])
+        near = np.flatnonzero(padded[ahead : ahead + len(data)] - hit[:-1] >= need)
+        if not len(near):
+            return
+        ends = starts[np.searchsorted(starts, near, side="right")]
+        for group in self.classes:
+            _, _, _, need, reach, apart, _ = group
+            stop = np.maximum(near, np.minimum(near + reach, ends) - GRAM + 1)
+            keep = hit[stop] - hit[near] >= need
+            begins, until = near[keep], ends[keep]
+            if not len(begins):
+                continue
+            # Every few places of a run of places, its first and its last.
+            first = np.r_[True, np.diff(begins) != 1]
+            last = np.r_[first[1:], True]
+            since = begins - begins[np.maximum.accumulate(np.where(first, np.arange(len(begins)), 0))]
+            some = (since % apart == 0) | last
+            yield group, begins[some], until[some]
+
+    def candidates(self, data, starts):
         """(item index, window start) pairs that share a key, each once, and how often."""
         padded = np.r_[data, np.uint8(0)]
-        for (first, _, short, _, _, tables), begins, ends in self.windows(data, starts, hit):
+        for (first, _, short, _, _, _, tables), begins, ends in self.windows(data, starts):
             until = np.minimum(begins + short, ends)
             found = []
             for moves, sampled, index, sorted_keys, order in tables:
@@ -185,74 +230,49 @@ class Probe:
                 pairs, votes = np.unique(np.concatenate(found), return_counts=True)
                 yield pairs // (len(data) + 1), pairs % (len(data) + 1), votes
 
-    def seeds(self, data, starts, runs, hit):
-        """(row, item index, first, last): the item may begin between these bytes, by a seed that the row holds."""
-        places = np.flatnonzero(self.seeded[runs])
-        low = np.searchsorted(self.seed_run, runs[places])
-        counts = np.searchsorted(self.seed_run, runs[places], side="right") - low
-        total = np.concatenate([[0], np.cumsum(counts)])
-        held = [np.zeros(0, np.int64)]
-        for begin in range(0, int(total[-1]), _PAIRS):
-            pair = np.arange(begin, min(begin + _PAIRS, int(total[-1])))
-            k = np.searchsorted(total, pair, side="right") - 1
-            seed = low[k] + pair - total[k]
-            item, at = self.seed_item[seed], places[k] - self.seed_at[seed]
-            row = np.searchsorted(starts, places[k], side="right") - 1
-            left, right = starts[row], starts[row + 1]
-            size, most = self.sizes[item], self.most[item]
-            keep = (places[k] + GRAM <= right) & (at >= left - most) & (at + size - most <= right)
-            item, at, left, right, size, most = (x[keep] for x in (item, at, left, right, size, most))
-            stop = np.maximum(np.minimum(at + size + most, right) - GRAM + 1, left)
-            keep = hit[stop] - hit[np.maximum(at - most, left)] >= size - GRAM + 1 - GRAM * most
-            group = left + (at - left + most) // (2 * most + 1)
-            held.append(np.unique(item[keep] * (len(data) + 1) + group[keep]))
-        item, group = np.divmod(np.unique(np.concatenate(held)), len(data) + 1)
-        row = np.searchsorted(starts, group, side="right") - 1
-        first = starts[row] + (group - starts[row]) * (2 * self.most[item] + 1) - 2 * self.most[item]
-        return zip(row.tolist(), item.tolist(), first.tolist(), (first + 4 * self.most[item]).tolist())
+    def exact(self, data, starts):
+        """(row, item id, 0, byte offset) of the first place of each short item in each row."""
+        body = data.tobytes() if self.short else b""
+        for name, text in self.short:
+            at = body.find(text)
+            while at >= 0:
+                row = int(np.searchsorted(starts, at, side="right")) - 1
+                if at + len(text) <= starts[row + 1]:
+                    yield row, name, 0, at - int(starts[row])
+                    at = int(starts[row + 1]) - 1  # on to the next row
+                at = body.find(text, at + 1)
 
     def leaks(self, data, starts):
         """(row, item id, distance, byte offset) of verified leaks, the best of each row and item."""
         best: dict[tuple[int, int], tuple[int, int]] = {}
-        runs = grams(data)
-        hit = self.hits(runs, len(data))
-        for which, at, votes in self.candidates(data, starts, hit):
+        for row, name, distance, at in self.exact(data, starts):
+            best[row, name] = min(best.get((row, name), (1, 0)), (distance, at))
+        for which, at, votes in self.candidates(data, starts):
             row = np.searchsorted(starts, at, side="right") - 1
             order = np.lexsort((at, -votes, row, which))
             tried: list[int] = []
             group = None
             for k in order.tolist():
-                index, begin, r = int(which[k]), int(at[k]), int(row[k])
-                name, item, most = self.items[index]
+                index, r = int(which[k]), int(row[k])
+                name, item, place, piece, _, most = self.items[index]
                 if (r, index) != group:
                     group, tried = (r, index), []
-                if best.get((r, name), (most + 1, 0))[0] == 0 or any(abs(begin - t) <= most for t in tried):
-                    continue
                 low, high = int(starts[r]), int(starts[r + 1])
-                if np.array_equal(data[begin : min(begin + len(item), high)], item):
+                begin = int(at[k]) - place  # where the whole item would begin
+                if best.get((r, name), (most + 1, 0))[0] == 0 or any(abs(begin - t) <= most // 2 for t in tried):
+                    continue
+                if begin >= low and np.array_equal(data[begin : min(begin + len(item), high)], item):
                     best[r, name] = (0, begin - low)
                     continue
                 tried.append(begin)
-                left = max(low, begin - most)
-                around = data[left : min(high, begin + len(item) + most)]
-                if np.isin(grams(around), self.grams[index]).sum() < len(item) - GRAM + 1 - GRAM * most:
+                left, right = max(low, begin - most - _APART), min(high, begin + len(item) + most + _APART)
+                around = data[left:right]
+                runs = self.grams[index] if len(piece) == len(item) else grams(item)
+                if np.isin(grams(around), runs).sum() < len(item) - GRAM + 1 - GRAM * most:
                     continue  # too few runs in common for so few edits
                 distance, end = fitting_distance(item, around)
                 if distance <= most and distance < best.get((r, name), (most + 1, 0))[0]:
                     best[r, name] = (distance, max(left + end - len(item), low) - low)
-        for r, index, first, final in self.seeds(data, starts, runs, hit):
-            name, item, most = self.items[index]
-            low, high = int(starts[r]), int(starts[r + 1])
-            distance, begin = best.get((r, name), (most + 1, -1))
-            if distance == 0:
-                continue
-            left = max(low, first)
-            around = data[left : min(high, final + len(item))]
-            if np.isin(grams(around), self.grams[index]).sum() < len(item) - GRAM + 1 - GRAM * most:
-                continue
-            found, end = fitting_distance(item, around)
-            if found <= most and found < distance:
-                best[r, name] = (found, max(left + end - len(item), low) - low)
         return [(r, name, *value) for (r, name), value in sorted(best.items())]
 
 
@@ -270,36 +290,35 @@ def _search(probe):
         items = probe.value
         for batch in batches:
             data, starts = arrays.utf8(batch.column("text"))
-            ids = np.asarray(batch.column("doc_id"))
+            ids, digests = np.asarray(batch.column("doc_id")), batch.column("text_md5")
             found = []
             for a, b in arrays.pieces(starts):
                 own = starts[a : b + 1] - starts[a]
-                found += [(int(ids[a + r]), *x) for r, *x in items.leaks(data[starts[a] : starts[b]], own)]
+                for r, *x in items.leaks(data[starts[a] : starts[b]], own):
+                    found.append((int(ids[a + r]), digests[int(a + r)].as_py(), *x))
             if found:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, pa.int64()) for c in zip(*found)], names=["doc_id", "item_id", "distance", "begin"]
-                )
+                kinds = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int64()]
+                columns = [pa.array(c, k) for c, k in zip(zip(*found), kinds)]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "text_md5", "item_id", "distance", "begin"])
 
     return run
 
 
-def _blocks(benchmark: DataFrame, size: int) -> Iterator[list[tuple[int, bytes]]]:
-    """Items in pieces of at most LONGEST bytes, ``size`` of them at a time; one block is on the driver."""
-    rows = benchmark.where(F.col("item_id").isNotNull() & (F.octet_length("text") >= GRAM)).select("item_id", "text")
+def _blocks(benchmark: DataFrame, size: int) -> Iterator[list[tuple[int, bytes, int]]]:
+    """Pieces of items, about ``size`` of them at a time; one block is on the driver."""
+    rows = benchmark.where(F.col("item_id").isNotNull() & (F.octet_length("text") > 0)).select("item_id", "text")
     held = []
     for row in rows.distinct().orderBy("item_id", "text").toLocalIterator():
         body = row.text.encode()
-        for at in range(0, len(body), LONGEST):
-            if len(body) - at >= GRAM:
-                held.append((row.item_id, body[at : at + LONGEST]))
-            if len(held) == size:
-                yield held
-                held = []
+        held += [(row.item_id, body, place) for place in piece_places(len(body))]
+        if len(held) >= size:
+            yield held
+            held = []
     if held:
         yield held
 
 
-def leaks(
+def found_in(
     docs: DataFrame,
     benchmark: DataFrame,
     similarity: float = SIMILARITY,
@@ -308,22 +327,31 @@ def leaks(
     bits: int = BITS,
     block: int = ITEMS,
 ) -> DataFrame:
-    """doc_id, item_id, distance (edits) and begin (byte, about) of each leaked item."""
-    context = docs.sparkSession.sparkContext
+    """doc_id, text_md5, item_id, distance and begin of all that is found, by text; stored block by block."""
+    spark = docs.sparkSession
     texts = docs.where(F.col("doc_id").isNotNull()).select("doc_id", "text")
-    schema = "doc_id long, item_id long, distance long, begin long"
-    found = docs.sparkSession.createDataFrame([], schema)
-    for items in _blocks(benchmark, block):
-        probe = context.broadcast(Probe(items, similarity, walks, samples, bits))
-        found = found.union(texts.mapInArrow(_search(probe), schema))
+    texts = texts.withColumn("text_md5", F.md5(F.coalesce("text", F.lit("")).cast("binary")))
+    schema = "doc_id long, text_md5 string, item_id long, distance long, begin long"
+    found = spark.createDataFrame([], schema)
+    for pieces in _blocks(benchmark, block):
+        probe = spark.sparkContext.broadcast(Probe(pieces, similarity, walks, samples, bits))
+        found = found.union(materialize(texts.mapInArrow(_search(probe), schema), "leaks"))
+        probe.unpersist()
+    return found
+
+
+def leaks(docs: DataFrame, benchmark: DataFrame, **settings) -> DataFrame:
+    """doc_id, item_id, distance (edits) and begin (byte, about) of each leaked item."""
     return (
-        found.groupBy("doc_id", "item_id")
+        found_in(docs, benchmark, **settings)
+        .groupBy("doc_id", "item_id")
         .agg(F.min(F.struct("distance", "begin")).alias("best"))
         .select("doc_id", "item_id", "best.distance", "best.begin")
     )
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, **settings) -> DataFrame:
-    """``docs`` without those into which an item leaks."""
-    leaky = leaks(docs, benchmark, **settings).select("doc_id").distinct()
-    return docs.join(leaky, "doc_id", "left_anti").select(docs.columns)
+    """``docs`` without the rows into whose text an item leaks."""
+    leaky = found_in(docs, benchmark, **settings).select("doc_id", "text_md5").distinct()
+    same = (docs["doc_id"] == leaky["doc_id"]) & (F.md5(F.coalesce(docs["text"], F.lit("")).cast("binary")) == leaky["text_md5"])
+    return docs.join(leaky, same, "left_anti").select(docs.columns)

@@ -1,19 +1,24 @@
 """Nearest vectors by inner product, over several shifted Hilbert curves.
 
-Vectors get one more component that makes them equally long, so that the largest inner
-product is the smallest angle; queries get 0 there. For each curve the vectors are turned
-at random, projected to a few dimensions, shifted at random on a grid and numbered along
-the Hilbert curve. Spark sorts all keys; a vector's position falls into a block of bounded
-size, and a query visits the blocks within ``window`` of all positions around its own. A task
-holds a range of neighbouring blocks, merges each query's best over them, and scores by
-exact inner products in double precision. Any number of queries may visit a block: they are
-scored in tiles of fixed size, so that no matrix grows with the table. The best of all curves are merged at the end.
+Vectors are parted into bands by their lengths, each up to four times its least. In a band
+they get one more component that makes them equally long, so that the largest inner product
+is the smallest angle; queries get 0 there. A few very long vectors are a band of their own and
+do not flatten the others. For each band and curve the vectors are turned at random,
+projected to a few dimensions, shifted at random on a grid and numbered along the Hilbert curve.
+Spark sorts all keys; a vector's position falls into a block of bounded size, and a query
+visits, in every band, the blocks within half a ``window`` of the band's vectors to each side of its
+own place, and within ``LEAST`` vectors in any case. A task holds a range of neighbouring blocks,
+merges each query's best over them, and scores by exact inner products in double precision. Any
+number of queries may visit a block: they are scored in tiles of fixed size, so that no
+matrix grows with the table. The best of all curves and bands are merged at the end.
 
 The window is a share of the rows, because vectors without low-dimensional structure (those
 of the test tables) need a fixed share to be found again; ``window`` and ``curves`` set
-the recall. Vectors that are null or zero, hold null or non-finite components or differ in
-length from the longest take no part. Rows with a null id take none either; of repeated
-ids one result stands for all.
+the recall, and together how many vectors a query is scored against (see ``rows_scored``).
+Vectors that are null or zero, hold null or non-finite components, or do not have the
+commonest number of components (of equally common ones the largest) take no part, as an inner
+product with them is not defined. Rows with a null id take none either; of several vectors
+under one id the smallest, by its components in order, stands for all.
 """
 
 from __future__ import annotations
@@ -25,15 +30,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from trackloom.operators.ordering import with_position
+from trackloom.operators.ordering import with_running_total
 from trackloom.session import materialize
 
 NEAREST = 20
 CURVES = 16
 DIMENSIONS = 8
 BITS = 6
-WINDOW = 0.1
-BLOCK = 2048
+WINDOW = 0.06
+BLOCK = 128
+LEAST = 256  # vectors to each side of a query's place that it is scored against at least
 TILE = 1024  # queries scored at a time
 KEPT = 1 << 16  # queries whose lists a task holds
 
@@ -68,7 +74,8 @@ def _matrix(column: pa.Array, size: int) -> np.ndarray:
     return np.asarray(column.flatten(), dtype=np.float64).reshape(-1, size)
 
 
-def _key_rows(size: int, longest: float, curves: int, dims: int, bits: int, seed: int):
+def _key_rows(size: int, longest: dict[int, float], curves: int, dims: int, bits: int, seed: int):
+    """Keys of the vectors in their bands and of the queries in all bands; ``longest`` has the bands' lengths."""
     dims = min(dims, size + 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -77,10 +84,14 @@ def _key_rows(size: int, longest: float, curves: int, dims: int, bits: int, seed
                 continue
             x = _matrix(batch.column("vector"), size)
             ids, queries = np.asarray(batch.column("vec_id")), np.asarray(batch.column("query").cast(pa.int8())) == 1
+            band = np.asarray(batch.column("band"))
+            reach = np.array([longest[b] for b in band.tolist()])
+            # Lengths are compared after division: squares of very long vectors would overflow.
+            x = x / np.abs(x).max(axis=1, keepdims=True) * np.where(queries, 1, np.abs(x).max(axis=1) / reach)[:, None]
             length = np.sqrt((x * x).sum(axis=1))
-            extra = np.sqrt(np.maximum(longest**2 - length**2, 0))
-            x = np.where(queries[:, None], x * (longest / length)[:, None], x)
-            full = np.hstack([x, np.where(queries, 0, extra)[:, None]]) / longest * np.sqrt(size + 1)
+            x = np.where(queries[:, None], x / length[:, None], x)
+            extra = np.where(queries, 0, np.sqrt(np.maximum(1 - length**2, 0)))
+            full = np.hstack([x, extra[:, None]]) * np.sqrt(size + 1)
             for curve in range(curves):
                 draw = np.random.default_rng(seed * 1_000 + curve)
                 turned = np.linalg.qr(draw.normal(size=(size + 1, size + 1)))[0][:, :dims]
@@ -88,7 +99,7 @@ def _key_rows(size: int, longest: float, curves: int, dims: int, bits: int, seed
                 place = (np.clip(full @ turned, -4, 4) + 4 + 8 * draw.random(dims)) / 16
                 key = curve_keys((place * (1 << bits)).astype(np.uint32), bits)
                 yield pa.RecordBatch.from_arrays(
-                    [np.full(len(ids), curve, np.int32), key.astype(np.int64), ids, batch.column("query")],
+                    [band * curves + curve, key.astype(np.int64), ids, batch.column("query")],
                     names=["curve", "key", "vec_id", "query"],
                 )
 
@@ -191,12 +202,57 @@ def _search_rows(size: int, k: int, tile: int, kept: int):
 
 
 def usable(vectors: DataFrame, id_: str = "vec_id", vector: str = "embedding") -> DataFrame:
+    """vec_id and vector, one row per id, of the vectors that can take part."""
     x = F.transform(vector, lambda v: v.cast("double"))
     finite = F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
     rows = vectors.select(F.col(id_).cast("long").alias("vec_id"), x.alias("vector"))
-    return rows.where(F.col("vec_id").isNotNull() & F.coalesce(finite, F.lit(False))).where(
-        F.exists("vector", lambda v: v != 0)
-    )
+    rows = rows.where(F.col("vec_id").isNotNull() & F.coalesce(finite, F.lit(False)))
+    return rows.where(F.exists("vector", lambda v: v != 0))
+
+
+def _parts(queries: DataFrame, vectors: DataFrame) -> tuple[DataFrame, int]:
+    """All rows of the commonest size, stored, with ``band``; queries have none."""
+    rows = usable(vectors).withColumn("query", F.lit(False)).union(usable(queries).withColumn("query", F.lit(True)))
+    top = F.array_max(F.transform("vector", F.abs))
+    # The length, without squares that overflow or vanish.
+    length = top * F.sqrt(F.aggregate("vector", F.lit(0.0), lambda a, v: a + (v / top) * (v / top)))
+    rows = materialize(rows.withColumn("length", length).withColumn("size", F.size("vector")), "vectors")
+    sizes = rows.where("NOT query").groupBy("size").count().orderBy(F.desc("count"), F.desc("size")).first()
+    size = sizes["size"] if sizes else 1
+    one = rows.where(F.col("size") == size).groupBy("vec_id", "query").agg(F.min(F.struct("vector", "length")).alias("_"))
+    one = materialize(one.select("vec_id", "query", "_.vector", "_.length"), "unique")
+    # The middle of the lengths is the middle of a band, so that usual lengths are not split.
+    middle = one.where("NOT query").agg(F.round(F.avg(F.log2("length")), 2).alias("m")).first()["m"] or 0.0
+    band = F.when(~F.col("query"), F.floor((F.log2("length") - middle) / 2 + 0.5).cast("long"))
+    return one.withColumn("band", band), size
+
+
+def _visits(rows: DataFrame, size: int, curves: int, window: float, block: int, least: int, dims: int, bits: int, seed: int):
+    """curve, vec_id, query and block: where each vector lies and which blocks each query visits."""
+    facts = rows.where("NOT query").groupBy("band").agg(F.max("length").alias("longest"), F.count("*").alias("n"))
+    # One row per factor of four between the lengths: fewer than doubles have exponents.
+    bands = facts.orderBy("band").collect()
+    number = {row["band"]: i for i, row in enumerate(bands)}
+    longest = {i: row["longest"] for i, row in enumerate(bands)}
+    places = F.lit([row["n"] for row in bands] or [0])
+    before = F.lit([curves * sum(row["n"] for row in bands[:i]) for i in range(len(bands))] or [0])
+    known = F.create_map(*[F.lit(x).cast("long") for pair in number.items() for x in pair]) if number else None
+    own = F.array(known[F.col("band")]) if number else F.array(F.lit(0).cast("long"))
+    every = F.when(F.col("query"), F.sequence(F.lit(0).cast("long"), F.lit(len(bands) - 1).cast("long"))).otherwise(own)
+    spread = rows.where(F.lit(bool(bands))).select("vec_id", "query", "vector", F.explode(every).alias("band"))
+    keys = spread.mapInArrow(_key_rows(size, longest, curves, dims, bits, seed), "curve long, key long, vec_id long, query boolean")
+    keys = keys.withColumn("one", F.when(F.col("query"), 0).otherwise(1).cast("long"))
+    placed = with_running_total(keys, ["curve", "key", "vec_id", "query"], "one", "reached")
+    band = F.floor(F.col("curve") / curves).cast("int")
+    n = places[band]
+    # Vectors before this row, on its own curve.
+    at = F.col("reached") - F.col("one") - before[band] - (F.col("curve") % curves) * n
+    half = F.greatest(F.floor(n * (window / 2)), F.lit(least))
+    last = F.floor((n - 1) / block)
+    low = F.least(F.greatest(F.floor((at - half) / block), F.lit(0).cast("long")), last)
+    high = F.least(F.floor((at + half) / block), last)
+    blocks = F.when(F.col("query"), F.sequence(low, high)).otherwise(F.array(F.floor(at / block)))
+    return placed.select("curve", "vec_id", "query", F.explode(blocks).alias("block"))
 
 
 def search(
@@ -206,6 +262,7 @@ def search(
     curves: int = CURVES,
     window: float = WINDOW,
     block: int = BLOCK,
+    least: int = LEAST,
     dims: int = DIMENSIONS,
     bits: int = BITS,
     seed: int = 11,
@@ -214,27 +271,10 @@ def search(
 
     Both inputs have vec_id and embedding.
     """
-    rows = usable(vectors).withColumn("query", F.lit(False)).union(usable(queries).withColumn("query", F.lit(True)))
-    rows = materialize(rows.dropDuplicates(["vec_id", "query"]), "vectors")
-    length = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda a, v: a + v * v))
-    facts = rows.groupBy(F.size("vector").alias("size")).agg(F.max(length).alias("longest"), F.count("*").alias("n"))
-    facts = facts.orderBy(F.desc("size")).first()
-    size, longest, total = (facts.size, facts.longest, facts.n) if facts else (1, 1.0, 0)
-    rows = rows.where(F.size("vector") == size)
-    keys = rows.mapInArrow(
-        _key_rows(size, longest, curves, dims, bits, seed), "curve int, key long, vec_id long, query boolean"
-    )
-    placed = with_position(keys, ["curve", "key", "vec_id", "query"], "position")
-    own = F.col("position") - F.col("curve").cast("long") * total
-    half = int(total * window / 2)
-    last = max((total - 1) // block, 0)
-    low = F.greatest(F.lit(0), F.floor((own - half) / block))
-    high = F.least(F.lit(last), F.floor((own + half) / block))
-    here = F.floor(own / block)
-    blocks = F.when(F.col("query"), F.sequence(low, high)).otherwise(F.array(here))
-    visits = placed.select("curve", "vec_id", "query", F.explode(blocks).alias("block"))
+    rows, size = _parts(queries, vectors)
+    visits = _visits(rows, size, curves, window, block, least, dims, bits, seed)
     found = (
-        visits.join(rows, ["vec_id", "query"])
+        visits.join(rows.select("vec_id", "query", "vector"), ["vec_id", "query"])
         .repartitionByRange("curve", "block")
         .sortWithinPartitions("curve", "block", "query", "vec_id")
         .select("curve", "block", "vec_id", "query", "vector")
@@ -248,3 +288,12 @@ def search(
         .where(F.col("rank") <= k)
         .select("query_id", "rank", "vec_id", "score")
     )
+
+
+def rows_scored(queries: DataFrame, vectors: DataFrame, **settings) -> DataFrame:
+    """query_id and n_scored, how many vectors a query is scored against; one on several curves counts as often."""
+    given = {"curves": CURVES, "window": WINDOW, "block": BLOCK, "least": LEAST, "dims": DIMENSIONS, "bits": BITS, "seed": 11} | settings
+    rows, size = _parts(queries, vectors)
+    visits = materialize(_visits(rows, size, **given), "visits")
+    sizes = visits.where("NOT query").groupBy("curve", "block").agg(F.count("*").alias("n"))
+    return visits.where("query").join(sizes, ["curve", "block"]).groupBy(F.col("vec_id").alias("query_id")).agg(F.sum("n").alias("n_scored"))

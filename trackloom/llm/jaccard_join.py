@@ -15,7 +15,8 @@
 Words are runs of characters other than ASCII white space, as written. A text of one to
 four words has one shingle of all its words; a text without words has an empty set,
 links to nothing and is its own class. Null text is empty. Rows with a null doc_id are
-left out. Repeated rows of a doc_id count as one document per text.
+left out. Repeated rows of a doc_id count as one document per text: texts of one doc_id are
+classes of their own, linked only if their sets are, and doc_id is the least of several classes.
 """
 
 from __future__ import annotations
@@ -73,6 +74,17 @@ def band_hashes(values: np.ndarray, starts: np.ndarray, bands: int, rows: int) -
     return out
 
 
+def set_keys(values: np.ndarray, cuts: np.ndarray) -> np.ndarray:
+    """Two numbers that identify each row's set; zeros for an empty one."""
+    keys = np.zeros((len(cuts) - 1, 2), np.uint64)
+    full = np.flatnonzero(np.diff(cuts))
+    if len(full):
+        begins = cuts[full]
+        keys[full, 0] = np.add.reduceat(values, begins)
+        keys[full, 1] = np.add.reduceat(arrays.mixed(values ^ np.uint64(0xA5A5A5A5)), begins)
+    return keys.view(np.int64)
+
+
 def _lists(flat: np.ndarray, ends: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(flat))
 
@@ -87,23 +99,21 @@ def _signature_rows(words: int, bands: int, rows: int):
                 values, cuts = text_sets(data[base : starts[last]], starts[first : last + 1] - base, words)
                 sizes = np.diff(cuts)
                 full = np.flatnonzero(sizes)
-                keys = np.zeros((last - first, 2), np.uint64)
+                keys = set_keys(values, cuts)
                 bandkeys = np.zeros((0, bands), np.uint64)
                 if len(full):
-                    own = np.r_[cuts[full], cuts[-1]]
-                    keys[full, 0] = np.add.reduceat(values, own[:-1])
-                    keys[full, 1] = np.add.reduceat(arrays.mixed(values ^ np.uint64(0xA5A5A5A5)), own[:-1])
-                    bandkeys = band_hashes(values, own, bands, rows)
+                    bandkeys = band_hashes(values, np.r_[cuts[full], cuts[-1]], bands, rows)
                 ends = np.concatenate([[0], np.cumsum(np.where(sizes > 0, bands, 0))])
                 yield pa.RecordBatch.from_arrays(
                     [
                         ids.slice(first, last - first),
-                        keys[:, 0].view(np.int64) if last - first == 0 else np.ascontiguousarray(keys[:, 0]).view(np.int64),
-                        np.ascontiguousarray(keys[:, 1]).view(np.int64),
+                        batch.column("text_md5").slice(first, last - first),
+                        np.ascontiguousarray(keys[:, 0]),
+                        np.ascontiguousarray(keys[:, 1]),
                         sizes.astype(np.int64),
                         _lists(np.ascontiguousarray(bandkeys).view(np.int64).ravel(), ends),
                     ],
-                    names=["doc_id", "k1", "k2", "n", "bands"],
+                    names=["doc_id", "text_md5", "k1", "k2", "n", "bands"],
                 )
 
     return run
@@ -119,8 +129,14 @@ def _set_rows(words: int):
                 body = pa.LargeBinaryArray.from_buffers(
                     pa.large_binary(), last - first, [None, pa.py_buffer((cuts * 8).astype(np.int64)), pa.py_buffer(values.tobytes())]
                 ).cast(pa.binary())
-                cols = [batch.column(n).slice(first, last - first) for n in ("component", "rep", "copies", "blocks")]
-                yield pa.RecordBatch.from_arrays([*cols, body], names=["component", "rep", "copies", "blocks", "body"])
+                kept = ["component", "node", "copies", "blocks"]
+                cols = [batch.column(n).slice(first, last - first) for n in kept]
+                made = pa.RecordBatch.from_arrays([*cols, body], names=[*kept, "body"])
+                # A doc_id with several texts brings all of them; only that of the class has its set.
+                keys = set_keys(values, cuts)
+                wanted = (np.asarray(batch.column(n))[first:last] for n in ("k1", "k2"))
+                own = np.logical_and.reduce([keys[:, i] == w for i, w in enumerate(wanted)])
+                yield made.filter(pa.array(own))
 
     return run
 
@@ -163,7 +179,7 @@ def _verify(similarity: float):
     """Rows of one pair of blocks -> for each text, its verified copies and a link."""
 
     def unit(rows: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        reps, copies, block = (np.array(rows[n]) for n in ("rep", "copies", "block"))
+        reps, copies, block = (np.array(rows[n]) for n in ("node", "copies", "block"))
         sets = [np.frombuffer(x, np.uint64) for x in rows["body"]]
         if rows["lo"][0] == rows["hi"][0]:
             mask = linked(sets, sets, similarity)
@@ -208,7 +224,7 @@ def _verify(similarity: float):
         def packed():
             made = [np.concatenate(x) for x in zip(*done)]
             done.clear()
-            return pa.RecordBatch.from_arrays(made, names=["rep", "links", "root"])
+            return pa.RecordBatch.from_arrays(made, names=["node", "links", "root"])
 
         for batch in batches:
             rows = batch.to_pydict()
@@ -217,6 +233,8 @@ def _verify(similarity: float):
                 if now != key:
                     finish()
                     held, key = {n: [] for n in rows}, now
+                elif held["node"][-1] == rows["node"][i]:
+                    continue  # texts of one doc_id with one set
                 for n in rows:
                     held[n].append(rows[n][i])
             if done:
@@ -246,7 +264,17 @@ def _tree(mask: np.ndarray) -> Iterator[tuple[int, int]]:
                     queue.append(int(k))
 
 
-def near_duplicates(
+def near_duplicates(docs: DataFrame, **settings) -> DataFrame:
+    """One row per document: doc_id, class_id, n_links, copy_id.
+
+    class_id is the least doc_id of the document's connected group, n_links the number of
+    other documents of the similarity or more, copy_id the least doc_id with the same
+    shingle set. ``settings`` are those of :func:`grouped`.
+    """
+    return grouped(docs, **settings).drop("text_md5")
+
+
+def grouped(
     docs: DataFrame,
     words: int = WORDS,
     similarity: float = SIMILARITY,
@@ -255,45 +283,36 @@ def near_duplicates(
     block: int = BLOCK,
     sets_block: int = SETS,
 ) -> DataFrame:
-    """One row per document: doc_id, class_id, n_links, copy_id.
-
-    class_id is the least doc_id of the document's connected group, n_links the number of
-    other documents of similarity ``similarity`` or more, copy_id the least doc_id with
-    the same shingle set.
-    """
+    """As :func:`near_duplicates`, and text_md5, the digest of the row's text (null is empty)."""
     texts = docs.where(F.col("doc_id").isNotNull()).select("doc_id", "text")
     signed = materialize(
-        texts.mapInArrow(
-            _signature_rows(words, bands, rows), "doc_id long, k1 long, k2 long, n long, bands array<long>"
+        texts.withColumn("text_md5", F.md5(F.coalesce("text", F.lit("")).cast("binary"))).mapInArrow(
+            _signature_rows(words, bands, rows), "doc_id long, text_md5 string, k1 long, k2 long, n long, bands array<long>"
         ),
         "signatures",
     )
-    filled = signed.where("n > 0")
-    classes = materialize(
-        filled.groupBy("k1", "k2", "n")
-        .agg(F.min("doc_id").alias("rep"), F.countDistinct("doc_id").alias("copies"))
-        .join(filled.select("k1", "k2", "n", F.col("doc_id").alias("rep"), "bands").dropDuplicates(["k1", "k2", "n", "rep"]), ["k1", "k2", "n", "rep"]),
-        "classes",
-    )
-    banded = classes.select("rep", F.explode("bands").alias("band"))
-    least = banded.groupBy("band").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).where("low < high")
-    edges = banded.join(least.drop("high"), "band").where("rep <> low").select("rep", "low").distinct()
-    found = components(edges, "rep", "low").withColumnRenamed("root", "component")
-    members = materialize(
-        classes.select("k1", "k2", "n", "rep", "copies").join(found, F.col("rep") == F.col("node")).drop("node"), "members"
+    # One row per different set, with a number of its own: a doc_id can be the least of several.
+    alike = ["k1", "k2", "n"]
+    classes = signed.where("n > 0").groupBy(*alike).agg(
+        F.min("doc_id").alias("rep"), F.countDistinct("doc_id").alias("copies"), F.any_value("bands").alias("bands")
     )
+    classes = materialize(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
+    banded = classes.select("node", F.explode("bands").alias("band"))
+    least = banded.groupBy("band").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high")
+    edges = banded.join(least.drop("high"), "band").where("node <> low").select("node", "low").distinct()
+    found = components(edges, "node", "low").withColumnRenamed("root", "component")
+    members = materialize(classes.drop("bands").join(found, "node"), "members")
     most = F.greatest(F.sum("n") / block, F.count("*") / sets_block)
     blocks = members.groupBy("component").agg(F.ceil(most).cast("int").alias("blocks"))
-    # A doc_id that repeats with other texts must bring the text of its class: one row per (rep, text).
     # It grows with the input, so it is never broadcast, however small it is today.
-    wanted = members.join(blocks, "component").select("component", "rep", "copies", "blocks").hint("merge")
+    wanted = members.join(blocks, "component").select("component", "node", "rep", "k1", "k2", "copies", "blocks").hint("merge")
     sets = (
         texts.join(wanted, F.col("doc_id") == F.col("rep"))
-        .select("component", "rep", "copies", "blocks", "text")
-        .dropDuplicates(["component", "rep"])
-        .mapInArrow(_set_rows(words), "component long, rep long, copies long, blocks int, body binary")
+        .select("component", "node", "copies", "blocks", "k1", "k2", "text", F.md5(F.col("text").cast("binary")).alias("md5"))
+        .dropDuplicates(["node", "md5"])
+        .mapInArrow(_set_rows(words), "component long, node long, copies long, blocks int, body binary")
     )
-    mine = F.pmod(F.xxhash64("rep"), F.col("blocks").cast("long")).cast("int")
+    mine = F.pmod(F.xxhash64("node"), F.col("blocks").cast("long")).cast("int")
     units = (
         sets.withColumn("block", mine)
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
@@ -302,39 +321,39 @@ def near_duplicates(
             F.least("block", "other").alias("lo"),
             F.greatest("block", "other").alias("hi"),
             "block",
-            "rep",
+            "node",
             "copies",
             "body",
         )
     )
     checked = materialize(
         units.repartition("component", "lo", "hi")
-        .sortWithinPartitions("component", "lo", "hi", "rep")
-        .mapInArrow(_verify(similarity), "rep long, links long, root long"),
+        .sortWithinPartitions("component", "lo", "hi", "node")
+        .mapInArrow(_verify(similarity), "node long, links long, root long"),
         "verified",
     )
-    links = checked.groupBy("rep").agg(F.sum("links").alias("links"))
-    groups = components(checked.where("rep <> root"), "rep", "root")
+    links = checked.groupBy("node").agg(F.sum("links").alias("links"))
+    groups = materialize(components(checked.where("node <> root"), "node", "root"), "groups")
+    named = groups.join(classes.select("node", "rep"), "node").groupBy("root").agg(F.min("rep").alias("class_id"))
     summary = (
-        classes.select("k1", "k2", "n", "rep", "copies")
-        .join(links, "rep", "left")
-        .join(groups, F.col("rep") == F.col("node"), "left")
+        classes.drop("bands")
+        .join(links, "node", "left")
+        .join(groups.join(named, "root").select("node", "class_id"), "node", "left")
         .select(
-            "k1",
-            "k2",
-            "n",
+            *alike,
             "rep",
-            F.coalesce("root", "rep").alias("class_id"),
+            F.coalesce("class_id", "rep").alias("class_id"),
             (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
         )
     )
     return (
-        signed.select("doc_id", "k1", "k2", "n")
-        .join(summary, ["k1", "k2", "n"], "left")
+        signed.drop("bands")
+        .join(summary, alike, "left")
         .select(
             "doc_id",
             F.coalesce("class_id", "doc_id").alias("class_id"),
             F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
             F.coalesce("rep", "doc_id").alias("copy_id"),
+            "text_md5",
         )
     )

@@ -159,10 +159,11 @@ def _predict_rows(model: Tree | None):
 
 
 def fit(docs: DataFrame, train: Column, limit: int = SAMPLE) -> Tree | None:
-    """Learn from at most ``limit`` texts that ``train`` admits."""
+    """Learn from at most ``limit`` documents that ``train`` admits; of several rows under one doc_id the least counts."""
     rows = docs.where(train & F.col("lang").isNotNull() & F.col("doc_id").isNotNull())
     few = F.broadcast(bounded_sample(rows.select("doc_id").distinct(), "doc_id", limit, "language"))
-    found = rows.select("doc_id", "text", "lang").join(few, "doc_id").mapInArrow(_feature_rows, "lang string, x binary")
+    found = rows.join(few, "doc_id").groupBy("doc_id").agg(F.min(F.struct("lang", "text")).alias("_")).select("_.lang", "_.text")
+    found = found.mapInArrow(_feature_rows, "lang string, x binary")
     got = sorted((r.lang, bytes(r.x)) for r in found.collect())
     if not got:
         return None

@@ -15,13 +15,16 @@ def bounded_sample(rows: DataFrame, key: str, limit: int, seed: str) -> DataFram
 
 
 def sample_texts(docs: DataFrame, labels: DataFrame, label: str, train: Column, limit: int, seed: str) -> DataFrame:
-    """text and label of at most ``limit`` labelled rows; the labels, not the texts, are broadcast."""
-    chosen = labels.where(train & F.col(label).isin(0, 1) & F.col("doc_id").isNotNull()).select(
-        "doc_id", F.col(label).cast("int").alias("label")
-    )
+    """text and label of at most ``limit`` labelled documents; the labels, not the texts, are broadcast.
+
+    Of several labels or texts under one doc_id the least stands for all.
+    """
+    wanted = labels.where(train & F.col(label).isin(0, 1) & F.col("doc_id").isNotNull())
+    chosen = wanted.groupBy("doc_id").agg(F.min(F.col(label).cast("int")).alias("label"))
     # At most ``limit`` rows of two numbers.
-    few = F.broadcast(bounded_sample(chosen.dropDuplicates(["doc_id"]), "doc_id", limit, seed))
-    return docs.select("doc_id", "text").join(few, "doc_id").select("text", "label")
+    few = F.broadcast(bounded_sample(chosen, "doc_id", limit, seed))
+    found = docs.select("doc_id", "text").join(few, "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))
+    return found.select("text", "label")
 
 
 def sigmoid(x):

@@ -60,9 +60,9 @@ def warc_fixity(spark: SparkSession, folder: str) -> DataFrame:
     records = pages.select("page_id", fixity.warc_record(F.col("url"), F.col("html")).alias("record"))
     ours = fixity.materialize(fixity.manifest(records, "page_id"), "manifest")
     # A replica keeps the places of its records, whatever became of their bytes.
-    places = ours.select("page_id", "digest", "at", "bytes")
+    places = ours.select(F.col("page_id").alias("_page"), F.col("digest").alias("_digest"), "at", "bytes")
     digest = F.sha2(F.col("record").cast("binary"), 256)
-    placed = records.withColumn("digest", digest).join(places, ["page_id", "digest"]).drop("digest")
+    placed = records.join(places, F.col("page_id").eqNullSafe(F.col("_page")) & (digest == F.col("_digest")))
     theirs = fixity.materialize(
         damaged_replica(placed)
         .select("at", "bytes", F.sha2(F.col("record").cast("binary"), 256).alias("digest"))

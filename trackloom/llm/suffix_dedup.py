@@ -41,6 +41,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -237,6 +238,13 @@ def _eligible(batch: pa.RecordBatch) -> pa.Array:
     return pc.and_(pc.is_valid(batch.column("doc_id")), pc.invert(batch.column("copy")))
 
 
+def checks(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A digest of each range of bytes."""
+    body = data.tobytes()
+    digests = (xxhash.xxh64_intdigest(body[a:b]) for a, b in zip(begin.tolist(), end.tolist()))
+    return np.fromiter(digests, np.uint64, len(begin)).view(np.int64)
+
+
 def held_earlier(values, lead, low, sizes, docs, data: np.ndarray, columns: int) -> np.ndarray:
     """Whether a smaller document has an equal segment (anchor, lead and bytes) among these."""
     covered = np.zeros(len(values), bool)
@@ -260,16 +268,16 @@ def held_earlier(values, lead, low, sizes, docs, data: np.ndarray, columns: int)
 
 def _segment_rows(span: int, key: int):
     width = span - key + 1
-    names = ["anchor", "doc_id", "low", "lead", "bytes"]
+    names = ["anchor", "doc_id", "low", "lead", "bytes", "check"]
 
-    def removed(docs, begin, end) -> pa.RecordBatch:
+    def removed(data, base, docs, begin, end) -> pa.RecordBatch:
         """Ranges of known result, in order: united, without bytes, their length in place of the lead."""
-        new = np.flatnonzero(np.r_[True, (docs[1:] != docs[:-1]) | (begin[1:] > end[:-1])])
+        new = np.flatnonzero(np.r_[True, (docs[1:] != docs[:-1]) | (base[1:] != base[:-1]) | (begin[1:] > end[:-1])])
         last = np.r_[new[1:] - 1, len(docs) - 1]
-        docs, begin, size = docs[new], begin[new], end[last] - begin[new]
-        return pa.RecordBatch.from_arrays(
-            [docs, docs, begin.astype(np.int32), size.astype(np.int32), pa.nulls(len(docs), pa.binary())], names=names
-        )
+        docs, base, begin, size = docs[new], base[new], begin[new], end[last] - begin[new]
+        check = checks(data, base + begin, base + begin + size)
+        none = pa.nulls(len(docs), pa.binary())
+        return pa.RecordBatch.from_arrays([docs, docs, begin.astype(np.int32), size.astype(np.int32), none, check], names=names)
 
     def piece(data, own, ids, shared) -> Iterator[pa.RecordBatch]:
         at, values = anchors(data, own, span, key)
@@ -283,7 +291,7 @@ def _segment_rows(span: int, key: int):
         covered = held_earlier(values, at - low, low, sizes, ids[row], data, 2 * span - key)
         if covered.any():
             begin = (low - own[row])[covered]
-            yield removed(ids[row][covered], begin, begin + sizes[covered])
+            yield removed(data, own[row][covered], ids[row][covered], begin, begin + sizes[covered])
             at, row, low, values, sizes = (x[~covered] for x in (at, row, low, values, sizes))
         ends = np.concatenate([[0], np.cumsum(sizes)])
         index = np.arange(ends[-1]) - np.repeat(ends[:-1] - low, sizes)
@@ -297,6 +305,7 @@ def _segment_rows(span: int, key: int):
                 (low - own[row]).astype(np.int32),
                 (at - low).astype(np.int32),
                 body.cast(pa.binary()),
+                pa.nulls(len(at), pa.int64()),
             ],
             names=names,
         )
@@ -362,7 +371,7 @@ class _Collection:
         self.columns = 2 * span - key
 
     def solve(self, anchor, docs, low, lead, ends, data):
-        """Removed windows as (doc, from, to), and the rows that show each new window first."""
+        """Removed windows as (doc, from, to, check), and the rows that show each new window first."""
         rows = len(docs)
         sizes = np.diff(ends)
         shift = self.lead - lead.astype(np.int64)  # the first window's column
@@ -380,7 +389,9 @@ class _Collection:
         at_row, begin = np.nonzero(turns == 1)
         _, end = np.nonzero(turns == -1)
         base = low.astype(np.int64) - shift
-        removed = docs[at_row], base[at_row] + begin, base[at_row] + end - 1 + self.span
+        begin, end = base[at_row] + begin, base[at_row] + end - 1 + self.span
+        inside = (ends[:-1] - low)[at_row]
+        removed = docs[at_row], begin, end, checks(data, begin + inside, end + inside)
         return removed, (valid & ~gone).any(axis=1)
 
 
@@ -397,9 +408,9 @@ def _column_rows(span: int, key: int, limit: int):
         return anchor, docs, low, lead, ends, data
 
     def out(found) -> pa.RecordBatch:
-        docs, begin, end = found
+        docs, begin, end, check = found
         return pa.RecordBatch.from_arrays(
-            [docs, begin.astype(np.int32), end.astype(np.int32)], names=["doc_id", "begin", "end"]
+            [docs, begin.astype(np.int32), end.astype(np.int32), check], names=["doc_id", "begin", "end", "check"]
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -422,12 +433,14 @@ def _column_rows(span: int, key: int, limit: int):
             return out(found), seen
 
         for batch in batches:
-            batch = batch.select(names)
+            batch = batch.select([*names, "check"])
             settled = pc.is_null(batch.column("bytes"))
             if pc.any(settled).as_py():
-                docs, begin, length = (batch.filter(settled).column(n).to_numpy() for n in ("doc_id", "low", "lead"))
-                yield out((docs, begin, begin + length))
+                known = batch.filter(settled)
+                docs, begin, length, check = (known.column(n).to_numpy() for n in ("doc_id", "low", "lead", "check"))
+                yield out((docs, begin, begin + length, check))
                 batch = batch.filter(pc.invert(settled))
+            batch = batch.select(names)
             if not batch.num_rows:
                 continue
             held.append(batch)
@@ -462,7 +475,7 @@ def _cut_rows(span: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in arrays.small(batches):
             data, starts = _texts(batch)
-            copies = batch.column("copy").to_pylist()
+            copies, repeated = (batch.column(c).to_pylist() for c in ("copy", "repeated"))
             filled = batch.column("filled").to_pylist()
             begins, ends = batch.column("begins"), batch.column("ends")
             rows = []
@@ -472,7 +485,13 @@ def _cut_rows(span: int):
                 if copy and size >= span:
                     spans = [(0, size)]
                 elif begins[i].is_valid:
-                    b, e = merged(np.array(begins[i].values), np.array(ends[i].values))
+                    b, e = np.array(begins[i].values), np.array(ends[i].values)
+                    if repeated[i]:  # another text of this doc_id may have lent its ranges
+                        mine = e <= size
+                        b, e, check = b[mine], e[mine], np.array(batch.column("checks")[i].values)[mine]
+                        mine = checks(body, b, e) == check
+                        b, e = b[mine], e[mine]
+                    b, e = merged(b, e) if len(b) else (b, e)
                     spans = list(zip(b.tolist(), e.tolist()))
                 keep = np.ones(size, bool)
                 for b, e in spans:
@@ -515,7 +534,7 @@ def _compress(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def removed_spans(texts: DataFrame, parts: int, span: int = SPAN, key: int = KEY, limit: int = COLLECTION) -> DataFrame:
-    """Covered byte ranges (doc_id, begin, end) of the rows that are no copies; ranges may overlap.
+    """Covered byte ranges (doc_id, begin, end, check) of the rows that are no copies; ranges may overlap.
 
     ``texts`` has doc_id, extra, filled, body (compressed text) and copy; anchors are
     compared in ``parts`` parts.
@@ -529,12 +548,12 @@ def removed_spans(texts: DataFrame, parts: int, span: int = SPAN, key: int = KEY
         .agg(F.collect_list("at").alias("at"))
     )
     segments = texts.join(shared, "doc_id", "left").mapInArrow(
-        _segment_rows(span, key), "anchor long, doc_id long, low int, lead int, bytes binary"
+        _segment_rows(span, key), "anchor long, doc_id long, low int, lead int, bytes binary, check long"
     )
     return (
         segments.repartition("anchor")
         .sortWithinPartitions("anchor", "doc_id")
-        .mapInArrow(_column_rows(span, key, limit), "doc_id long, begin int, end int")
+        .mapInArrow(_column_rows(span, key, limit), "doc_id long, begin int, end int, check long")
     )
 
 
@@ -562,18 +581,24 @@ def remove_repeats(
         .where("n > 1 and keeper is not null")
         .drop("n")
     )
-    # A doc_id that repeats is a copy only if all its texts are.
+    # A doc_id that repeats is a copy only if all its texts are. Ranges are known by doc_id; where
+    # it has several texts, each keeps those whose bytes are its own.
     marked = (
         digests.join(copies, "digest", "left")
         .groupBy("doc_id")
-        .agg(F.min(F.coalesce(F.col("doc_id") > F.col("keeper"), F.lit(False))).alias("copied"))
-        .where("copied")
+        .agg(
+            F.min(F.coalesce(F.col("doc_id") > F.col("keeper"), F.lit(False))).alias("copied"),
+            (F.min("digest") != F.max("digest")).alias("several"),
+        )
+        .where("copied OR several")
     )
-    texts = rows.join(marked, "doc_id", "left").withColumn("copy", F.coalesce("copied", F.lit(False))).drop("copied")
+    no = F.lit(False)
+    texts = rows.join(marked, "doc_id", "left").withColumns({"copy": F.coalesce("copied", no), "repeated": F.coalesce("several", no)})
+    texts = texts.drop("copied", "several")
     spans = (
         removed_spans(texts, parts, span, key, limit)
         .groupBy("doc_id")
-        .agg(F.collect_list("begin").alias("begins"), F.collect_list("end").alias("ends"))
+        .agg(*(F.collect_list(c).alias(f"{c}s") for c in ("begin", "end", "check")))
     )
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*extra).schema)
     return texts.join(spans, "doc_id", "left").mapInArrow(

@@ -29,9 +29,10 @@ from pyspark.sql import functions as F
 from trackloom.llm import arrays
 from trackloom.llm.language import _LOWER
 from trackloom.llm.learning import SAMPLE, logistic, sample_texts, sigmoid
+from trackloom.session import materialize
 
 OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT, DENIED, QUOTED, AIMED = range(9)
-PATTERNS = 400
+CHANCE = 20  # samples without any pattern by chance
 SHORTEST = 4
 LONGEST = 12
 # Words of the grammar's closed classes.
@@ -202,7 +203,7 @@ def _word_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         before = np.r_[np.uint64(0), arrays.word_hashes(low, begins, ends)[:-1]] if len(begins) else np.zeros(0, np.uint64)
         bits = (np.uint64(1) << (before % np.uint64(63))).view(np.int64).tolist()
         for b, e, r, bit in zip(begins.tolist(), ends.tolist(), row.tolist(), bits):
-            word = body[b:e][:64]
+            word = body[b:e]
             entry = seen.setdefault(word, [0, 0, 0])
             toxic = labels[r] == 1
             if last.get(word) != r:
@@ -236,8 +237,15 @@ class Model:
         return sigmoid(np.hstack([x, np.ones((len(x), 1))]) @ self.weights)
 
 
-def learn_insults(sample: DataFrame, limit: int = PATTERNS) -> dict[bytes, tuple[int, float]]:
-    """At most ``limit`` word beginnings, and whole words, that mark toxic texts."""
+def learn_insults(sample: DataFrame) -> dict[bytes, tuple[int, float]]:
+    """The word beginnings, and whole words, that mark toxic texts, with their weights.
+
+    A pattern must be in six toxic texts, in many contexts (copies of one text repeat a word in
+    one), 25 times as often as in clean ones, and so often that chance, at the sample's
+    share of toxic texts, would give none such among all patterns in ``CHANCE`` samples (a
+    log-likelihood test). Of patterns that begin alike the shortest stands for all. The patterns
+    are words of a bounded sample, and so are few.
+    """
     counted = sample.mapInArrow(_word_rows, "word binary, toxic long, clean long, sketch long")
     words = counted.groupBy("word").agg(
         F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"), F.bit_or("sketch").alias("sketch")
@@ -246,23 +254,30 @@ def learn_insults(sample: DataFrame, limit: int = PATTERNS) -> dict[bytes, tuple
         f"transform(sequence({SHORTEST}, {LONGEST}), n -> if(octet_length(word) >= n, substring(word, 1, n), null))"
     )
     whole = F.array(F.concat("word", F.lit(" ").cast("binary")))
-    patterns = (
+    patterns = materialize(
         words.select(F.explode(F.concat(F.array_compact(begun), whole)).alias("pattern"), "toxic", "clean", "sketch")
         .groupBy("pattern")
         .agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"), F.bit_or("sketch").alias("sketch"))
         .withColumn("contexts", F.bit_count("sketch"))
-        # Fewer than six could be chance. Copies of one text repeat a word in one context.
-        .where("toxic >= 6 and toxic > 25 * clean and contexts >= 0.4 * least(toxic, 40)")
-        .orderBy(F.desc(F.col("toxic") - 10 * F.col("clean")), "pattern")
-        .limit(limit)
+        .drop("sketch"),
+        "patterns",
+    )
+    known = sample.agg(F.avg("label").alias("share")).first()
+    share = min(max(known.share or 0.5, 1e-6), 1 - 1e-6)
+    n = F.col("toxic") + F.col("clean")
+
+    def term(count, part: float):
+        return F.when(count > 0, count * F.log(count / (n * part))).otherwise(0.0)
+
+    likelihood = term(F.col("toxic"), share) + term(F.col("clean"), 1 - share)
+    marks = patterns.where("toxic >= 6 and toxic > 25 * clean and contexts >= 0.4 * least(toxic, 40)").where(
+        likelihood > float(np.log(max(patterns.count(), 1) * CHANCE))
     )
-    found: dict[bytes, tuple[int, float]] = {}
-    rows = [(bytes(r.pattern), r.toxic, r.clean) for r in patterns.collect()]
-    rows = [r for r in rows if r[1] >= 0.03 * rows[0][1]]  # the first is the commonest
-    for pattern, toxic, clean in sorted(rows, key=lambda r: (len(r[0]), r[0])):
-        if not any(pattern.startswith(p) for p in found):
-            found[pattern] = (INSULT, float(np.log((toxic + 1) / (clean + 1))))
-    return found
+    starts = F.expr(f"transform(sequence({SHORTEST}, least({LONGEST}, octet_length(pattern) - 1)), n -> substring(pattern, 1, n))")
+    longer = marks.where(F.octet_length("pattern") > SHORTEST).select("pattern", F.explode(starts).alias("start"))
+    covered = longer.join(marks.select(F.col("pattern").alias("start")), "start", "left_semi").select("pattern").distinct()
+    rows = marks.join(covered, "pattern", "left_anti").select("pattern", "toxic", "clean").collect()
+    return {bytes(r.pattern): (INSULT, float(np.log((r.toxic + 1) / (r.clean + 1)))) for r in sorted(rows, key=lambda r: bytes(r.pattern))}
 
 
 def _feature_rows(model: Model):
@@ -278,10 +293,10 @@ def _feature_rows(model: Model):
     return run
 
 
-def fit(docs: DataFrame, labels: DataFrame, train: Column, limit: int = SAMPLE, patterns: int = PATTERNS) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, train: Column, limit: int = SAMPLE) -> Model:
     """Learn from at most ``limit`` labelled texts that ``train``, a condition on labels, admits."""
     sample = sample_texts(docs, labels, "toxic", train, limit, "toxicity")
-    model = Model(learn_insults(sample, patterns))
+    model = Model(learn_insults(sample))
     rows = sorted((r.label, r.x) for r in sample.mapInArrow(_feature_rows(model), "label int, x array<double>").collect())
     y = np.array([r[0] for r in rows], float)
     if len(set(y.tolist())) == 2:
