@@ -21,10 +21,13 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of least id of each group of near-duplicates; rows without an id stay."""
-    classes = jaccard_join.near_duplicates(docs)
-    dropped = classes.where("class_id <> doc_id").select("doc_id").distinct()
-    return docs.join(dropped, "doc_id", "left_anti").select(docs.columns)
+    """The document of least id of each group of near-duplicates; rows without an id stay.
+
+    Texts under one id are judged each by its own group.
+    """
+    dropped = jaccard_join.grouped(docs).where("class_id <> doc_id").select("doc_id", "text_md5").distinct()
+    digest = F.md5(F.coalesce(docs["text"], F.lit("")).cast("binary"))
+    return docs.join(dropped, (docs["doc_id"] == dropped["doc_id"]) & (digest == dropped["text_md5"]), "left_anti").select(docs.columns)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
