@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from trackloom.llm import decontaminate, fixity, hilbert, jaccard_join, language, learning, suffix_dedup
+from trackloom.llm import chat, decontaminate, fixity, hilbert, jaccard_join, language, learning, suffix_dedup
 
 DRAW = random.Random(11)
 DOCS = "doc_id long, text string"
@@ -239,3 +239,18 @@ def test_what_is_broadcast_is_small():
     items = [(i, bytes(draw.choices(range(97, 123), k=draw.randint(12, 2000))), 0) for i in range(2000)]
     probe = decontaminate.Probe(items, 0.95, 3, 16, 5)
     assert len(pickle.dumps(probe)) < 5e6
+
+
+def test_events_that_come_twice_late_or_together(spark):
+    def event(seq, kind, text=None, at=None, cut=None, message="m", turn=0):
+        return (1, turn, message, seq, kind, "assistant" if kind == "open" else None, at, cut, text)
+
+    log = [event(0, "open"), event(1, "delta", "ab"), event(1, "delta", "ab"), event(2, "delta", "c"), event(2, "delta", "ab"),
+           event(3, "edit", "X", 0, 1), event(3, "edit", "X", 0, 1), event(4, "mystery", "?"),
+           event(0, "open", message="n", turn=1), event(1, "delta", "old", message="n", turn=1),
+           event(2, "regenerate", message="n", turn=1), event(3, "delta", "new", message="n", turn=1),
+           event(None, "delta", "w", message="o", turn=2), event(None, "delta", "w", message="o", turn=2), event(5, "delta", "y", message="o", turn=2)]
+    for seed in range(3):
+        random.Random(seed).shuffle(log)
+        got = chat.reconstruct(spark.createDataFrame(log, chat.EVENTS).repartition(4)).orderBy("turn").collect()
+        assert [chat.read_back(r.formatted) for r in got] == [("assistant", "Xbabc"), ("assistant", "new"), ("", "wwy")]

@@ -20,7 +20,9 @@ the range of the text in messages of the role ``assistant``.
 Null text or role is empty; messages of one turn are in the order of role and text; a
 null turn comes first; rows with a null conv_id are one conversation; repeated rows are
 messages of their own. Events of unknown kinds are ignored, and a message without ``open``
-has an empty role.
+has an empty role. An event that is delivered again, with the same seq and content, is
+applied once; different events of one seq are in the order of kind, place, cut and text; events
+without seq come first, in that order, and are applied each.
 """
 
 from __future__ import annotations
@@ -86,7 +88,7 @@ def _clean(value):
 
 
 def _folded(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    key, events = None, []
+    key, events, last = None, [], None
 
     def message():
         role, text = fold(events)
@@ -96,14 +98,17 @@ def _folded(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
     for frame in frames:
         done = []
-        rows = zip(*(frame[c].astype(object) for c in "conv_id turn message_id kind role at cut text".split()))
+        rows = zip(*(frame[c].astype(object) for c in "conv_id turn message_id seq kind role at cut text".split()))
         for conv, turn, mid, *event in rows:
             now = (_clean(conv), _clean(turn), _clean(mid))
             if now != key:
                 if key is not None:
                     done.append(message())
-                key, events = now, []
-            events.append(tuple(_clean(x) for x in event))
+                key, events, last = now, [], None
+            event = tuple(_clean(x) for x in event)
+            if event[0] is None or event != last:
+                events.append(event[1:])
+            last = event
         if done:
             yield _frame(done)
     if key is not None:
@@ -121,7 +126,7 @@ def reconstruct(events: DataFrame) -> DataFrame:
     return (
         events.select(*cols)
         .repartition("conv_id", "turn", "message_id")
-        .sortWithinPartitions("conv_id", "turn", "message_id", "seq")
+        .sortWithinPartitions("conv_id", "turn", "message_id", "seq", "kind", "at", "cut", "text", "role")
         .mapInPandas(
             _folded,
             "conv_id long, turn long, message_id string, role string, formatted string, loss_begin int, loss_end int",

@@ -50,6 +50,7 @@ LONGEST = 2_000
 GRAM = 12
 _SLOTS = 22
 _SPREAD = 1.3  # longest to shortest item of a class
+_PIECE = 1 << 21  # bytes of texts searched at a time
 _APART = 4  # bytes between windows, for items that may have so many edits
 
 
@@ -143,9 +144,11 @@ class Probe:
 
     @cached_property
     def known(self):
-        known = np.zeros(1 << _SLOTS, bool)
-        for runs in self.grams:
-            known[runs] = True
+        """For each slot of the filter, a bit for every class that has an item with such a run."""
+        known = np.zeros(1 << _SLOTS, np.uint32)
+        for number, (first, last, *_) in enumerate(self.classes):
+            for runs in self.grams[first:last]:
+                known[runs] |= np.uint32(1 << number)
         return known
 
     @cached_property
@@ -181,34 +184,35 @@ class Probe:
         return out
 
     def windows(self, data, starts):
-        """For each class, begins and row ends of the windows with enough known runs."""
+        """For each class, begins and row ends of the windows with enough runs known from its items."""
         runs = grams(data)
-        hit = np.zeros(len(data) + 1, np.int32)
         if not len(runs) or not self.classes:
             return
-        np.cumsum(self.known[runs], out=hit[1 : len(runs) + 1], dtype=np.int32)
-        hit[len(runs) + 1 :] = hit[len(runs)]
-        # One pass for all classes: hardly any place is followed by known runs.
-        reach, need = max(c[4] for c in self.classes), min(c[3] for c in self.classes)
-        ahead = max(reach - GRAM + 1, 1)
-        padded = np.concatenate([hit, np.full(ahead, hit[-1], np.int32)])
-        near = np.flatnonzero(padded[ahead : ahead + len(data)] - hit[:-1] >= need)
-        if not len(near):
-            return
-        ends = starts[np.searchsorted(starts, near, side="right")]
-        for group in self.classes:
+        found = self.known[runs]
+        places = np.flatnonzero(found)
+        found = found[places]
+        for number, group in enumerate(self.classes):
             _, _, _, need, reach, apart, _ = group
-            stop = np.maximum(near, np.minimum(near + reach, ends) - GRAM + 1)
-            keep = hit[stop] - hit[near] >= need
-            begins, until = near[keep], ends[keep]
-            if not len(begins):
+            own = places[(found >> np.uint32(number)) & np.uint32(1) == 1]
+            if len(own) < need:
+                continue
+            # Where ``need`` of the runs follow: the places up to the first of them, not too far from the last.
+            high = own[: len(own) - need + 1]
+            low = np.maximum(own[need - 1 :] - (reach - GRAM), 0)
+            row = np.searchsorted(starts, high, side="right") - 1
+            low = np.maximum(low, starts[row])
+            fits = (low <= high) & (own[need - 1 :] + GRAM <= starts[row + 1])
+            low, high = low[fits], high[fits]
+            if not len(low):
                 continue
-            # Every few places of a run of places, its first and its last.
-            first = np.r_[True, np.diff(begins) != 1]
-            last = np.r_[first[1:], True]
-            since = begins - begins[np.maximum.accumulate(np.where(first, np.arange(len(begins)), 0))]
-            some = (since % apart == 0) | last
-            yield group, begins[some], until[some]
+            # Both ends rise, so that ranges that overlap or touch are united in order.
+            new = np.r_[True, low[1:] > high[:-1] + 1]
+            first, last = low[new], high[np.r_[new[1:], True]]
+            # Every few places of a range, its first and its last.
+            count = (last - first) // apart + 1
+            begins = np.repeat(first, count) + apart * (np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count))
+            begins = np.unique(np.concatenate([begins, last]))
+            yield group, begins, starts[np.searchsorted(starts, begins, side="right")]
 
     def candidates(self, data, starts):
         """(item index, window start) pairs that share a key, each once, and how often."""
@@ -292,7 +296,7 @@ def _search(probe):
             data, starts = arrays.utf8(batch.column("text"))
             ids, digests = np.asarray(batch.column("doc_id")), batch.column("text_md5")
             found = []
-            for a, b in arrays.pieces(starts):
+            for a, b in arrays.pieces(starts, _PIECE):
                 own = starts[a : b + 1] - starts[a]
                 for r, *x in items.leaks(data[starts[a] : starts[b]], own):
                     found.append((int(ids[a + r]), digests[int(a + r)].as_py(), *x))
