@@ -42,11 +42,11 @@ def test_scan_reads_only_what_is_used(spark, folder):
     assert "label" not in near
 
 
-def test_the_catalogue_is_not_shuffled_for_neighbours(spark, folder):
-    """The only exchange is that of the final cut, after the tasks' own selection."""
+def test_only_rows_of_searched_rings_are_shuffled_for_neighbours(spark, folder):
+    """Below the exchange that brings rows and seeds together, rows are joined with the rings that a seed searches."""
     plan = plan_of(contract.queries()["knn_exact"](spark, folder), "simple")
-    assert plan.count("Exchange hashpartitioning") == 1
-    assert plan.index("Exchange hashpartitioning") < plan.index("MapInArrow")
+    meeting = plan.index("Exchange hashpartitioning(block")
+    assert plan.index("MapInArrow") < meeting and "Join [block" in plan[meeting:]
 
 
 def test_range_filter_reaches_the_scan(spark, folder):

@@ -32,6 +32,8 @@ __all__ = ["DIGITS", "fit_lsh", "nearest", "nearest_lsh", "recall", "rows_compar
 
 PIVOTS = 256
 RINGS = 64
+# Rows that are worth a ring: a visit costs about as much as this many comparisons.
+RING_ROWS = 1024
 # Rows that a task holds to compare seeds with.
 BLOCK = 1 << 15
 # Distances to pivots come from matrix products; bounds give way by this much of the lengths.
@@ -48,9 +50,9 @@ class Rings(NamedTuple):
     size: list[int]
 
 
-def _pivots(rows: DataFrame, id_column: str) -> list[list[float]]:
-    """About the square root of the number of rows, spread by a hash of the id; different vectors."""
-    wanted = min(PIVOTS, max(1, round(rows.count() ** 0.5)))
+def _pivots(rows: DataFrame, id_column: str, total: int, ring_rows: int) -> list[list[float]]:
+    """One for every ``ring_rows`` rows, up to PIVOTS, spread by a hash of the id; different vectors."""
+    wanted = min(PIVOTS, max(1, total // ring_rows))
     first = rows.orderBy(values.row_hash([id_column], 17), id_column).limit(wanted).select("vector").collect()
     for row in first:
         if row["vector"] is None or None in row["vector"]:
@@ -147,13 +149,13 @@ def _final(found: DataFrame, asking: DataFrame, rows: DataFrame, k: int, id_colu
     return best.select("seed_id", F.col("value").alias("dist"), *kept, "rk")
 
 
-def _parted(rows: DataFrame, pivots: list[list[float]]) -> tuple[DataFrame, Rings]:
+def _parted(rows: DataFrame, pivots: list[list[float]], places: int) -> tuple[DataFrame, Rings]:
     """The rows, stored with member (a number) and block (their ring), and all rings."""
     schema = StructType([*rows.schema.fields, StructField("cell", LongType()), StructField("far", DoubleType())])
     near = rows.mapInArrow(_assign(pivots), schema).withColumn("member", F.monotonically_increasing_id())
     near = materialize(near, "cells")
-    # Rings of about equal size, at quantiles of the distances; one row per pivot.
-    shares = F.lit([i / RINGS for i in range(1, RINGS)])
+    # ``places`` rings a cell of about equal size, at quantiles of the distances; one row per pivot.
+    shares = F.lit([i / places for i in range(1, places)] or [1.0])
     cuts = near.groupBy("cell").agg(F.array_distinct(F.percentile_approx("far", shares, 1000)).alias("_cuts"))
     cuts = near.sparkSession.createDataFrame(cuts.collect(), cuts.schema)
     ring = F.size(F.filter("_cuts", lambda cut: cut < F.col("far")))
@@ -171,6 +173,7 @@ def nearest(
     vector_column: str = "features",
     keep: tuple[str, ...] = (),
     block: int = BLOCK,
+    ring_rows: int = RING_ROWS,
 ) -> DataFrame:
     """The ``k`` catalogue rows with the smallest Euclidean distance to each seed, exactly.
 
@@ -178,27 +181,34 @@ def nearest(
     in the catalogue is its own nearest row. ``seeds`` has ``id_column`` and
     ``vector_column``; repeated seeds count once. NULL, NaN or infinity in a vector is an error.
     """
-    return _searched(catalog, seeds, k, id_column, vector_column, keep, block)[0]
+    return _searched(catalog, seeds, k, id_column, vector_column, keep, block, ring_rows)[0]
 
 
 def rows_compared(
-    catalog: DataFrame, seeds: DataFrame, k: int = 50, id_column: str = "track_id", vector_column: str = "features"
+    catalog: DataFrame,
+    seeds: DataFrame,
+    k: int = 50,
+    id_column: str = "track_id",
+    vector_column: str = "features",
+    ring_rows: int = RING_ROWS,
 ) -> DataFrame:
     """seed_id and n_compared, the number of catalogue rows that the exact search compares with the seed."""
-    _, visits, rows, asking = _searched(catalog, seeds, k, id_column, vector_column, (), BLOCK)
+    _, visits, rows, asking = _searched(catalog, seeds, k, id_column, vector_column, (), BLOCK, ring_rows)
     sizes = rows.groupBy("block").agg(F.count("*").alias("n"))
     compared = visits.join(sizes, "block").groupBy("key").agg(F.sum("n").alias("n_compared"))
     return compared.join(asking, "key").select("seed_id", "n_compared")
 
 
-def _searched(catalog, seeds, k, id_column, vector_column, keep, block):
+def _searched(catalog, seeds, k, id_column, vector_column, keep, block, ring_rows):
     kept = list(dict.fromkeys([id_column, *keep]))
     vector = F.transform(vector_column, lambda x: x.cast("double")).alias("vector")
     rows, asking = catalog.select(*kept, vector), _asking(seeds, id_column, vector_column)
-    pivots = _pivots(rows, id_column)
+    total = rows.count()
+    pivots = _pivots(rows, id_column, total, ring_rows)
     if not pivots:
         asking = asking.limit(0)
-    placed, rings = _parted(rows, pivots) if pivots else (rows.selectExpr("*", "0L AS member", "0L AS block"), Rings([[0.0]], [0], [0.0], [0.0], [0]))
+    places = min(RINGS, max(1, total // (ring_rows * max(len(pivots), 1))))
+    placed, rings = _parted(rows, pivots, places) if pivots else (rows.selectExpr("*", "0L AS member", "0L AS block"), Rings([[0.0]], [0], [0.0], [0.0], [0]))
     members = placed.select("block", "member", F.col(id_column).alias("order"), "vector")
 
     def search(seeds: DataFrame, visits: DataFrame) -> DataFrame:
@@ -206,6 +216,8 @@ def _searched(catalog, seeds, k, id_column, vector_column, keep, block):
 
     plain = asking.select("key", "vector")
     first = materialize(plain.mapInArrow(_visits(rings, k, False), "key long, block long"), "visits")
+    if len(rings.ring) == 1:  # every seed has searched all there is
+        return _final(search(plain, first), asking, placed, k, id_column, kept), first, placed, asking
     found = materialize(search(plain, first), "found")
     # The distance of the k-th row so far; none for seeds that have found fewer.
     kth = top_per_group(found, ["key"], [F.col("value").asc()], k).groupBy("key")

@@ -277,7 +277,7 @@ products AS MATERIALIZED (
 BLOCKS_READ = """sized_u AS (SELECT id, sqrt(list_dot_product(v, v)) AS norm FROM tail_u),
 sized_i AS (
     SELECT id, sqrt(list_dot_product(v, v)) AS norm,
-        (row_number() OVER (ORDER BY sqrt(list_dot_product(v, v)) DESC, id) - 1) // 40 AS block FROM tail_i),
+        (row_number() OVER (ORDER BY sqrt(list_dot_product(v, v)) DESC, id) - 1) // 200 AS block FROM tail_i),
 tops AS (SELECT block, max(norm) AS top, CAST(2 ** floor(log2(block + 1)) - 1 AS BIGINT) AS low FROM sized_i GROUP BY block),
 starts AS (SELECT DISTINCT low FROM tops),
 floors AS (

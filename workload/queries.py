@@ -582,7 +582,7 @@ def score_table(spark: SparkSession, folder: str) -> DataFrame:
 
 
 # Items that are compared at a time: few enough that the small tables have many blocks.
-ITEMS_AT_A_TIME = 40
+ITEMS_AT_A_TIME = 200
 
 
 def long_tail_search(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
