@@ -32,7 +32,7 @@ from trackloom.llm.learning import SAMPLE, logistic, sample_texts, sigmoid
 from trackloom.session import materialize
 
 OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT, DENIED, QUOTED, AIMED = range(9)
-CHANCE = 20  # samples without any pattern by chance
+CHANCE = 1  # patterns that chance would give among all
 SHORTEST = 4
 LONGEST = 12
 # Words of the grammar's closed classes.
@@ -242,7 +242,7 @@ def learn_insults(sample: DataFrame) -> dict[bytes, tuple[int, float]]:
 
     A pattern must be in six toxic texts, in many contexts (copies of one text repeat a word in
     one), 25 times as often as in clean ones, and so often that chance, at the sample's
-    share of toxic texts, would give none such among all patterns in ``CHANCE`` samples (a
+    share of toxic texts, would give less than ``CHANCE`` such among all patterns (a
     log-likelihood test). Of patterns that begin alike the shortest stands for all. The patterns
     are words of a bounded sample, and so are few.
     """
@@ -271,7 +271,7 @@ def learn_insults(sample: DataFrame) -> dict[bytes, tuple[int, float]]:
 
     likelihood = term(F.col("toxic"), share) + term(F.col("clean"), 1 - share)
     marks = patterns.where("toxic >= 6 and toxic > 25 * clean and contexts >= 0.4 * least(toxic, 40)").where(
-        likelihood > float(np.log(max(patterns.count(), 1) * CHANCE))
+        likelihood > float(np.log(max(patterns.count(), 1) / CHANCE))
     )
     starts = F.expr(f"transform(sequence({SHORTEST}, least({LONGEST}, octet_length(pattern) - 1)), n -> substring(pattern, 1, n))")
     longer = marks.where(F.octet_length("pattern") > SHORTEST).select("pattern", F.explode(starts).alias("start"))
