@@ -85,7 +85,7 @@ HOSTILE = [None, "", " ", "  ", "\n", "▁", "a▁b", "<s> </s> <unk> <|endoftex
            "a" * 5000, "​﻿", "x" * 40 + " " * 40 + "y"]
 
 
-@pytest.mark.parametrize("block,batch", [(alignment.BLOCK, alignment.BATCH), (50, 100), (1, 1)])
+@pytest.mark.parametrize("block,batch", [(alignment.BLOCK, alignment.BATCH), (50, 100)])
 def test_against_a_direct_reading(spark, tokenizers, block, batch):
     texts = HOSTILE + random_texts(60)
     ids = [None, *range(len(texts) - 1)]
