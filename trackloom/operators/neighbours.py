@@ -9,7 +9,9 @@ difference of the seed's distances to the two pivots away. Only rings that pass
 are searched, and only the rows of rings that some seed searches are shuffled.
 
 Catalogue and seeds are relations that meet in :func:`trackloom.operators.blocked.best_in_blocks`.
-What the driver and every task hold is up to ``PIVOTS`` vectors and ``PIVOTS * RINGS`` rings.
+What the driver and every task hold is up to ``PIVOTS`` vectors and ``PIVOTS * RINGS`` rings. Relations
+with a row per catalogue row, seed or visit are joined by shuffles: their numbers pack into files so small
+that Spark would broadcast them, through the driver, at millions of rows.
 """
 
 from __future__ import annotations
@@ -143,7 +145,8 @@ def _final(found: DataFrame, asking: DataFrame, rows: DataFrame, k: int, id_colu
     """seed_id, dist, rk and the kept columns of the ``k`` best rows found."""
     # Rows at the limit stay until their ids decide: no more than k of a block.
     near = found.withColumn("_rank", F.rank().over(Window.partitionBy("key").orderBy("value"))).where(F.col("_rank") <= k)
-    listed = near.join(rows.select("member", *kept), "member").join(asking.select("key", "seed_id"), "key")
+    listed = near.join(rows.select("member", *kept).hint("merge"), "member")
+    listed = listed.join(asking.select("key", "seed_id").hint("merge"), "key")
     order = [F.col("value").asc(), F.col(id_column).asc(), F.col("member").asc()]
     best = top_per_group(listed, ["key"], order, k, rank="rk")
     return best.select("seed_id", F.col("value").alias("dist"), *kept, "rk")
@@ -212,7 +215,7 @@ def _searched(catalog, seeds, k, id_column, vector_column, keep, block, ring_row
     members = placed.select("block", "member", F.col(id_column).alias("order"), "vector")
 
     def search(seeds: DataFrame, visits: DataFrame) -> DataFrame:
-        return best_in_blocks(members, visits.join(seeds, "key"), k, distances=True, size=block)
+        return best_in_blocks(members, visits.join(seeds.hint("merge"), "key"), k, distances=True, size=block)
 
     plain = asking.select("key", "vector")
     first = materialize(plain.mapInArrow(_visits(rings, k, False), "key long, block long"), "visits")
@@ -222,9 +225,9 @@ def _searched(catalog, seeds, k, id_column, vector_column, keep, block, ring_row
     # The distance of the k-th row so far; none for seeds that have found fewer.
     kth = top_per_group(found, ["key"], [F.col("value").asc()], k).groupBy("key")
     floors = kth.agg(F.when(F.count("*") >= k, F.max("value")).alias("floor"))
-    known = materialize(plain.join(floors, "key", "left"), "floors")
+    known = materialize(plain.join(floors.hint("merge"), "key", "left"), "floors")
     passing = known.mapInArrow(_visits(rings, k, True), "key long, block long")
-    further = materialize(passing.join(first, ["key", "block"], "left_anti"), "visits")
+    further = materialize(passing.join(first.hint("merge"), ["key", "block"], "left_anti"), "visits")
     found = found.unionByName(search(known, further))
     return _final(found, asking, placed, k, id_column, kept), first.unionByName(further), placed, asking
 
