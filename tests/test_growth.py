@@ -32,3 +32,21 @@ def test_rows_seeds_and_visits_are_not_broadcast(spark):
     df = spark.createDataFrame(rows, "track_id long, features array<double>")
     found = plan(neighbours.nearest(df, df, 3, ring_rows=20))
     assert found.count("SortMergeJoin") >= 3  # visits with seeds, found rows with the catalogue's and with seeds
+
+
+def test_a_fit_leaves_few_shuffle_files(spark):
+    import time
+
+    rows = spark.range(3000).select(
+        (F.col("id") % 100).cast("int").alias("user_id"), (F.col("id") * 7 % 90).cast("int").alias("song_id"), F.lit(1.0).alias("interaction")
+    )
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    spark.sparkContext._jvm.System.gc()
+    time.sleep(2)
+    before = files.getAllFiles().size()
+    model = factors.fit_als(rows, 12, rank=3)
+    deadline = time.time() + 10
+    while files.getAllFiles().size() - before > 200 and time.time() < deadline:
+        time.sleep(0.5)
+    assert files.getAllFiles().size() - before <= 200  # some 500 of 24 half-steps are left else
+    assert model.userFactors.count() == 100
