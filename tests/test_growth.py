@@ -50,3 +50,32 @@ def test_a_fit_leaves_few_shuffle_files(spark):
         time.sleep(0.5)
     assert files.getAllFiles().size() - before <= 200  # some 500 of 24 half-steps are left else
     assert model.userFactors.count() == 100
+
+
+@pytest.mark.parametrize("strip", [8, 24, 100])
+def test_blocks_are_read_in_strips(spark, monkeypatch, strip):
+    """The lists and the blocks each user needs, round by round, whatever a task holds."""
+    monkeypatch.setattr(factors, "STRIP", strip)
+    draw, block, k = np.random.default_rng(5), 4, 3
+    users, items = draw.normal(size=(30, 5)), draw.normal(size=(203, 5)) * np.exp(-np.arange(203) / 60)[:, None]
+    heard = {(u, int(i)) for u in range(30) for i in draw.integers(0, 203, 20)} | {(3, i) for i in range(202)}
+    table = lambda x: spark.createDataFrame([(i, [float(c) for c in v]) for i, v in enumerate(x)], "id long, features array<double>")
+    left_out = spark.createDataFrame([*heard, *heard], "user_id long, song_id long")
+    found, read = factors.search_products(table(users), table(items), k, left_out, block)
+    lists = {}
+    for r in found.collect():
+        lists.setdefault(r.user_id, []).append((-r.confidence_score, r.song_id))
+    norms = np.sqrt((items * items).sum(axis=1))
+    place = sorted(range(203), key=lambda i: (-norms[i], i))
+    counts = {}
+    for u, x in enumerate(users):
+        score, n, low, best = np.round((items * x).sum(axis=1), 9), 0, 0, []
+        while low * block < 203:
+            high = 2 * low + 1
+            floor = -best[k - 1][0] if len(best) >= k else -np.inf
+            n += sum(np.sqrt((x * x).sum()) * norms[place[b * block]] >= floor for b in range(low, high) if b * block < 203)
+            best = sorted((-score[i], i) for i in place[: high * block] if (u, i) not in heard)[:k]
+            low = high
+        counts[u] = n
+        assert sorted(lists[u]) == best
+    assert {r.user_id: r.n_blocks for r in read.collect()} == counts
