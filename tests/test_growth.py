@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from trackloom.operators import factors, neighbours, sampling
+from trackloom.sources import packed
 
 
 def plan(df):
@@ -79,3 +80,33 @@ def test_blocks_are_read_in_strips(spark, monkeypatch, strip):
         counts[u] = n
         assert sorted(lists[u]) == best
     assert {r.user_id: r.n_blocks for r in read.collect()} == counts
+
+
+def test_files_are_written_by_many_tasks_and_read_by_few(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(packed, "OPENERS", 5)
+    rows = spark.range(3000, numPartitions=1).select(
+        F.format_string("%d/%d.txt", F.col("id") % 3, "id").alias("name"), F.encode(F.col("id").cast("string"), "UTF-8").alias("content")
+    )
+    packed.write_records(rows, str(tmp_path / "new"))
+    read = packed.read_texts(spark, str(tmp_path / "new"), partition_bytes=4 << 20)
+    assert {r.content for r in read.collect()} == {str(i) for i in range(3000)} and read.rdd.getNumPartitions() <= 6
+    assert [p.name for p in tmp_path.iterdir()] == ["new"]
+    # A folder that is there keeps its files.
+    packed.write_records(rows.limit(5).withColumn("name", F.concat(F.lit("more/"), F.col("content").cast("string"))), str(tmp_path / "new"))
+    assert packed.read_texts(spark, str(tmp_path / "new")).count() == 3005
+    with pytest.raises(Exception, match="two records are named"):
+        packed.write_records(rows.withColumn("name", F.lit("a")), str(tmp_path / "twice"))
+    assert [p.name for p in tmp_path.iterdir()] == ["new"]
+
+
+def test_files_of_failed_attempts_are_left_out(tmp_path):
+    writer = packed._FileWriter(str(tmp_path / "t"), str(tmp_path / "s"))
+
+    def cut():
+        yield "lost.txt", b"x"
+        raise OSError("cut")
+
+    with pytest.raises(OSError):
+        writer.write(cut())
+    writer.commit([writer.write(iter([("a/kept.txt", b"y")])), None])
+    assert [str(p.relative_to(tmp_path)) for p in tmp_path.rglob("*") if p.is_file()] == ["t/a/kept.txt"]

@@ -4,15 +4,17 @@ The files below a folder are packed by size into lists of paths; a task gets one
 opens and decodes its files one after the other. Contents never leave the task that reads them:
 what Spark moves is paths before and flat rows after. A file that cannot be read or
 decoded is a row with ``error`` set. The sink writes one file per row, first to a folder beside the
-target, whose files move into it when all tasks have succeeded.
+target, which takes its place or whose files move into it when all tasks have succeeded.
 
 Both use the file systems that Arrow knows (local, ``hdfs://``, ``s3://``, ``gs://``).
 """
 
 from __future__ import annotations
 
+import json
 import posixpath
 import struct
+import time
 import uuid
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
@@ -25,6 +27,10 @@ from pyspark.sql.types import StringType, StructField, StructType
 # Bytes of files that a task reads, and what opening one counts as.
 PARTITION_BYTES = 64 << 20
 OPEN_BYTES = 1 << 20
+# Tasks that opening files alone makes at most: of millions of small ones a task takes thousands.
+OPENERS = 512
+# Tasks a core that files are written by.
+WRITERS = 4
 ROWS = 1024
 
 
@@ -71,7 +77,8 @@ def _reader(decode: Callable[[bytes], dict], columns: list[str], pattern: str, l
             files, place = _file_system(self.folder)
             found = files.get_file_info(fs.FileSelector(place, recursive=True))
             wanted = [(f.path, f.size) for f in found if f.is_file and fnmatch(f.base_name, pattern) and not f.base_name.startswith((".", "_"))]
-            return [Files(paths) for paths in packed(wanted, limit)]
+            opening = min(OPEN_BYTES, OPENERS * limit // max(1, len(wanted)))
+            return [Files(paths) for paths in packed(wanted, limit, opening)]
 
         def read(self, partition: Files) -> Iterator:
             import pyarrow as pa
@@ -133,41 +140,78 @@ def read_texts(spark: SparkSession, folder: str, pattern: str = "*", partition_b
 
 @dataclass
 class Written(WriterCommitMessage):
-    names: tuple[str, ...]
+    attempt: str
 
 
 class _FileWriter(DataSourceWriter):
+    """Below the staging folder are ``files`` and, of each attempt at a task, a folder with its list of names."""
+
     def __init__(self, folder: str, staging: str):
         self.folder, self.staging = folder, staging
 
     def write(self, iterator: Iterator) -> Written:
         files, place = _file_system(self.staging)
-        names = []
+        attempt = uuid.uuid4().hex
+        own = posixpath.join(place, "attempts", attempt)
+        # Tasks may run twice: a file appears whole, under its own name.
+        part, names, folders = posixpath.join(own, "part"), {}, set()
         for name, content in iterator:
-            target = posixpath.join(place, name)
-            files.create_dir(posixpath.dirname(target), recursive=True)
-            # Tasks may run twice: a file appears whole, under its own name.
-            part = f"{target}.{uuid.uuid4().hex}"
+            target = posixpath.join(place, "files", name)
+            if name in names:
+                raise ValueError(f"two records are named {name}")
+            if not names:
+                files.create_dir(own, recursive=True)
+            if posixpath.dirname(target) not in folders:
+                files.create_dir(posixpath.dirname(target), recursive=True)
+                folders.add(posixpath.dirname(target))
             with files.open_output_stream(part) as stream:
                 stream.write(bytes(content))
             files.move(part, target)
-            names.append(name)
-        return Written(tuple(names))
+            names[name] = None
+        if names:
+            with files.open_output_stream(posixpath.join(own, "names")) as stream:
+                stream.write(json.dumps(list(names)).encode())
+        return Written(attempt if names else "")
 
     def commit(self, messages: list) -> None:
+        from pyarrow import fs
+
         files, staged = _file_system(self.staging)
         _, place = _file_system(self.folder)
-        for message in filter(None, messages):
-            for name in message.names:
-                target = posixpath.join(place, name)
-                files.create_dir(posixpath.dirname(target), recursive=True)
-                files.move(posixpath.join(staged, name), target)
-        files.delete_dir(staged) if messages and files.get_file_info(staged).type.name == "Directory" else None
+        done = [m.attempt for m in messages if m and m.attempt]
+        if not done:
+            return
+        made, attempts = posixpath.join(staged, "files"), posixpath.join(staged, "attempts")
+        # Where no attempt failed all files are wanted, and a new folder takes its place at once.
+        alone = len(files.get_file_info(fs.FileSelector(attempts))) == len(done)
+        new = files.get_file_info(place).type == fs.FileType.NotFound
+        if alone and new and files.type_name in ("local", "hdfs"):
+            if files.get_file_info(made).type == fs.FileType.Directory:
+                files.move(made, place)
+        else:
+            folders = set()
+            for attempt in done:
+                with files.open_input_stream(posixpath.join(attempts, attempt, "names")) as stream:
+                    names = json.loads(stream.read())
+                for name in names:
+                    target = posixpath.join(place, name)
+                    if posixpath.dirname(target) not in folders:
+                        files.create_dir(posixpath.dirname(target), recursive=True)
+                        folders.add(posixpath.dirname(target))
+                    files.move(posixpath.join(made, name), target)
+        files.delete_dir(staged)
 
     def abort(self, messages: list) -> None:
         files, staged = _file_system(self.staging)
-        if files.get_file_info(staged).type.name == "Directory":
-            files.delete_dir(staged)
+        for _ in range(5):  # tasks that are being stopped may write meanwhile
+            try:
+                if files.get_file_info(staged).type.name == "Directory":
+                    files.delete_dir(staged)
+            except OSError:
+                pass
+            time.sleep(0.5)
+            if files.get_file_info(staged).type.name != "Directory":
+                return
 
 
 class RecordFiles(DataSource):
@@ -183,9 +227,15 @@ class RecordFiles(DataSource):
 
 
 def write_records(records: DataFrame, folder: str) -> None:
-    """One file per row of ``records`` (name string, content binary) below ``folder``."""
-    records.sparkSession.dataSource.register(RecordFiles)
-    records.select("name", "content").write.format("record_files").mode("append").save(folder)
+    """One file per row of ``records`` (name string, content binary) below ``folder``.
+
+    Names are told apart within a task, so rows of one name, which are an error, go to one task; and
+    opening a file takes its time whatever its size, so that rows are spread by number, not by bytes.
+    """
+    spark = records.sparkSession
+    spark.dataSource.register(RecordFiles)
+    spread = records.select("name", "content").repartition(WRITERS * spark.sparkContext.defaultParallelism, "name")
+    spread.write.format("record_files").mode("append").save(folder)
 
 
 # The layout of a binary track record. After the mark come three texts, each
