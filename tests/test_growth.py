@@ -110,3 +110,24 @@ def test_files_of_failed_attempts_are_left_out(tmp_path):
         writer.write(cut())
     writer.commit([writer.write(iter([("a/kept.txt", b"y")])), None])
     assert [str(p.relative_to(tmp_path)) for p in tmp_path.rglob("*") if p.is_file()] == ["t/a/kept.txt"]
+
+
+def test_rows_of_one_user_share_a_list(spark):
+    draw, block, k = np.random.default_rng(8), 4, 4
+    items = draw.normal(size=(90, 5)) * np.exp(-np.arange(90) / 20)[:, None]
+    users = draw.normal(size=(12, 5))
+    table = lambda rows: spark.createDataFrame([(i, [float(c) for c in v]) for i, v in rows], "id long, features array<double>")
+    twice = [*enumerate(users), *list(enumerate(users))[:5]]
+    found, read = factors.search_products(table(twice), table(enumerate(items)), k, None, block)
+    norms = np.sqrt((items * items).sum(axis=1))
+    place, counts = sorted(range(90), key=lambda i: (-norms[i], i)), {}
+    for u, x in enumerate(users):
+        copies, low, best, n = 1 + (u < 5), 0, [], 0
+        score = np.round((items * x).sum(axis=1), 9)
+        while low * block < 90:
+            floor = -best[k - 1][0] if len(best) >= k else -np.inf
+            n += sum(np.sqrt((x * x).sum()) * norms[place[b * block]] >= floor for b in range(low, 2 * low + 1) if b * block < 90)
+            low = 2 * low + 1
+            best = sorted([(-score[i], i) for i in place[: low * block]] * copies)[:k]
+        counts[u] = n * copies
+    assert {r.user_id: r.n_blocks for r in read.collect()} == counts
