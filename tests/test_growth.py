@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from trackloom.operators import factors, neighbours, sampling
+from trackloom.operators import evaluate, factors, neighbours, sampling
 from trackloom.sources import packed
 
 
@@ -27,6 +27,19 @@ def test_items_to_draw_from_are_not_broadcast(spark):
     assert drawn.count("SortMergeJoin") == 2
 
 
+def rated(spark):
+    """The metrics of two factorisations, of two and three dimensions."""
+    ids = spark.range(50).select(F.col("id"), F.array(F.lit(1.0), F.lit(2.0)).alias("features"))
+    wider = ids.withColumn("features", F.concat("features", F.array(F.col("id") / 2)))
+    asked = spark.range(50).selectExpr("id AS user_id", "id AS song_id", "0 AS draw", "id AS candidate")
+    return [evaluate.evaluate_factors(table, table, asked) for table in (ids, wider)]
+
+
+def test_the_best_of_stacked_metrics_broadcasts_nothing(spark):
+    ran = plan(evaluate.select_best(evaluate.stack_results([({"rank": i + 2}, m) for i, m in enumerate(rated(spark))])))
+    assert "Broadcast" not in ran and ran.count("SortMergeJoin") == 4
+
+
 def test_rows_seeds_and_visits_are_not_broadcast(spark):
     points = np.random.default_rng(1).normal(size=(200, 4))
     rows = [(i, [float(x) for x in p]) for i, p in enumerate(points)]
