@@ -35,6 +35,11 @@ def rated(spark):
     return [evaluate.evaluate_factors(table, table, asked) for table in (ids, wider)]
 
 
+def test_metrics_of_candidates_broadcast_nothing(spark):
+    ran = plan(rated(spark)[0])
+    assert "Broadcast" not in ran and ran.count("SortMergeJoin") == 2
+
+
 def test_the_best_of_stacked_metrics_broadcasts_nothing(spark):
     ran = plan(evaluate.select_best(evaluate.stack_results([({"rank": i + 2}, m) for i, m in enumerate(rated(spark))])))
     assert "Broadcast" not in ran and ran.count("SortMergeJoin") == 4
