@@ -17,13 +17,18 @@ def held_out(key: str, parts: int, held: int):
     return F.coalesce(F.crc32(F.col(key).cast("string").cast("binary")) % parts == held, F.lit(True))
 
 
-def components(edges: DataFrame, a: str, b: str) -> DataFrame:
+def components(edges: DataFrame, a: str, b: str, hint: str | None = None) -> DataFrame:
     """Connected components: ``node`` and ``root``, its component's smallest node.
 
     Labels fall to the smallest among the neighbours and then to the label's own
     label, so that long chains halve each round. Every round is a table in the
-    shared folder; only the number of changed labels reaches the driver.
+    shared folder; only the number of changed labels reaches the driver. ``hint`` is that of
+    the joins, else Catalyst decides by size what to broadcast.
     """
+
+    def hinted(df: DataFrame) -> DataFrame:
+        return df.hint(hint) if hint else df
+
     ends = edges.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u <> v")
     both = materialize(ends.union(ends.select("v", "u")).distinct(), "edges")
     labels = materialize(
@@ -32,23 +37,23 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     )
     while True:
         offered = (
-            both.join(labels, both.v == labels.node)
+            both.join(hinted(labels), both.v == labels.node)
             .groupBy("u")
             .agg(F.min("root").alias("offer"))
         )
         # The label's own node learns of a smaller label too: chains hook onto each other.
         hooks = (
-            labels.join(offered, labels.node == offered.u)
+            labels.join(hinted(offered), labels.node == offered.u)
             .select(F.col("root").alias("u"), "offer")
             .groupBy("u")
             .agg(F.min("offer").alias("offer"))
         )
         best = offered.union(hooks).groupBy("u").agg(F.min("offer").alias("offer"))
-        lower = labels.join(best, labels.node == best.u, "left").select(
+        lower = labels.join(hinted(best), labels.node == best.u, "left").select(
             "node", "root", F.least("root", "offer").alias("next")
         )
         jump = lower.select(F.col("node").alias("hop"), F.col("next").alias("far"))
-        stepped = lower.join(jump, lower.next == jump.hop).select("node", "root", F.least("next", "far").alias("next"))
+        stepped = lower.join(hinted(jump), lower.next == jump.hop).select("node", "root", F.least("next", "far").alias("next"))
         stepped = materialize(stepped, "labels")
         changed = stepped.where("next <> root").limit(1).count()
         labels = stepped.select("node", F.col("next").alias("root"))
