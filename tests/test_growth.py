@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from trackloom.operators import evaluate, factors, neighbours, sampling
+from trackloom.operators import blocked, evaluate, factors, neighbours, sampling
 from trackloom.sources import packed
 
 
@@ -53,6 +53,31 @@ def test_rows_seeds_and_visits_are_not_broadcast(spark):
     assert found.count("SortMergeJoin") >= 3  # visits with seeds, found rows with the catalogue's and with seeds
 
 
+@pytest.mark.parametrize("kind", ["float", "double"])
+@pytest.mark.parametrize("block", [5, 1 << 15])
+def test_seeds_are_sent_to_strips_of_rings(spark, block, kind):
+    """Without structure a seed searches all rings; it is sent once for all of a strip, and finds the same rows."""
+    points = np.random.default_rng(2).integers(-3, 4, (400, 5)).astype("float32")  # many equal distances
+    rows = [(i, [float(x) for x in p]) for i, p in enumerate(points)]
+    df = spark.createDataFrame(rows, f"track_id long, features array<{kind}>")
+    found, first, further, placed, _ = neighbours._searched(df, df, 6, "track_id", "features", (), block, 4)
+    rings, strips = placed.select("block").distinct().count(), further.select("block").distinct().count()
+    assert rings >= 90 and strips <= (2 if block > 5 else 20)
+    visits = further.groupBy("key").agg(F.count("*").alias("n"), F.countDistinct("block").alias("strips"))
+    assert visits.where("n <> strips").count() == 0 and visits.agg(F.sum("n")).first()[0] < 400 * 20 + 1
+    assert placed.schema["vector"].dataType.simpleString() == f"array<{kind}>"
+    exact = np.round(np.sqrt(((points[:, None].astype("float64") - points) ** 2).sum(axis=2)), 9)
+    got = {(r.seed_id, r.rk): (r.dist, r.track_id) for r in found.collect()}
+    assert got == {(i, n + 1): (exact[i, j], j) for i in range(400) for n, j in enumerate(np.lexsort((np.arange(400), exact[i]))[:6])}
+
+
+def test_lists_that_are_lacking_are_sent_empty(spark):
+    """Of NULL lists Spark goes over a whole Arrow batch for each row."""
+    rows = spark.range(9).selectExpr("0L AS block", "id AS member", "id AS order", "array(1.0D) AS vector")
+    asked = spark.range(9).selectExpr("0L AS block", "id AS key", "array(1.0D) AS vector", "if(id > 4, array(id), null) AS skip")
+    assert blocked._grouped(rows, asked, None, 4).where("skip IS NULL OR vector IS NULL").count() == 0
+
+
 def test_a_fit_leaves_few_shuffle_files(spark):
     import time
 

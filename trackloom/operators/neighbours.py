@@ -6,7 +6,9 @@ lie nearest to it and hold ``k`` rows, which gives the distance of its ``k``-th
 triangle inequality, a row that is nearer lies in a ring whose distances to the pivot differ
 from the seed's by no more than that; and a row of another cell is at least half the
 difference of the seed's distances to the two pivots away. Only rings that pass both bounds
-are searched, and only the rows of rings that some seed searches are shuffled.
+are searched. A seed is sent to strips of rings, which a task holds, and searches its rings there: on
+vectors without structure it passes to all rings, and a copy of its vector for each
+would be the square of the table.
 
 Catalogue and seeds are relations that meet in :func:`trackloom.operators.blocked.best_in_blocks`.
 What the driver and every task hold is up to ``PIVOTS`` vectors and ``PIVOTS * RINGS`` rings. Relations
@@ -26,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from trackloom.functions import values
-from trackloom.operators.blocked import DIGITS, best_in_blocks, matrix
+from trackloom.operators.blocked import DIGITS, RINGS_A_WORD, best_in_blocks, best_in_strips, matrix
 from trackloom.operators.dedupe import top_per_group
 from trackloom.session import materialize
 
@@ -38,6 +40,10 @@ RINGS = 64
 RING_ROWS = 1024
 # Rows that a task holds to compare seeds with.
 BLOCK = 1 << 15
+# Blocks of rows, and words of rings, that a strip of rings has at most.
+STRIP_BLOCKS, STRIP_WORDS = 8, 4
+# Seeds of a strip that a task compares, at least and at most; between them, an eighth of all.
+FEW_SEEDS, MANY_SEEDS = 1 << 12, 1 << 18
 # Distances to pivots come from matrix products; bounds give way by this much of the lengths.
 SLACK = 1e-6
 
@@ -90,11 +96,25 @@ def _assign(pivots: list[list[float]]):
     return run
 
 
-def _visits(rings: Rings, k: int, further: bool):
-    """Seeds to the rings they search: key, block.
+def _strips(rings: Rings, rows: int) -> tuple[list[int], list[int]]:
+    """Of each ring its strip and its number there: neighbouring rings of up to ``rows`` rows together."""
+    strips, places, held = [], [], 0
+    for size in rings.size:
+        if strips and held + size <= rows and places[-1] + 1 < RINGS_A_WORD * STRIP_WORDS:
+            strips.append(strips[-1])
+            places.append(places[-1] + 1)
+            held += size
+        else:
+            strips.append(strips[-1] + 1 if strips else 0)
+            places.append(0)
+            held = size
+    return strips, places
 
-    First those nearest by the distance to the pivot, of the nearest cells, that hold ``k``
-    rows together; then (``further``) all that may hold a row within the seed's ``floor``.
+
+def _first_visits(rings: Rings, k: int):
+    """Seeds to the rings they search first: key, block.
+
+    Those nearest by the distance to the pivot, of the nearest cells, that hold ``k`` rows together.
     """
 
     def run(batches: Iterator) -> Iterator:
@@ -106,21 +126,12 @@ def _visits(rings: Rings, k: int, further: bool):
         near, far = np.asarray(rings.near), np.asarray(rings.far)
         cell = ring // RINGS
         held = np.bincount(cell, size, minlength=len(points))
-        longest = np.sqrt((points * points).sum(axis=1).max())
         for batch in batches:
             keys, x = np.asarray(batch.column("key")), matrix(batch.column("vector"))
             out = []
-            slack = SLACK * (1 + longest + np.sqrt((x * x).sum(axis=1)))
-            if further:
-                floor = batch.column("floor").to_numpy(zero_copy_only=False).astype("float64")
-                limits = np.where(np.isnan(floor), np.inf, floor) + slack
             for start in range(0, len(x), 1024):
-                for i, dist in enumerate(_to_pivots(x[start : start + 1024], points), start):
+                for dist in _to_pivots(x[start : start + 1024], points):
                     own = dist[cell]
-                    if further:
-                        passes = (near <= own + limits[i]) & (far >= own - limits[i]) & ((own - dist.min()) / 2 <= limits[i])
-                        out.append(np.flatnonzero(passes))
-                        continue
                     order = np.argsort(dist, kind="stable")
                     last = np.searchsorted(np.cumsum(held[order]), k)
                     inside = np.flatnonzero(np.isin(cell, order[: last + 1]))
@@ -134,9 +145,61 @@ def _visits(rings: Rings, k: int, further: bool):
     return run
 
 
-def _asking(seeds: DataFrame, id_column: str, vector_column: str) -> DataFrame:
+def _further_visits(rings: Rings, strips: list[int], places: list[int]):
+    """Seeds to the strips with rings that may hold a row within the seed's ``floor`` and that it has not ``seen``.
+
+    key, block (the strip), rings (see :func:`best_in_strips`) and n_rows, the rows of those rings.
+    """
+
+    def run(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+
+        points = np.asarray(rings.pivots, dtype="float64")
+        ring, size = np.asarray(rings.ring), np.asarray(rings.size)
+        near, far = np.asarray(rings.near), np.asarray(rings.far)
+        cell, place = ring // RINGS, np.asarray(places)
+        longest = np.sqrt((points * points).sum(axis=1).max())
+        # A word per strip and RINGS_A_WORD rings; rings are in the order of strips.
+        word = np.asarray(strips) * STRIP_WORDS + place // RINGS_A_WORD
+        bit = np.left_shift(np.int64(1), place % RINGS_A_WORD)
+        firsts = np.flatnonzero(np.r_[True, np.diff(strips) > 0])
+        starts = np.flatnonzero(np.r_[True, np.diff(word) > 0])
+        for batch in batches:
+            keys, x = np.asarray(batch.column("key")), matrix(batch.column("vector"))
+            floor = batch.column("floor").to_numpy(zero_copy_only=False).astype("float64")
+            limits = np.where(np.isnan(floor), np.inf, floor) + SLACK * (1 + longest + np.sqrt((x * x).sum(axis=1)))
+            seen = batch.column("seen")
+            of, seen = np.repeat(np.arange(len(x)), np.diff(np.asarray(seen.offsets))), np.searchsorted(ring, np.asarray(seen.flatten()))
+            # So few seeds at a time that a flag for each ring is small.
+            for start in range(0, len(x), 256):
+                s = slice(start, start + 256)
+                dist, limit = _to_pivots(x[s], points), limits[s][:, None]
+                own = dist[:, cell]
+                passes = (near <= own + limit) & (far >= own - limit) & ((own - dist.min(axis=1)[:, None]) / 2 <= limit)
+                mine = slice(*np.searchsorted(of, [start, start + 256]))
+                passes[of[mine] - start, seen[mine]] = False
+                words = np.zeros((len(passes), (strips[-1] + 1) * STRIP_WORDS), np.int64)
+                words[:, word[starts]] = np.add.reduceat(passes * bit, starts, axis=1)
+                rows = np.add.reduceat(passes * size, firsts, axis=1)
+                seed, strip = np.nonzero(rows)
+                if len(seed):
+                    lists = words.reshape(len(passes), -1, STRIP_WORDS)[seed, strip].ravel()
+                    offsets = pa.array(np.arange(0, len(lists) + 1, STRIP_WORDS), pa.int32())
+                    columns = [keys[s][seed], strip.astype("int64"), pa.ListArray.from_arrays(offsets, pa.array(lists)), rows[seed, strip]]
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["key", "block", "rings", "n_rows"])
+
+    return run
+
+
+def _precision(vector_column: str, *tables: DataFrame) -> str:
+    """Numbers are stored and sent as they are in all tables, if single; what is computed of them is double."""
+    return "float" if all(df.schema[vector_column].dataType.simpleString() == "array<float>" for df in tables) else "double"
+
+
+def _asking(seeds: DataFrame, id_column: str, vector_column: str, kind: str = "double") -> DataFrame:
     """seed_id, vector and a number for each different seed."""
-    vector = F.transform(vector_column, lambda x: x.cast("double")).alias("vector")
+    vector = F.transform(vector_column, lambda x: x.cast(kind)).alias("vector")
     rows = seeds.select(F.col(id_column).alias("seed_id"), vector).distinct()
     return materialize(rows.withColumn("key", F.monotonically_increasing_id()), "seeds")
 
@@ -196,16 +259,21 @@ def rows_compared(
     ring_rows: int = RING_ROWS,
 ) -> DataFrame:
     """seed_id and n_compared, the number of catalogue rows that the exact search compares with the seed."""
-    _, visits, rows, asking = _searched(catalog, seeds, k, id_column, vector_column, (), BLOCK, ring_rows)
-    sizes = rows.groupBy("block").agg(F.count("*").alias("n"))
-    compared = visits.join(sizes, "block").groupBy("key").agg(F.sum("n").alias("n_compared"))
+    _, first, further, rows, asking = _searched(catalog, seeds, k, id_column, vector_column, (), BLOCK, ring_rows)
+    sizes = rows.groupBy("block").agg(F.count("*").alias("n_rows"))
+    visits = first.join(sizes, "block").select("key", "n_rows")
+    if further is not None:
+        visits = visits.unionByName(further.select("key", "n_rows"))
+    compared = visits.groupBy("key").agg(F.sum("n_rows").alias("n_compared"))
     return compared.join(asking, "key").select("seed_id", "n_compared")
 
 
 def _searched(catalog, seeds, k, id_column, vector_column, keep, block, ring_rows):
+    """The result of :func:`nearest`; the visits of rings and, unless all is one ring, of strips; the parted rows; the seeds."""
     kept = list(dict.fromkeys([id_column, *keep]))
-    vector = F.transform(vector_column, lambda x: x.cast("double")).alias("vector")
-    rows, asking = catalog.select(*kept, vector), _asking(seeds, id_column, vector_column)
+    kind = _precision(vector_column, catalog, seeds)
+    vector = F.transform(vector_column, lambda x: x.cast(kind)).alias("vector")
+    rows, asking = catalog.select(*kept, vector), _asking(seeds, id_column, vector_column, kind)
     total = rows.count()
     pivots = _pivots(rows, id_column, total, ring_rows)
     if not pivots:
@@ -213,23 +281,28 @@ def _searched(catalog, seeds, k, id_column, vector_column, keep, block, ring_row
     places = min(RINGS, max(1, total // (ring_rows * max(len(pivots), 1))))
     placed, rings = _parted(rows, pivots, places) if pivots else (rows.selectExpr("*", "0L AS member", "0L AS block"), Rings([[0.0]], [0], [0.0], [0.0], [0]))
     members = placed.select("block", "member", F.col(id_column).alias("order"), "vector")
-
-    def search(seeds: DataFrame, visits: DataFrame) -> DataFrame:
-        return best_in_blocks(members, visits.join(seeds.hint("merge"), "key"), k, distances=True, size=block)
-
     plain = asking.select("key", "vector")
-    first = materialize(plain.mapInArrow(_visits(rings, k, False), "key long, block long"), "visits")
+    first = materialize(plain.mapInArrow(_first_visits(rings, k), "key long, block long"), "visits")
+    found = best_in_blocks(members, first.join(plain.hint("merge"), "key"), k, distances=True, size=block)
     if len(rings.ring) == 1:  # every seed has searched all there is
-        return _final(search(plain, first), asking, placed, k, id_column, kept), first, placed, asking
-    found = materialize(search(plain, first), "found")
+        return _final(found, asking, placed, k, id_column, kept), first, None, placed, asking
+    found = materialize(found, "found")
     # The distance of the k-th row so far; none for seeds that have found fewer.
     kth = top_per_group(found, ["key"], [F.col("value").asc()], k).groupBy("key")
     floors = kth.agg(F.when(F.count("*") >= k, F.max("value")).alias("floor"))
-    known = materialize(plain.join(floors.hint("merge"), "key", "left"), "floors")
-    passing = known.mapInArrow(_visits(rings, k, True), "key long, block long")
-    further = materialize(passing.join(first.hint("merge"), ["key", "block"], "left_anti"), "visits")
-    found = found.unionByName(search(known, further))
-    return _final(found, asking, placed, k, id_column, kept), first.unionByName(further), placed, asking
+    seen = first.groupBy("key").agg(F.collect_set("block").alias("seen"))
+    known = plain.join(floors.hint("merge"), "key", "left").join(seen.hint("merge"), "key", "left")
+    known = materialize(known.withColumn("seen", F.coalesce("seen", F.array().cast("array<long>"))), "floors")
+    strips, numbers = _strips(rings, STRIP_BLOCKS * block)
+    passing = known.mapInArrow(_further_visits(rings, strips, numbers), "key long, block long, rings array<long>, n_rows long")
+    further = materialize(passing, "visits")
+    # One row per ring, up to PIVOTS * RINGS.
+    strip_of = placed.sparkSession.createDataFrame(list(zip(rings.ring, strips, ([n] for n in numbers))), "block long, strip long, rings array<long>")
+    striped = members.join(F.broadcast(strip_of), "block").drop("block").withColumnRenamed("strip", "block")
+    visits = further.drop("n_rows").join(known.select("key", "vector", "floor").hint("merge"), "key")
+    bucket = min(MANY_SEEDS, max(FEW_SEEDS, known.count() // 8))
+    found = found.unionByName(best_in_strips(striped, visits, k, STRIP_BLOCKS * block, bucket))
+    return _final(found, asking, placed, k, id_column, kept), first, further, placed, asking
 
 
 def fit_lsh(
